@@ -38,14 +38,13 @@ class AuditLog:
     def event(
         self, layer: str, step: str, kind: str, count: int, status: str, error: str | None = None
     ) -> None:
-        row = (self.run_id, layer, step, kind, int(count), status, error, None)
-        (
-            self.spark.createDataFrame([row], LOG_SCHEMA)
-            .withColumn("event_timestamp", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(self.path)
+        values = [self.run_id, layer, step, kind, int(count), status, error]
+        fields = LOG_SCHEMA.fields
+        row = self.spark.range(1, numPartitions=1).select(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields)],
+            F.current_timestamp().alias(fields[-1].name),
         )
+        row.write.mode("append").parquet(self.path)
 
     def step(self, layer: str, step: str, work: Callable[[], dict[str, int]]) -> dict[str, int]:
         """Run ``work`` between a START and an END event.

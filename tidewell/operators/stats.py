@@ -11,7 +11,7 @@ from tidewell.session import materialize
 
 # How many equal steps one pass of the median search cuts its range into. This
 # bounds the rows of the single-task running count, whatever the table's size.
-SEARCH_STEPS = 4096
+SEARCH_STEPS = 65536
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -22,6 +22,12 @@ def add_membership(df: DataFrame, members: DataFrame, column: str, flag: str) ->
     return marked.withColumn(flag, is_true(F.col(flag))).select(*df.columns, flag)
 
 
+def keep_members(df: DataFrame, members: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` occurs in the one-column frame ``members``."""
+    wanted = members.select(F.col(members.columns[0]).alias(column))
+    return df.join(wanted, column, "left_semi").select(*df.columns)
+
+
 def add_verdict(
     df: DataFrame, rules: Mapping[str, Column], flag: str = "is_valid", reason: str = "reject_reason"
 ) -> DataFrame:

@@ -1,8 +1,8 @@
 """A Parquet table that keeps its earlier versions.
 
-``<path>/data/_version=<n>/<partition>=<value>/``  rows written by version n
-``<path>/touched/_version=<n>/``                  partitions version n touched, and how
-``<path>/history/``                               one row per finished version
+``<path>/data/_version=<n>/_slice=<s>/<partition>=<value>/``  rows version n wrote
+``<path>/touched/_version=<n>/``  partitions version n touched, and how
+``<path>/history/``               one row per finished version
 
 A change writes a new version folder with the partitions it touches and leaves
 all others alone: an update of one country does not rewrite the rest. Its rows
@@ -18,22 +18,31 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.changes import is_true, merge_upsert, update_where
 from tidewell.session import materialize
 from tidewell.sinks import counted
-from tidewell.sources import table_exists
+from tidewell.sources import path_exists
 
 _VERSION = "_version"
+_SLICE = "_slice"
 _HIT = "_hit"
 _GONE = "_gone"
 
+# A version and the columns it has; -1 and None before the first.
+State = tuple[int, T.StructType | None]
 
-def _schema_of(history_row: Row) -> T.StructType:
-    return T.StructType.fromJson(json.loads(history_row["schema"]))
+_HISTORY = (
+    T.StructType()
+    .add("version", "integer")
+    .add("operation", "string")
+    .add("n_rows", "long")
+    .add("committed_at", "timestamp")
+    .add("schema", "string")
+)
 
 
 class VersionedTable:
@@ -46,71 +55,95 @@ class VersionedTable:
 
     # -- reading ---------------------------------------------------------
 
+    def _versions(self) -> DataFrame:
+        return self.spark.read.schema(_HISTORY).parquet(self._history)
+
     def history(self) -> DataFrame:
         """``version``, ``operation``, ``n_rows`` (written, changed or deleted), ``committed_at``."""
-        return self.spark.read.parquet(self._history).drop("schema")
+        return self._versions().drop("schema")
 
-    def _newest(self) -> tuple[int, T.StructType | None]:
-        if not table_exists(self.spark, self._history):
+    def _newest(self) -> State:
+        """The newest version (-1 before the first) and the columns it has."""
+        if not path_exists(self.spark, self._history):
             return -1, None
-        stored = self.spark.read.parquet(self._history)
-        row = stored.agg(F.max(F.struct("version", "schema")).alias("newest")).first()["newest"]
-        if row is None:
+        newest = self._versions().agg(F.max(F.struct("version", "schema")).alias("v")).first()["v"]
+        if newest is None:
             return -1, None
-        return row["version"], _schema_of(row)
+        return newest["version"], T.StructType.fromJson(json.loads(newest["schema"]))
 
     def latest_version(self) -> int:
-        """The newest version; -1 before the first."""
         return self._newest()[0]
 
-    def as_of(self, version: int) -> DataFrame:
-        """The table's rows, with the columns it had, at ``version``.
+    def _slice_key(self, version: int) -> Column:
+        """Names a version's share of a partition, in one column that scans can prune by."""
+        if not self.partition_by:
+            return F.lit(f"v{version}")
+        return F.concat(F.lit(f"v{version}-"), F.hex(F.xxhash64(*self.partition_by)))
 
-        Of each partition those versions count that lie between its last
-        replacement and ``version``; the join with that short list also prunes
-        the folders to read.
+    def _rows(self, version: int, schema: T.StructType) -> DataFrame:
+        """Of each partition those versions count that lie between its last replacement and ``version``.
+
+        The join with the short list of those slices prunes the scan to their folders.
         """
-        known = self.spark.read.parquet(self._history).filter(F.col("version") == version).first()
-        if known is None:
-            raise ValueError(f"no version {version}")
-        schema = _schema_of(known)
         partition_fields = [schema[c] for c in self.partition_by]
         number = T.StructField(_VERSION, T.IntegerType())
+        key = T.StructField(_SLICE, T.StringType())
+        mode = T.StructField("mode", T.StringType())
 
         noted = (
-            self.spark.read.schema(
-                T.StructType([T.StructField("mode", T.StringType()), *partition_fields, number])
-            )
+            self.spark.read.schema(T.StructType([mode, key, *partition_fields, number]))
             .parquet(self._touched)
             .filter(F.col(_VERSION) <= version)
         )
-        replaced = F.max(F.when(F.col("mode") == "replace", F.col(_VERSION)))
-        first = noted.groupBy(*self.partition_by).agg(F.coalesce(replaced, F.lit(0)).alias("_first"))
-
-        stored = (
-            self.spark.read.schema(T.StructType([*schema.fields, number]))
-            .parquet(self._data)
-            .filter(F.col(_VERSION) <= version)
+        replaced = F.max(F.when(F.col("mode") == "replace", F.col(_VERSION))).over(
+            Window.partitionBy(*self.partition_by)
+        )
+        live = (
+            noted.withColumn("_first", F.coalesce(replaced, F.lit(0)))
+            .filter(F.col(_VERSION) >= F.col("_first"))
+            .select(_SLICE, *self.partition_by)
         )
-        same = [stored[c].eqNullSafe(first[c]) for c in self.partition_by]
-        live = stored.join(first, [*same, stored[_VERSION] >= F.col("_first")], "left_semi")
-        return live.drop(_VERSION)
+        stored = self.spark.read.schema(T.StructType([*schema.fields, number, key])).parquet(
+            self._data
+        )
+        stored = stored.filter(F.col(_VERSION) <= version)
+        same = [stored[_SLICE] == live[_SLICE]]
+        same += [stored[c].eqNullSafe(live[c]) for c in self.partition_by]
+        return stored.join(live, same, "left_semi").select(*schema.names)
+
+    def as_of(self, version: int) -> DataFrame:
+        """The table's rows, with the columns it had, at ``version``."""
+        known = self._versions().filter(F.col("version") == version).first()
+        if known is None:
+            raise ValueError(f"no version {version}")
+        return self._rows(version, T.StructType.fromJson(json.loads(known["schema"])))
+
+    def _current(self) -> tuple[State, DataFrame]:
+        version, schema = state = self._newest()
+        if schema is None:
+            raise ValueError("the table has no version yet")
+        return state, self._rows(version, schema)
 
     def current(self) -> DataFrame:
-        return self.as_of(self.latest_version())
+        return self._current()[1]
 
     # -- writing ---------------------------------------------------------
 
     def _commit(
-        self, rows: DataFrame, operation: str, mode: str, touched: DataFrame | None = None
+        self,
+        state: State,
+        rows: DataFrame,
+        operation: str,
+        mode: str,
+        touched: DataFrame | None = None,
     ) -> int:
-        """Write ``rows`` as the next version; the number of rows the operation affected.
+        """Write ``rows`` as the version after ``state``; the number of rows affected.
 
         ``rows`` may carry a boolean ``_hit`` (rows affected) and ``_gone`` (rows
         deleted). ``touched`` lists the partitions replaced, also those left
         without a row.
         """
-        latest, known = self._newest()
+        latest, known = state
         version = latest + 1
         folder = f"{self._data}/{_VERSION}={version}"
         flags = [c for c in (_HIT, _GONE) if c in rows.columns]
@@ -119,7 +152,8 @@ class VersionedTable:
 
         def write(df: DataFrame) -> None:
             kept = df.filter(~F.col(_GONE)) if _GONE in flags else df
-            kept.drop(*flags).write.mode("overwrite").partitionBy(*self.partition_by).parquet(folder)
+            sliced = kept.drop(*flags).withColumn(_SLICE, self._slice_key(version))
+            sliced.write.mode("overwrite").partitionBy(_SLICE, *self.partition_by).parquet(folder)
 
         placed = rows.hint("rebalance", *self.partition_by)
         n_rows = counted(placed, write, n_affected=affected)["n_affected"]
@@ -127,33 +161,36 @@ class VersionedTable:
         if touched is None:
             # Partition values are folder names: no column of the files is read.
             touched = self.spark.read.schema(plain).parquet(folder).select(*self.partition_by)
-        noted = touched.distinct().select(F.lit(mode).alias("mode"), *self.partition_by)
+        noted = touched.distinct().select(
+            F.lit(mode).alias("mode"),
+            self._slice_key(version).alias(_SLICE),
+            *self.partition_by,
+        )
         noted.coalesce(1).write.mode("overwrite").parquet(f"{self._touched}/{_VERSION}={version}")
 
         fields = list(known.fields) if known else []
         names = {f.name for f in fields}
         merged = T.StructType([*fields, *[f for f in plain.fields if f.name not in names]])
-        row = [(version, operation, n_rows, merged.json())]
-        (
-            self.spark.createDataFrame(
-                row, "version int, operation string, n_rows bigint, schema string"
-            )
-            .withColumn("committed_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(self._history)
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(version).alias("version"),
+            F.lit(operation).alias("operation"),
+            F.lit(n_rows).cast("bigint").alias("n_rows"),
+            F.current_timestamp().alias("committed_at"),
+            F.lit(merged.json()).alias("schema"),
         )
+        row.write.mode("append").parquet(self._history)
         return n_rows
 
     def create(self, df: DataFrame) -> int:
         """Version 0."""
-        if self.latest_version() >= 0:
+        state = self._newest()
+        if state[0] >= 0:
             raise ValueError("the table exists already")
-        return self._commit(df, "WRITE", "add")
+        return self._commit(state, df, "WRITE", "add")
 
     def append(self, df: DataFrame) -> int:
         """Add rows; columns the table does not have yet are allowed."""
-        return self._commit(df, "APPEND", "add")
+        return self._commit(self._newest(), df, "APPEND", "add")
 
     def _partitions_with(self, rows: DataFrame) -> DataFrame:
         return materialize(rows.select(*self.partition_by).distinct(), "touched")
@@ -170,17 +207,20 @@ class VersionedTable:
         moved = set(values) & set(self.partition_by)
         if moved:
             raise ValueError(f"partition columns cannot be updated: {sorted(moved)}")
-        rows, hit = self.current(), is_true(condition)
+        state, rows = self._current()
+        hit = is_true(condition)
         touched = self._partitions_with(rows.filter(hit))
         marked = self._within(rows, touched).withColumn(_HIT, hit)
-        return self._commit(update_where(marked, F.col(_HIT), values), "UPDATE", "replace", touched)
+        changed = update_where(marked, F.col(_HIT), values)
+        return self._commit(state, changed, "UPDATE", "replace", touched)
 
     def delete(self, condition: Column) -> int:
         """Drop the rows where ``condition`` is TRUE; rewrites the partitions with such a row."""
-        rows, hit = self.current(), is_true(condition)
+        state, rows = self._current()
+        hit = is_true(condition)
         touched = self._partitions_with(rows.filter(hit))
         marked = self._within(rows, touched).withColumn(_HIT, hit).withColumn(_GONE, F.col(_HIT))
-        return self._commit(marked, "DELETE", "replace", touched)
+        return self._commit(state, marked, "DELETE", "replace", touched)
 
     def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Upsert by key; the number of source rows.
@@ -188,16 +228,16 @@ class VersionedTable:
         Rewrites the partitions that hold a matched row or take a source row (a
         source row may match one that lies in another partition).
         """
-        rows = self.current()
+        state, rows = self._current()
         matched = rows.join(source.select(*keys), list(keys), "left_semi")
         touched = self._partitions_with(
             matched.select(*self.partition_by).unionByName(source.select(*self.partition_by))
         )
         kept = self._within(rows, touched).withColumn(_HIT, F.lit(False))
         merged = merge_upsert(kept, source.withColumn(_HIT, F.lit(True)), keys)
-        return self._commit(merged, "MERGE", "replace", touched)
+        return self._commit(state, merged, "MERGE", "replace", touched)
 
     def compact(self) -> int:
         """Few, evenly sized files per partition; the rows stay the same."""
-        rows = self.current()
-        return self._commit(rows, "COMPACT", "replace", self._partitions_with(rows))
+        state, rows = self._current()
+        return self._commit(state, rows, "COMPACT", "replace", self._partitions_with(rows))

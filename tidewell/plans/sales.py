@@ -13,7 +13,7 @@ from tidewell.operators.audit import AuditLog
 from tidewell.operators.changes import merge_upsert
 from tidewell.operators.keys import latest_per_key
 from tidewell.operators.rollups import sum_by, sum_by_attribute
-from tidewell.operators.validity import add_membership, add_verdict
+from tidewell.operators.validity import add_membership, add_verdict, keep_members
 from tidewell.sinks import (
     append,
     ensure_database,
@@ -75,23 +75,28 @@ def add_correct_total(sales: DataFrame) -> DataFrame:
     return sales.withColumn("correct_total", total.try_cast(MONEY))
 
 
+def number_rules() -> dict[str, Column]:
+    return {"quantity": F.col("quantity") > 0, "unit_price": F.col("unit_price") > 0}
+
+
+def cleaned(sales: DataFrame) -> DataFrame:
+    return add_correct_total(dedup(conform(sales)))
+
+
 def judged(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """Silver rows, good and bad, with ``reject_reason`` and ``is_valid``.
 
     ``stores`` lists the valid store ids in its first column.
     """
-    cleaned = add_correct_total(dedup(conform(sales)))
-    marked = add_membership(cleaned, stores, "store_id", "_known_store")
-    rules = {
-        "quantity": F.col("quantity") > 0,
-        "unit_price": F.col("unit_price") > 0,
-        "store_id": F.col("_known_store"),
-    }
+    marked = add_membership(cleaned(sales), stores, "store_id", "_known_store")
+    rules = {**number_rules(), "store_id": F.col("_known_store")}
     return add_verdict(marked, rules).drop("_known_store")
 
 
 def silver_valid(sales: DataFrame, stores: DataFrame) -> DataFrame:
-    return judged(sales, stores).filter("is_valid").drop("is_valid", "reject_reason")
+    """Only the good rows: the number rules first, so that fewer rows reach the join."""
+    numbers_right = reduce(Column.__and__, number_rules().values())
+    return keep_members(cleaned(sales).filter(numbers_right), stores, "store_id")
 
 
 def silver_quarantine(sales: DataFrame, stores: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from tidewell.operators.changes import upsert_dimension
 from tidewell.operators.keys import latest_per_key
 from tidewell.session import materialize
 from tidewell.sinks import overwrite, write_if_any
-from tidewell.sources import dated_path, read_csv_positional, read_json_lines, table_exists
+from tidewell.sources import dated_path, read_csv_positional, read_json_lines, path_exists
 
 # Column names and types of the staging and warehouse tables are fixed values.
 CUSTOMER_SCHEMA = (
@@ -118,7 +118,7 @@ def load_staging(spark: SparkSession, landing: str, base: str, day: str) -> dict
 def load_dimension(spark: SparkSession, base: str, name: str, key: str, incoming: DataFrame) -> int:
     """Upsert a dimension. The new content is complete before the old is touched."""
     path = f"{base}/{name}"
-    if table_exists(spark, path):
+    if path_exists(spark, path):
         target = spark.read.schema(incoming.schema).parquet(path)
     else:
         target = spark.createDataFrame([], incoming.schema)

@@ -15,6 +15,7 @@ from tidewell.queries.registry import (
     DOMAIN,
     FARE_OVER,
     NEXT_DAY,
+    ORDER_DAY,
     SLICE_DAY,
 )
 
@@ -352,7 +353,7 @@ def all_oracles() -> dict[str, str]:
             FROM days LEFT JOIN counts ON d = order_date WHERE coalesce(n, 0) < 3""",
         "pruned_orders": _sql(
             f"""SELECT * FROM order_book
-                WHERE country = '{COUNTRY}' AND order_date = DATE '{SLICE_DAY}'""",
+                WHERE country = '{COUNTRY}' AND order_date = DATE '{ORDER_DAY}'""",
             "order_book",
         ),
         "partition_inventory": _sql(

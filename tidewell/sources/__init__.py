@@ -12,16 +12,17 @@ from tidewell.sources.files import (
 from tidewell.sources.tables import (
     ensure_table,
     inline_rows,
+    path_exists,
     read_named,
     read_path,
     row_position,
-    table_exists,
 )
 
 __all__ = [
     "dated_path",
     "ensure_table",
     "inline_rows",
+    "path_exists",
     "read_csv_inferred",
     "read_csv_positional",
     "read_csv_strings",
@@ -31,5 +32,4 @@ __all__ = [
     "read_path",
     "rejected_lines",
     "row_position",
-    "table_exists",
 ]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,18 +22,16 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(list(rows), schema)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a Parquet table can be read at ``path``."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, on whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Create an empty table with a declared schema unless there is one already."""
-    if not table_exists(spark, path):
+    if not path_exists(spark, path):
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
