@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import contextlib
 import io
-import re
 
 
 def rows(df):
@@ -10,16 +9,19 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda t: [(v is not None, str(v)) for v in t])
 
 
-def plan(df) -> str:
-    """The formatted physical plan."""
+def _explained(df, mode: str) -> str:
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
-        df.explain("formatted")
+        df.explain(mode)
     return out.getvalue()
 
 
+def plan(df) -> str:
+    """The physical plan with all details of each node."""
+    return _explained(df, "formatted")
+
+
 def final_plan(df) -> str:
     """The plan that adaptive execution ended up with."""
     df.collect()
-    text = plan(df)
-    return re.split(r"\+- == Initial Plan ==", text)[0]
+    return _explained(df, "simple").split("+- == Initial Plan ==")[0]

@@ -47,6 +47,8 @@ _HISTORY = (
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str]):
+        if not partition_by:
+            raise ValueError("changes are kept per partition: name a partition column")
         self.spark = spark
         self.partition_by = list(partition_by)
         self._data = f"{path}/data"
@@ -76,8 +78,6 @@ class VersionedTable:
 
     def _slice_key(self, version: int) -> Column:
         """Names a version's share of a partition, in one column that scans can prune by."""
-        if not self.partition_by:
-            return F.lit(f"v{version}")
         return F.concat(F.lit(f"v{version}-"), F.hex(F.xxhash64(*self.partition_by)))
 
     def _rows(self, version: int, schema: T.StructType) -> DataFrame:
