@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.session import materialize
+from tidewell.session import materialized
 
 # How many equal steps one pass of the median search cuts its range into. This
 # bounds the rows of the single-task running count, whatever the table's size.
@@ -57,31 +57,31 @@ def amount_stats(df: DataFrame, column: str, scale: int = 4) -> DataFrame:
     table in one task, so the median is searched in passes over the frequencies
     instead. Values have at most ``scale`` decimals.
     """
-    spark = df.sparkSession
-    amounts = df.select(F.col(column).cast(f"decimal(18,{scale})").alias("amount"))
+    schema = "mean double, median double, sum double, average_basket double"
     unit = 10**scale
-    counts = materialize(
-        value_counts(amounts, "amount").select(
-            F.round(F.col("amount") * F.lit(unit)).cast("bigint").alias("v"), "n"
-        ),
-        "value-counts",
-    )
-    total = F.sum(F.col("v").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)"))
+    amounts = df.select(F.col(column).cast(f"decimal(18,{scale})").alias("amount"))
+    in_units = F.round(F.col("amount") * F.lit(unit)).cast("bigint").alias("v")
+    frequencies = value_counts(amounts, "amount").select(in_units, "n")
+    with materialized(frequencies, "value-counts") as counts:
+        found = _amount_stats(counts, unit)
+    return df.sparkSession.createDataFrame([found], schema)
+
+
+def _amount_stats(counts: DataFrame, unit: int) -> tuple:
+    exact = F.sum(F.col("v").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)"))
     whole = counts.agg(
-        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), total.alias("total")
+        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), exact.alias("sum")
     ).first()
-    schema = "mean double, median double, sum double, average_basket double"
-    if not whole["n"]:
-        return spark.createDataFrame([(None, None, None, None)], schema)
-
     n, low, high = whole["n"], whole["low"], whole["high"]
+    if not n:
+        return None, None, None, None
     middle, up_to = _value_at(counts, (n - 1) // 2, low, high)
     upper = middle
     if n // 2 >= up_to:
         upper = counts.filter(F.col("v") > middle).agg(F.min("v")).first()[0]
-    total_sum = int(whole["total"]) / unit
-    mean = total_sum / n
-    return spark.createDataFrame([(mean, (middle + upper) / 2 / unit, total_sum, mean)], schema)
+    total = int(whole["sum"]) / unit
+    mean = total / n
+    return mean, (middle + upper) / 2 / unit, total, mean
 
 
 def total_by(df: DataFrame, key: str, amount: str, name: str = "total") -> DataFrame:

@@ -17,15 +17,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from contextlib import AbstractContextManager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.changes import is_true, merge_upsert, update_where
-from tidewell.session import materialize
+from tidewell.session import materialized, path_exists
 from tidewell.sinks import counted
-from tidewell.sources import path_exists
 
 _VERSION = "_version"
 _SLICE = "_slice"
@@ -192,8 +192,8 @@ class VersionedTable:
         """Add rows; columns the table does not have yet are allowed."""
         return self._commit(self._newest(), df, "APPEND", "add")
 
-    def _partitions_with(self, rows: DataFrame) -> DataFrame:
-        return materialize(rows.select(*self.partition_by).distinct(), "touched")
+    def _partitions_with(self, rows: DataFrame) -> AbstractContextManager[DataFrame]:
+        return materialized(rows.select(*self.partition_by).distinct(), "touched")
 
     def _within(self, rows: DataFrame, partitions: DataFrame) -> DataFrame:
         same = [rows[c].eqNullSafe(partitions[c]) for c in self.partition_by]
@@ -209,18 +209,18 @@ class VersionedTable:
             raise ValueError(f"partition columns cannot be updated: {sorted(moved)}")
         state, rows = self._current()
         hit = is_true(condition)
-        touched = self._partitions_with(rows.filter(hit))
-        marked = self._within(rows, touched).withColumn(_HIT, hit)
-        changed = update_where(marked, F.col(_HIT), values)
-        return self._commit(state, changed, "UPDATE", "replace", touched)
+        with self._partitions_with(rows.filter(hit)) as touched:
+            marked = self._within(rows, touched).withColumn(_HIT, hit)
+            changed = update_where(marked, F.col(_HIT), values)
+            return self._commit(state, changed, "UPDATE", "replace", touched)
 
     def delete(self, condition: Column) -> int:
         """Drop the rows where ``condition`` is TRUE; rewrites the partitions with such a row."""
         state, rows = self._current()
         hit = is_true(condition)
-        touched = self._partitions_with(rows.filter(hit))
-        marked = self._within(rows, touched).withColumn(_HIT, hit).withColumn(_GONE, F.col(_HIT))
-        return self._commit(state, marked, "DELETE", "replace", touched)
+        with self._partitions_with(rows.filter(hit)) as touched:
+            marked = self._within(rows, touched).withColumns({_HIT: hit, _GONE: hit})
+            return self._commit(state, marked, "DELETE", "replace", touched)
 
     def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Upsert by key; the number of source rows.
@@ -230,14 +230,14 @@ class VersionedTable:
         """
         state, rows = self._current()
         matched = rows.join(source.select(*keys), list(keys), "left_semi")
-        touched = self._partitions_with(
-            matched.select(*self.partition_by).unionByName(source.select(*self.partition_by))
-        )
-        kept = self._within(rows, touched).withColumn(_HIT, F.lit(False))
-        merged = merge_upsert(kept, source.withColumn(_HIT, F.lit(True)), keys)
-        return self._commit(state, merged, "MERGE", "replace", touched)
+        either = matched.select(*self.partition_by).unionByName(source.select(*self.partition_by))
+        with self._partitions_with(either) as touched:
+            kept = self._within(rows, touched).withColumn(_HIT, F.lit(False))
+            merged = merge_upsert(kept, source.withColumn(_HIT, F.lit(True)), keys)
+            return self._commit(state, merged, "MERGE", "replace", touched)
 
     def compact(self) -> int:
         """Few, evenly sized files per partition; the rows stay the same."""
         state, rows = self._current()
-        return self._commit(state, rows, "COMPACT", "replace", self._partitions_with(rows))
+        with self._partitions_with(rows) as touched:
+            return self._commit(state, rows, "COMPACT", "replace", touched)

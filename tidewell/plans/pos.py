@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import day_name, fill_text, month_number, ratio
 from tidewell.operators.stats import amount_stats
-from tidewell.session import materialize
+from tidewell.session import materialized
 from tidewell.sinks import write_json_records
 from tidewell.sources import read_csv_with_date
 
@@ -61,6 +61,7 @@ def derive(cleaned: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, csv: str, output: str) -> tuple[int, DataFrame]:
     """Clean a CSV file and write it as JSON lines; rows written and the statistics."""
-    cleaned = materialize(clean(read_csv_with_date(spark, csv, "date")), "pos-clean")
-    statistics = amount_stats(cleaned, "total")
-    return write_json_records(derive(cleaned), output), statistics
+    received = read_csv_with_date(spark, csv, "date")
+    with materialized(clean(received), "pos-clean") as cleaned:
+        statistics = amount_stats(cleaned, "total")
+        return write_json_records(derive(cleaned), output), statistics

@@ -75,13 +75,11 @@ def ingest(
     meter = ExpectationMeter()
     spark.streams.addListener(meter)
     try:
-        trips = read_stream_table(spark, source, schema, files)
-        run_available(
-            expect_or_drop(trips, valid_distance()), f"{base}/raw", f"{base}/_checkpoints/raw"
-        )
+        trips = expect_or_drop(read_stream_table(spark, source, schema, files), valid_distance())
+        query = run_available(trips, f"{base}/raw", f"{base}/_checkpoints/raw")
+        return meter.counts(query)
     finally:
         spark.streams.removeListener(meter)
-    return {"n_in": meter.n_in, "n_dropped": meter.n_dropped}
 
 
 def flag_stream(

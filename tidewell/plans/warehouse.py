@@ -10,9 +10,9 @@ from tidewell.functions import MONEY, to_utc
 from tidewell.operators import quality
 from tidewell.operators.changes import upsert_dimension
 from tidewell.operators.keys import latest_per_key
-from tidewell.session import materialize
+from tidewell.session import materialized, path_exists
 from tidewell.sinks import overwrite, write_if_any
-from tidewell.sources import dated_path, read_csv_positional, read_json_lines, path_exists
+from tidewell.sources import dated_path, read_csv_positional, read_json_lines
 
 # Column names and types of the staging and warehouse tables are fixed values.
 CUSTOMER_SCHEMA = (
@@ -122,8 +122,8 @@ def load_dimension(spark: SparkSession, base: str, name: str, key: str, incoming
         target = spark.read.schema(incoming.schema).parquet(path)
     else:
         target = spark.createDataFrame([], incoming.schema)
-    merged = materialize(upsert_dimension(target, incoming, [key]), name)
-    return overwrite(merged, path)
+    with materialized(upsert_dimension(target, incoming, [key]), name) as merged:
+        return overwrite(merged, path)
 
 
 def load_fact_slice(spark: SparkSession, path: str, rows: DataFrame, day: str) -> None:
@@ -133,18 +133,18 @@ def load_fact_slice(spark: SparkSession, path: str, rows: DataFrame, day: str) -
     other days are appended if their order is not there yet; no other day is
     overwritten.
     """
-    # The latest rows are needed twice, and the second write must not depend on the first.
-    rows = materialize(rows, "fact-rows")
     on_day = F.col("order_date").eqNullSafe(F.lit(day).cast("date"))
-    rows.filter(on_day).drop("order_date").write.mode("overwrite").parquet(
-        f"{path}/order_date={day}"
-    )
-    stored = spark.read.schema(rows.schema).parquet(path)
-    unseen = rows.filter(~on_day).join(
-        stored.filter(~on_day).select("order_id"), "order_id", "left_anti"
-    )
-    placed = unseen.select(*rows.columns).hint("rebalance", "order_date")
-    placed.write.mode("append").partitionBy("order_date").parquet(path)
+    # The rows are needed twice, and the second write must not depend on the first.
+    with materialized(rows, "fact-rows") as fresh:
+        fresh.filter(on_day).drop("order_date").write.mode("overwrite").parquet(
+            f"{path}/order_date={day}"
+        )
+        stored = spark.read.schema(fresh.schema).parquet(path)
+        unseen = fresh.filter(~on_day).join(
+            stored.filter(~on_day).select("order_id"), "order_id", "left_anti"
+        )
+        placed = unseen.select(*fresh.columns).hint("rebalance", "order_date")
+        placed.write.mode("append").partitionBy("order_date").parquet(path)
 
 
 def run_daily(

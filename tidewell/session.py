@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import shutil
+import contextlib
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,34 +42,97 @@ def build_session(
     return builder.getOrCreate()
 
 
+def tune_for(spark: SparkSession, input_bytes: int) -> None:
+    """Set the number of shuffle partitions for jobs that shuffle about ``input_bytes``.
+
+    Some 200 MB go to each task, so that it sorts in memory; adaptive execution
+    joins partitions that turn out small. Beyond 100,000 the bookkeeping of
+    the shuffle itself would dominate, so partitions grow instead and spill.
+    """
+    wanted = math.ceil(input_bytes / (200 * 1024**2))
+    partitions = min(max(wanted, spark.sparkContext.defaultParallelism), 100_000)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    if input_bytes > 10 * 1024**4:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 1024**2))
+
+
+# -- files, on whatever file system a path names -------------------------------
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+# -- intermediate tables ---------------------------------------------------------
+
+_ROOTS: dict[str, str] = {}
+
+
 def working_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, visible to every executor.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where nothing is
-    set (a laptop, a test) a temporary folder is made and removed at exit.
+    set (a laptop, a test) a temporary folder is made.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tidewell-")
-    atexit.register(shutil.rmtree, local, ignore_errors=True)
-    context.setCheckpointDir(local)
-    return local
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="tidewell-")
+        context.setCheckpointDir(configured)
+    return configured.rstrip("/")
+
+
+def _root(spark: SparkSession) -> str:
+    """This process's own part of the working folder; it is removed when the process ends."""
+    base = working_folder(spark)
+    if base not in _ROOTS:
+        root = _ROOTS[base] = f"{base}/tidewell-{uuid.uuid4().hex}"
+        files, place = _place(spark, root)
+
+        def remove() -> None:
+            with contextlib.suppress(Exception):  # the JVM may be gone
+                files.delete(place, True)
+
+        atexit.register(remove)
+    return _ROOTS[base]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the working folder that no other run uses."""
-    return f"{working_folder(spark)}/tidewell/{label}-{uuid.uuid4().hex}"
+    """A path in the working folder that nothing else uses."""
+    return f"{_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _stored_at(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back, so that later steps share the work.
 
     The copy is Parquet in the shared working folder: it outlives any executor,
-    cuts the lineage, and later scans still prune columns and push filters.
+    cuts the lineage, and later scans still prune columns and push filters. It
+    is kept until the process ends.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _stored_at(df, fresh_path(df.sparkSession, label))
+
+
+@contextlib.contextmanager
+def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """As ``materialize``, but the copy is removed at the end of the block."""
+    path = fresh_path(df.sparkSession, label)
+    try:
+        yield _stored_at(df, path)
+    finally:
+        remove_path(df.sparkSession, path)

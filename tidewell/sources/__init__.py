@@ -12,7 +12,6 @@ from tidewell.sources.files import (
 from tidewell.sources.tables import (
     ensure_table,
     inline_rows,
-    path_exists,
     read_named,
     read_path,
     row_position,
@@ -22,7 +21,6 @@ __all__ = [
     "dated_path",
     "ensure_table",
     "inline_rows",
-    "path_exists",
     "read_csv_inferred",
     "read_csv_positional",
     "read_csv_strings",

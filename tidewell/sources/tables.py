@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.session import path_exists
+
 
 def read_path(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """A Parquet folder. ``merge_schema`` shows columns that later appends brought in."""
@@ -22,13 +24,6 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(list(rows), schema)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything at ``path``, on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
-
-
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Create an empty table with a declared schema unless there is one already."""
     if not path_exists(spark, path):

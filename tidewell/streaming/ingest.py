@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,34 +59,44 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
 
 
 class ExpectationMeter(StreamingQueryListener):
-    """Adds up the rows seen and dropped by ``expect_or_drop`` over all batches.
+    """Adds up the rows seen and dropped by ``expect_or_drop`` over all batches of a run.
 
     Register it with ``spark.streams.addListener`` before the query starts.
-    Spark itself remembers only the last batches' metrics.
+    (The query itself remembers only its last batches' metrics.)
     """
 
     def __init__(self) -> None:
-        self._batches: dict[tuple[str, int], tuple[int, int]] = {}
-
-    @property
-    def n_in(self) -> int:
-        return sum(seen for seen, _ in self._batches.values())
-
-    @property
-    def n_dropped(self) -> int:
-        return sum(lost for _, lost in self._batches.values())
+        self._batches: dict[str, dict[int, tuple[int, int]]] = {}
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def counts(self, query: StreamingQuery, timeout: float = 60) -> dict[str, int]:
+        """``n_in`` and ``n_dropped`` of a finished run; waits for its last report to come in."""
+        run = str(query.runId)
+        with self._change:
+            if not self._change.wait_for(lambda: run in self._ended, timeout):
+                raise TimeoutError(f"no report of the end of run {run}")
+            batches = list(self._batches.get(run, {}).values())
+        return {
+            "n_in": sum(seen for seen, _ in batches),
+            "n_dropped": sum(lost for _, lost in batches),
+        }
 
     def onQueryProgress(self, event) -> None:
-        metrics = event.progress.observedMetrics.get(EXPECTATION)
+        progress = event.progress
+        metrics = progress.observedMetrics.get(EXPECTATION)
         if metrics is not None:
-            batch = (str(event.progress.id), event.progress.batchId)
-            self._batches[batch] = (metrics["n_in"], metrics["n_dropped"])
+            with self._change:
+                run = self._batches.setdefault(str(progress.runId), {})
+                run[progress.batchId] = (metrics["n_in"], metrics["n_dropped"])
+
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryIdle(self, event) -> None:
         pass
-
-    def onQueryTerminated(self, event) -> None:
-        pass
