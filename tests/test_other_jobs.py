@@ -237,6 +237,25 @@ def test_pos_job_writes_json(spark, tmp_path):
     assert found[2]["revenue_per_item"] == 7.5 and found[2]["day_of_week"] == "Saturday"
 
 
+def test_extend(spark, tmp_path):
+    csv = tmp_path / "sample.csv"
+    csv.write_text(
+        "transaction_id,store_id,store_name,date,product_id,product_name,quantity,unit_price,total,"
+        "customer_id,promo_code\n"
+        "10,1,Downtown,2025-10-01,501,Notebook,2,3.50,7.00,2001,\n"
+    )
+    found = pos.extend(spark, str(csv), str(tmp_path / "out"), n=990)
+    assert rows(found["shape"]) == [(1 + 990 + 9, 11)]
+    assert rows(found["ids"]) == [(10, 1000)]
+    missing = dict(rows(found["missing"]))
+    assert 20 < missing["customer_id"] < 90 and 350 < missing["promo_code"] < 500
+    assert missing["total"] == missing["date"] == 0
+    assert [r.transaction_id for r in found["first"].collect()][0] == 10
+    written = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    ids = [int(r.transaction_id) for r in written.collect()]
+    assert ids != sorted(ids)
+
+
 # -- made-up rows ------------------------------------------------------------------
 
 

@@ -221,3 +221,34 @@ def test_rollup_over_a_repeated_dimension_row(spark, stores):
         .agg(F.sum("correct_total"))
     )
     assert rows(sales.monthly_region(silver, doubled)) == rows(plain)
+
+
+def test_command_line(spark, source, tmp_path, capsys):
+    from tidewell.__main__ import main
+
+    head = {"stores": "store_id,store_name,region", "products": "product_id,product_name,category"}
+    body = {"stores": STORES, "products": [p[:3] for p in PRODUCTS]}
+    for name in head:
+        lines_ = [head[name], *[",".join(r) for r in body[name]]]
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines_) + "\n")
+    base = str(tmp_path / "base")
+    try:
+        main(
+            ["sales", source, str(tmp_path / "stores.csv"), str(tmp_path / "products.csv"), base]
+            + ["--database", "gold_cli"]
+        )
+        assert rows(sales.total_revenue(spark.table("gold_cli.daily_sales"))) == [(60480.0,)]
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS gold_cli CASCADE")
+    main(["orders", _order_file(tmp_path), str(tmp_path / "orders")])
+    assert "COMPACT" in capsys.readouterr().out
+
+
+def _order_file(tmp_path):
+    path = tmp_path / "o.csv"
+    path.write_text(
+        "order_id,order_timestamp,customer_id,country,amount,currency,status\n"
+        "O-1,2025-11-01T10:07:00Z,C-1,IN,960.81,INR,CREATED\n"
+        "O-2,2025-11-01T10:14:00Z,C-2,US,20.5,USD,PAID\n"
+    )
+    return str(path)

@@ -128,6 +128,18 @@ def test_reads_skip_replaced_folders(table):
     assert "PartitionFilters: [isnotnull(_version" in text
 
 
+def test_a_change_reads_no_other_partition(table, folder):
+    """Everything but one country's files is made unreadable."""
+    for part in pathlib.Path(f"{folder}/orders/data").rglob("*.parquet"):
+        if part.parent.name != "country=IN":
+            part.write_bytes(b"no parquet")
+    india = F.col("country") == "IN"
+    assert table.update(india & (F.col("status") == "NEW"), {"amount": F.lit(1.0)}) == 1
+    assert table.update(india, {"status": F.lit("DONE")}) == 2
+    assert table.delete(india & (F.col("amount") > 30)) == 1
+    assert rows(table.current().filter(india).select("id", "status", "amount")) == [(3, "DONE", 1.0)]
+
+
 def test_partition_column_is_needed(spark, folder):
     with pytest.raises(ValueError, match="partition column"):
         VersionedTable(spark, folder, [])

@@ -80,10 +80,14 @@ class VersionedTable:
         """Names a version's share of a partition, in one column that scans can prune by."""
         return F.concat(F.lit(f"v{version}-"), F.hex(F.xxhash64(*self.partition_by)))
 
-    def _rows(self, version: int, schema: T.StructType) -> DataFrame:
-        """Of each partition those versions count that lie between its last replacement and ``version``.
-
-        The join with the short list of those slices prunes the scan to their folders.
+    def _rows(
+        self, version: int, schema: T.StructType, within: DataFrame | None = None
+    ) -> DataFrame:
+        """The rows at ``version``, of all partitions or of those in ``within``.
+
+        Of each partition those versions count that lie between its last
+        replacement and ``version``. The join with the short list of those slices
+        prunes the scan to their folders.
         """
         partition_fields = [schema[c] for c in self.partition_by]
         number = T.StructField(_VERSION, T.IntegerType())
@@ -103,6 +107,9 @@ class VersionedTable:
             .filter(F.col(_VERSION) >= F.col("_first"))
             .select(_SLICE, *self.partition_by)
         )
+        if within is not None:
+            wanted = [live[c].eqNullSafe(within[c]) for c in self.partition_by]
+            live = live.join(within, wanted, "left_semi")
         stored = self.spark.read.schema(T.StructType([*schema.fields, number, key])).parquet(
             self._data
         )
@@ -195,10 +202,6 @@ class VersionedTable:
     def _partitions_with(self, rows: DataFrame) -> AbstractContextManager[DataFrame]:
         return materialized(rows.select(*self.partition_by).distinct(), "touched")
 
-    def _within(self, rows: DataFrame, partitions: DataFrame) -> DataFrame:
-        same = [rows[c].eqNullSafe(partitions[c]) for c in self.partition_by]
-        return rows.join(partitions, same, "left_semi")
-
     def update(self, condition: Column, values: Mapping[str, Column]) -> int:
         """Set columns where ``condition`` is TRUE; rewrites the partitions with such a row.
 
@@ -209,8 +212,8 @@ class VersionedTable:
             raise ValueError(f"partition columns cannot be updated: {sorted(moved)}")
         state, rows = self._current()
         hit = is_true(condition)
-        with self._partitions_with(rows.filter(hit)) as touched:
-            marked = self._within(rows, touched).withColumn(_HIT, hit)
+        with self._partitions_with(rows.filter(condition)) as touched:
+            marked = self._rows(*state, touched).withColumn(_HIT, hit)
             changed = update_where(marked, F.col(_HIT), values)
             return self._commit(state, changed, "UPDATE", "replace", touched)
 
@@ -218,8 +221,8 @@ class VersionedTable:
         """Drop the rows where ``condition`` is TRUE; rewrites the partitions with such a row."""
         state, rows = self._current()
         hit = is_true(condition)
-        with self._partitions_with(rows.filter(hit)) as touched:
-            marked = self._within(rows, touched).withColumns({_HIT: hit, _GONE: hit})
+        with self._partitions_with(rows.filter(condition)) as touched:
+            marked = self._rows(*state, touched).withColumns({_HIT: hit, _GONE: hit})
             return self._commit(state, marked, "DELETE", "replace", touched)
 
     def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
@@ -232,7 +235,7 @@ class VersionedTable:
         matched = rows.join(source.select(*keys), list(keys), "left_semi")
         either = matched.select(*self.partition_by).unionByName(source.select(*self.partition_by))
         with self._partitions_with(either) as touched:
-            kept = self._within(rows, touched).withColumn(_HIT, F.lit(False))
+            kept = self._rows(*state, touched).withColumn(_HIT, F.lit(False))
             merged = merge_upsert(kept, source.withColumn(_HIT, F.lit(True)), keys)
             return self._commit(state, merged, "MERGE", "replace", touched)
 

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import day_name, fill_text, month_number, ratio
-from tidewell.operators.stats import amount_stats
+from tidewell.operators.generate import generate_sales, sales_rows
+from tidewell.operators.preview import first_n, last_n, shuffle_rows
+from tidewell.operators.sets import union_rows
+from tidewell.operators.stats import amount_stats, id_range, null_counts, table_shape
 from tidewell.session import materialized
-from tidewell.sinks import write_json_records
-from tidewell.sources import read_csv_with_date
+from tidewell.sinks import write_csv, write_json_records
+from tidewell.sources import read_csv_with_date, row_position
 
 # Filled totals carry the mean to four digits.
 TOTAL_TYPE = "decimal(18,4)"
@@ -65,3 +68,28 @@ def run(spark: SparkSession, csv: str, output: str) -> tuple[int, DataFrame]:
     with materialized(clean(received), "pos-clean") as cleaned:
         statistics = amount_stats(cleaned, "total")
         return write_json_records(derive(cleaned), output), statistics
+
+
+def extend(
+    spark: SparkSession, csv: str, output: str, n: int = 990, seed: int = 42
+) -> dict[str, DataFrame]:
+    """Add ``n`` made-up rows (and their copies) to a file's rows, shuffle all, write CSV.
+
+    Returns looks at the result: first and last rows, shape, missing values, id range.
+    """
+    types = sales_rows(spark.range(0), seed).schema
+    existing = spark.read.schema(types).option("header", True).csv(csv)
+    last = existing.agg(F.coalesce(F.max("transaction_id"), F.lit(0))).first()[0]
+    combined = union_rows(existing, generate_sales(spark, last, n, seed))
+    # Stored first: a row's place in the files tells copies apart in the shuffle.
+    with materialized(combined, "pos-extended") as stored:
+        placed = stored.select("*", *row_position())
+        write_csv(shuffle_rows(placed, ["_file", "_row"], seed).drop("_file", "_row"), output)
+    written = spark.read.schema(types).option("header", True).csv(output)
+    return {
+        "first": first_n(written, ["transaction_id"]),
+        "last": last_n(written, ["transaction_id"]),
+        "shape": table_shape(written),
+        "missing": null_counts(written),
+        "ids": id_range(written, "transaction_id"),
+    }

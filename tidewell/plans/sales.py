@@ -64,10 +64,12 @@ def conform(sales: DataFrame) -> DataFrame:
 def dedup(sales: DataFrame) -> DataFrame:
     """One row per transaction: the one received last, where that is known."""
     if "ingestion_timestamp" in sales.columns:
-        return latest_per_key(sales, [KEY], [F.desc_nulls_last("ingestion_timestamp")])
-    first = ["transaction_date", "product_id", "store_id", "unit_price", "quantity"]
-    rest = [c for c in sales.columns if c not in (KEY, *first)]
-    return latest_per_key(sales, [KEY], [F.col(c) for c in first], rest)
+        order = {"ingestion_timestamp": F.desc_nulls_last("ingestion_timestamp")}
+    else:
+        names = ["transaction_date", "product_id", "store_id", "unit_price", "quantity"]
+        order = {name: F.col(name) for name in names}
+    rest = [c for c in sales.columns if c != KEY and c not in order]
+    return latest_per_key(sales, [KEY], list(order.values()), rest)
 
 
 def add_correct_total(sales: DataFrame) -> DataFrame:

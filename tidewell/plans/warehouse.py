@@ -46,7 +46,8 @@ ORDER_SCHEMA = (
 
 def latest_orders(orders: DataFrame) -> DataFrame:
     """The newest row of each order; a row without a time counts as newest."""
-    return latest_per_key(orders, ["order_id"], [F.desc_nulls_first("order_timestamp")])
+    rest = [c for c in orders.columns if c not in ("order_id", "order_timestamp")]
+    return latest_per_key(orders, ["order_id"], [F.desc_nulls_first("order_timestamp")], rest)
 
 
 def is_loadable() -> Column:

@@ -37,7 +37,7 @@ def expect_or_drop(stream: DataFrame, rule: Column) -> DataFrame:
         EXPECTATION,
         F.count(F.lit(1)).alias("n_in"),
         F.count_if(~kept).alias("n_dropped"),
-    ).filter(kept)
+    ).filter(rule)
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
