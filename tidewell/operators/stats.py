@@ -57,17 +57,19 @@ def amount_stats(df: DataFrame, column: str, scale: int = 4) -> DataFrame:
     table in one task, so the median is searched in passes over the frequencies
     instead. Values have at most ``scale`` decimals.
     """
-    schema = "mean double, median double, sum double, average_basket double"
     unit = 10**scale
     amounts = df.select(F.col(column).cast(f"decimal(18,{scale})").alias("amount"))
     in_units = F.round(F.col("amount") * F.lit(unit)).cast("bigint").alias("v")
     frequencies = value_counts(amounts, "amount").select(in_units, "n")
     with materialized(frequencies, "value-counts") as counts:
         found = _amount_stats(counts, unit)
-    return df.sparkSession.createDataFrame([found], schema)
+    named = zip(["mean", "median", "sum", "average_basket"], found)
+    one_row = df.sparkSession.range(1, numPartitions=1)
+    return one_row.select(*[F.lit(value).cast("double").alias(name) for name, value in named])
 
 
 def _amount_stats(counts: DataFrame, unit: int) -> tuple:
+    """Mean, median, sum and mean again; all None without a value."""
     exact = F.sum(F.col("v").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)"))
     whole = counts.agg(
         F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), exact.alias("sum")
