@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidewell.queries.registry import all_queries  # noqa: E402
+from tidewell.queries import all_queries  # noqa: E402
 from tidewell.session import build_session  # noqa: E402
 
 

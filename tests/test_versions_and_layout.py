@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import layout
 from tidewell.operators.versions import VersionedTable
+from tidewell.session import path_bytes
 
 
 def orders(spark):
@@ -174,7 +175,8 @@ def test_compact(spark, folder):
 
 def test_cluster_narrows_files(spark, folder):
     many_files(spark, f"{folder}/a")
-    layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer", 10)
+    size = path_bytes(spark, f"{folder}/a")
+    layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer", file_bytes=size // 10)
     ranges = []
     for part in pathlib.Path(f"{folder}/b").glob("*.parquet"):
         column = pq.read_table(part, columns=["customer"]).column("customer").to_pylist()
@@ -194,7 +196,8 @@ def test_cluster_cuts_a_hot_value(spark, folder):
         F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id")).alias("customer"), F.lit("x").alias("v")
     )
     hot.repartition(4).write.parquet(f"{folder}/a")
-    layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer", 8)
+    size = path_bytes(spark, f"{folder}/a")
+    layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer", file_bytes=size // 8)
     sizes = [pq.read_metadata(p).num_rows for p in pathlib.Path(f"{folder}/b").glob("*.parquet")]
     assert sum(sizes) == 4000
     assert max(sizes) < 4000 / 3
@@ -202,7 +205,7 @@ def test_cluster_cuts_a_hot_value(spark, folder):
 
 def test_cluster_within_partitions(spark, folder):
     many_files(spark, f"{folder}/a")
-    layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer", 6, ["country"])
+    layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer", ["country"])
     found = layout.file_inventory(spark, f"{folder}/b", ["country"])
     assert rows(found.select("country", "n_rows")) == [("IN", 1200), ("US", 2800)]
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.session import path_bytes
 from tidewell.sources import row_position
 
+FILE_BYTES = 256 * 1024**2
+
 
 def partition_inventory(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows per partition value."""
@@ -46,16 +50,17 @@ def cluster(
     path: str,
     target: str,
     column: str,
-    n_files: int,
     partition_by: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
 ) -> None:
-    """Rewrite a table so that each file covers a narrow range of ``column``.
+    """Rewrite a table so that each file, of about ``file_bytes``, covers a narrow range of ``column``.
 
     A scan for one value then skips most files by their minimum and maximum.
     The row's place in the old files is part of the range key: a value that
     holds much of the table is cut over several tasks, and a task that is run
     again sends each row where it went before.
     """
+    n_files = max(1, math.ceil(path_bytes(spark, path) / file_bytes))
     rows = spark.read.option("mergeSchema", True).parquet(path)
     columns = rows.columns
     placed: list[Column | str] = [*partition_by, column, "_file", "_row"]

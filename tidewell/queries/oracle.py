@@ -9,7 +9,7 @@ from __future__ import annotations
 from tidewell.operators import generate
 from tidewell.operators.quality import LOW_VOLUME_MESSAGE
 from tidewell.plans.orders import PARTITIONS
-from tidewell.queries.registry import (
+from tidewell.queries.steps import (
     COUNTRY,
     DISTANCE_UNDER,
     DOMAIN,
@@ -462,5 +462,53 @@ def all_oracles() -> dict[str, str]:
         "preview_first_n": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
         "preview_last_n": "SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 10",
         "shuffled_sales": _sql("SELECT * FROM sales", "sales"),
+        "stored_csv_strings": """
+            SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer""",
+        "stored_csv_inferred": """
+            SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS day
+            FROM orders""",
+        "stored_csv_positional": """
+            SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 10 <> 0""",
+        "stored_csv_rejected": """
+            SELECT count(*) AS n_rejected FROM customer WHERE c_custkey % 10 = 0""",
+        "stored_json_lines": _sql(
+            "SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id) FROM staged", "staged"
+        ),
+        "stored_bronze_appended": _sql(
+            "SELECT *, 'manual_csv' AS source_system FROM sales UNION ALL "
+            "SELECT *, 'manual_csv' AS source_system FROM sales",
+            "sales",
+        ),
+        "stored_new_columns": """
+            SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END
+                   AS o_orderpriority FROM orders""",
+        "stored_partition_scan": _sql(
+            f"SELECT * FROM order_book WHERE country = '{COUNTRY}' AND status = 'O'", "order_book"
+        ),
+        "stored_partition_counts": _sql(
+            "SELECT country, status, count(*) AS n_rows FROM order_book GROUP BY 1, 2", "order_book"
+        ),
+        "stored_quarantine": _sql("SELECT * FROM judged WHERE reject_reason IS NOT NULL", "judged"),
+        "stored_compacted": _sql("SELECT * FROM order_book", "order_book"),
+        "stored_clustered": _sql("SELECT * FROM order_book", "order_book"),
+        "stored_merge": _sql(
+            f"""SELECT * FROM order_book WHERE order_id % 5 <> 0 OR country <> '{COUNTRY}'
+                UNION ALL
+                SELECT * REPLACE (amount * 2 AS amount) FROM order_book
+                WHERE order_id % 5 = 0 AND country = '{COUNTRY}'
+                UNION ALL
+                SELECT * REPLACE (-1 - order_id AS order_id, amount * 2 AS amount) FROM order_book
+                WHERE order_id % 5 = 0 AND country = '{COUNTRY}'""",
+            "order_book",
+        ),
+        "audit_trail": _sql(
+            """SELECT 'silver' AS pipeline_layer, event_type, record_count, status,
+                      CAST(NULL AS VARCHAR) AS error_message
+               FROM (SELECT 'START' AS event_type, 0 AS record_count, 'RUNNING' AS status
+                     UNION ALL SELECT 'END', count(*), 'SUCCESS' FROM silver
+                     UNION ALL SELECT 'REJECTED', count(*), 'SUCCESS' FROM judged
+                     WHERE reject_reason IS NOT NULL)""",
+            "silver",
+        ),
         "generate_sales": _generated(),
     }

@@ -1,12 +1,7 @@
-"""One query per step. Each takes a session and the folder of the test tables.
-
-Decimals are shown as DOUBLE, so that results compare across engines.
-"""
+"""One query per step, over the test tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,39 +22,17 @@ from tidewell.plans import orders as order_plan
 from tidewell.plans import pos, taxi, warehouse
 from tidewell.plans import sales as sales_plan
 from tidewell.queries import views
+from tidewell.queries.register import query
 from tidewell.session import fresh_path, materialize
 from tidewell.sources import inline_rows, row_position
 from tidewell.streaming import expect_or_drop, read_stream_table, run_available
 
-Query = Callable[[SparkSession, str], DataFrame]
-
 FARE_OVER, DISTANCE_UNDER = 50000, 5
 COUNTRY = "NATION_1"
 ORDER_DAY = "1999-01-15"
 SLICE_DAY, NEXT_DAY = "1996-07-06", "1996-07-07"
 DOMAIN = ["view", "click", "purchase"]
 
-_REGISTRY: dict[str, Query] = {}
-
-
-def _shown(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[
-            F.col(name).cast("double").alias(name) if kind.startswith("decimal") else F.col(name)
-            for name, kind in df.dtypes
-        ]
-    )
-
-
-def query(build: Query) -> Query:
-    _REGISTRY[build.__name__] = lambda spark, folder: _shown(build(spark, folder))
-    return build
-
-
-def all_queries() -> dict[str, Query]:
-    return dict(_REGISTRY)
-
-
 # -- trips -----------------------------------------------------------------
 
 

@@ -69,6 +69,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below ``path``, from the file system's own records."""
+    files, place = _place(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     files, place = _place(spark, path)
     files.delete(place, True)

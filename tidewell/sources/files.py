@@ -42,14 +42,14 @@ def read_csv_with_date(
     return df.withColumn(date_column, F.to_date(date_column))
 
 
-def _split_lines(spark: SparkSession, path: str, header: str) -> DataFrame:
+def _data_lines(spark: SparkSession, path: str, header: str) -> tuple[DataFrame, Column]:
+    """All lines but the header, and the fields of a line."""
+
     def squeezed(text: Column) -> Column:
-        return F.lower(F.regexp_replace(text, r"\s+", ""))
+        return F.lower(F.translate(text, " \t\r", ""))
 
-    lines = spark.read.text(path)
-    return lines.filter(squeezed(F.col("value")) != squeezed(F.lit(header))).select(
-        F.transform(F.split("value", ",", -1), trimmed).alias("fields")
-    )
+    lines = spark.read.text(path).filter(squeezed(F.col("value")) != squeezed(F.lit(header)))
+    return lines, F.split("value", ",", -1)
 
 
 def read_csv_positional(
@@ -63,11 +63,12 @@ def read_csv_positional(
     defaults to the column names. A field that does not fit its type fails the
     job, as a typed load should.
     """
-    fields = schema.fields
-    lines = _split_lines(spark, path, header or ",".join(schema.fieldNames()))
-    good = lines.filter(F.size("fields") == len(fields))
+    lines, fields = _data_lines(spark, path, header or ",".join(schema.names))
+    good = lines.filter(F.size(fields) == len(schema)).select(
+        F.transform(fields, trimmed).alias("fields")
+    )
     return good.select(
-        *[F.col("fields")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+        *[F.col("fields")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
     )
 
 
@@ -75,18 +76,30 @@ def rejected_lines(
     spark: SparkSession, path: str, schema: T.StructType, header: str | None = None
 ) -> DataFrame:
     """One row, ``n_rejected``: the lines ``read_csv_positional`` leaves out."""
-    lines = _split_lines(spark, path, header or ",".join(schema.fieldNames()))
-    bad = F.size("fields") != len(schema.fields)
-    return lines.agg(F.count_if(bad).alias("n_rejected"))
+    lines, fields = _data_lines(spark, path, header or ",".join(schema.names))
+    return lines.agg(F.count_if(F.size(fields) != len(schema)).alias("n_rejected"))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines with named fields.
 
-    Blank lines are skipped, a missing field is NULL, other fields are ignored
-    and a broken line fails the job. Fields are read as text and then cast, so
-    ``7`` and ``"7"`` are the same number.
+    Blank lines are skipped, a missing field is NULL and other fields are
+    ignored. A line that is not one JSON object fails the job. Fields are read as
+    text and then cast, so ``7`` and ``"7"`` are the same number.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    df = spark.read.schema(as_text).option("mode", "FAILFAST").json(path)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    line = F.col("line")
+    lines = spark.read.text(path).select(trimmed("value").alias("line")).filter(line != "")
+    # Spark's parser stops at the end of the first value and would not see what
+    # follows it; as the only element of a list, the line has to be complete.
+    listed = F.from_json(
+        F.concat(F.lit("["), line, F.lit("]")), T.ArrayType(as_text), {"mode": "FAILFAST"}
+    )
+    is_object = line.startswith("{") & line.endswith("}") & (F.size("listed") == 1)
+    record = F.when(is_object, F.col("listed")[0]).otherwise(
+        F.raise_error(F.concat(F.lit("malformed line, not one JSON object: "), line))
+    )
+    records = lines.select("line", listed.alias("listed")).select(record.alias("record"))
+    return records.select(
+        *[F.col("record")[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
