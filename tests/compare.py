@@ -54,6 +54,26 @@ def duck_rows(con, sql: str):
     return bag([d[0] for d in found.description], found.fetchall())
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_differences(df, con, sql: str) -> dict:
+    """Columns whose types are not the same in both engines."""
+    spark_types = {name: SQL_TYPES.get(kind, kind) for name, kind in df.dtypes}
+    sql_types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    names = spark_types.keys() | sql_types.keys()
+    pairs = {n: (spark_types.get(n), sql_types.get(n)) for n in names}
+    return {n: pair for n, pair in pairs.items() if pair[0] != pair[1]}
+
+
 def differences(left, right, limit: int = 3) -> str:
     """Empty when equal."""
     if left[0] != right[0]:

@@ -1,7 +1,7 @@
 """Every registered query against its SQL."""
 
 import pytest
-from compare import differences, duck, duck_rows, spark_rows
+from compare import differences, duck, duck_rows, spark_rows, type_differences
 
 import __spark_entry__ as contract
 
@@ -36,8 +36,9 @@ def test_each_query_has_sql():
 
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_small(spark, small, name):
-    found = spark_rows(contract.queries()[name](spark, SMALL))
-    assert differences(found, duck_rows(small, contract.oracle_sql()[name])) == ""
+    found, sql = contract.queries()[name](spark, SMALL), contract.oracle_sql()[name]
+    assert type_differences(found, small, sql) == {}
+    assert differences(spark_rows(found), duck_rows(small, sql)) == ""
 
 
 @pytest.mark.parametrize("name", ON_LARGER)

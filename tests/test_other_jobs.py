@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidewell.operators import generate
 from tidewell.plans import orders, pos, taxi
 from tidewell.sinks import overwrite_partitioned
+from tidewell.streaming import ExpectationMeter, expect_or_drop, read_stream_table, run_available
 
 # -- order table -------------------------------------------------------------
 
@@ -161,6 +162,22 @@ def test_trip_job_takes_each_row_once(spark, folder):
     ]
 
 
+def test_backlog_is_taken_in_batches_and_counted_whole(spark, folder):
+    for i in range(5):
+        trips(spark, FIRST).coalesce(1).write.mode("append").parquet(f"{folder}/source")
+    meter = ExpectationMeter()
+    spark.streams.addListener(meter)
+    try:
+        lines = read_stream_table(spark, f"{folder}/source", TRIPS, max_files_per_batch=2)
+        kept = expect_or_drop(lines, taxi.valid_distance())
+        query = run_available(kept, f"{folder}/raw", f"{folder}/checkpoint")
+        assert meter.counts(query) == {"n_in": 35, "n_dropped": 15}
+        assert query.lastProgress.batchId == 2
+    finally:
+        spark.streams.removeListener(meter)
+    assert spark.read.parquet(f"{folder}/raw").count() == 20
+
+
 def test_top_rides_keep_a_week_without_averages(spark):
     flagged = taxi.flagged_rides(trips(spark, FIRST).filter(taxi.valid_distance()))
     weekly = taxi.weekly_stats(trips(spark, FIRST)).filter("week > '2024-01-05'")

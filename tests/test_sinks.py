@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell import sinks
 from tidewell.operators.layout import file_inventory
+from tidewell.plans.warehouse import CUSTOMER_SCHEMA
 from tidewell.sources import read_named, read_path
 
 
@@ -100,6 +101,9 @@ def test_catalog(spark, sample, folder):
         sinks.save_managed(sample, "sample")
         sinks.save_managed(sample.limit(1), "sample")
         assert read_named(spark, "sample").count() == 1
+        sinks.ensure_named_table(spark, "declared", CUSTOMER_SCHEMA)
+        sinks.ensure_named_table(spark, "declared", CUSTOMER_SCHEMA)
+        assert read_named(spark, "declared").schema == CUSTOMER_SCHEMA
         sinks.overwrite_partitioned(sample, f"{folder}/ext", ["country"])
         sinks.register_folder(spark, "ext", f"{folder}/ext", ["country"])
         assert read_named(spark, "ext").count() == 3

@@ -348,7 +348,7 @@ def all_oracles() -> dict[str, str]:
                             FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
             days AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE)
                             AS order_date FROM counts)
-            SELECT order_date, coalesce(n, 0) AS order_count, 3 AS threshold,
+            SELECT order_date, coalesce(n, 0) AS order_count, CAST(3 AS BIGINT) AS threshold,
                    '{LOW_VOLUME_MESSAGE}' AS message
             FROM days LEFT JOIN counts ON d = order_date WHERE coalesce(n, 0) < 3""",
         "pruned_orders": _sql(
@@ -435,7 +435,9 @@ def all_oracles() -> dict[str, str]:
             "SELECT min(transaction_id) AS min_id, max(transaction_id) AS max_id FROM sales",
             "sales",
         ),
-        "table_shape": _sql(f"SELECT count(*) AS n_rows, {len(_POS_TYPES)} AS n_cols FROM pos", "pos"),
+        "table_shape": _sql(
+            f"SELECT count(*) AS n_rows, CAST({len(_POS_TYPES)} AS BIGINT) AS n_cols FROM pos", "pos"
+        ),
         "table_info": _sql(
             " UNION ALL ".join(
                 f"""SELECT '{c}' AS "column", '{t}' AS "type", count("{c}") AS n_non_null FROM pos"""

@@ -4,6 +4,7 @@ from tidewell.sinks.catalog import (
     current_namespace,
     drop_table,
     ensure_database,
+    ensure_named_table,
     list_partitions,
     register_folder,
     save_managed,
@@ -27,6 +28,7 @@ __all__ = [
     "current_namespace",
     "drop_table",
     "ensure_database",
+    "ensure_named_table",
     "list_partitions",
     "overwrite",
     "overwrite_partitioned",

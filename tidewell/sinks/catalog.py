@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -19,6 +20,12 @@ def current_namespace(spark: SparkSession) -> DataFrame:
     return spark.sql("SELECT current_catalog() AS catalog, current_schema() AS database")
 
 
+def ensure_named_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Create an empty managed table with a declared schema unless there is one already."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, source="parquet", schema=schema)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 

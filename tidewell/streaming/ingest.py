@@ -19,14 +19,16 @@ def read_stream_table(
     path: str,
     schema: T.StructType,
     files: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_batch: int = 20_000,
 ) -> DataFrame:
-    """Rows appended to a Parquet folder, each once. ``files`` is a name pattern."""
-    reader = spark.readStream.schema(schema)
+    """Rows appended to a Parquet folder, each once. ``files`` is a name pattern.
+
+    A large backlog is taken in several batches, so that a failure costs one
+    batch and not the whole run.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_batch)
     if files:
         reader = reader.option("pathGlobFilter", files)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
 
 
@@ -44,7 +46,7 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     """Append everything that has arrived since the last run, then stop.
 
     The checkpoint remembers what has been read: a rerun, also after a failure,
-    adds no row twice. Large backlogs are taken in several batches.
+    adds no row twice.
     """
     query = (
         stream.writeStream.format("parquet")
