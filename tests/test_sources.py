@@ -80,8 +80,8 @@ def test_json_lines(spark, tmp_path):
     text = (
         '{"order_id": "A", "order_timestamp": "2025-01-01T10:00:00", "customer_id": 1, '
         '"product_id": "2", "quantity": 3, "total_amount": 9.99, "currency": "USD", "status": "NEW"}\n'
-        "\n   \n"
-        '{"order_id": "B", "colour": "red"}\n'
+        "\n   \n \t \n"
+        '\t{"order_id": "B", "colour": "red", "nested": [{"a": 1}, {"b": 2}]} \t\n'
     )
     found = sources.read_json_lines(spark, put(tmp_path / "o.json", text), ORDER_SCHEMA)
     assert found.schema == ORDER_SCHEMA
