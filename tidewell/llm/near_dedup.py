@@ -271,7 +271,9 @@ def _labels(docs: DataFrame, classes: DataFrame, rule: Rule, chunk: int) -> Data
     keyed = _row_keys(docs).select(
         F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), "h", "text"
     )
-    texts = materialize(keyed.join(reps, ["k", "h"]).select("fp", "text"), "candidate-texts")
+    # What is joined with texts grows with the corpus: it is merged at every size, never broadcast.
+    texts = keyed.join(reps.hint("merge"), ["k", "h"]).select("fp", "text")
+    texts = materialize(texts, "candidate-texts").hint("merge")
 
     pairs = members.filter("fp <> pivot").select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
     pairs = materialize(pairs.distinct(), "pairs")
