@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, decontaminate, language_id, near_dedup, secret_scan, spans
+from tidewell.llm import bpe, decontaminate, language_id, near_dedup, secret_scan, spans, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,31 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return substring_dedup.without_repeats(docs).select(
+        "document.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+_SQL["op1_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+repeated AS (SELECT doc_id, i FROM windows JOIN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1) USING (h)),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM repeated),
+kept AS (
+  SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) x
+  ANTI JOIN covered c ON c.doc_id = x.doc_id AND c.p = x.p GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def vocabulary() -> tuple[str, str]:
     """The file of ranks, and the pattern that cuts pre-tokens."""
     import public_tokenizers
