@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, decontaminate, language_id, near_dedup, secret_scan, spans, substring_dedup
+from tidewell.llm import (
+    bpe,
+    decontaminate,
+    language_id,
+    near_dedup,
+    nearest,
+    pii,
+    revisits,
+    secret_scan,
+    spans,
+    substring_dedup,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +77,21 @@ def token_digests() -> list[Column]:
     ]
 
 
+# Fixed values of the contract.
+URL_RULES = [
+    url_filter.Rule(url_filter.ALLOW, "org/"),
+    url_filter.Rule(url_filter.BLOCK, "example.org/es/"),
+    url_filter.Rule(url_filter.BLOCK, "example.org/en/1"),
+    url_filter.Rule(url_filter.ALLOW, "com/fr/"),
+    url_filter.Rule(url_filter.BLOCK, "com/de/"),
+]
+
+
+@_query
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(_table(spark, folder, "pages"), URL_RULES)
+
+
 @_query
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
@@ -83,6 +110,22 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.select("document.doc_id", *token_digests())
 
 
+@_query
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *[_count(kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(spans.written(F.col("base")), 256).alias("base_sha256"),
+        spans.written(F.col("all_spans")).alias("spans"),
+    )
+
+
+def _count(kind: str) -> Column:
+    """n_<kind>: how many of `base` are of this kind."""
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
 @_query
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(
@@ -128,6 +171,56 @@ FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@_query
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@_query
+def op8_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve(revisits.records_of(_table(spark, folder, "pages")))
+    written = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.withColumn("headers", F.array_join(written, ";"))
+
+
+_SQL["op8_warc_revisits"] = r"""
+WITH p AS (SELECT page_id, url, '"' || md5(coalesce(html, '')) || '"' AS tag, 'day ' || CAST(page_id % 365 AS VARCHAR) AS day,
+                  sha256(coalesce(html, '')) AS digest, page_id % 7 AS nth FROM pages),
+raw AS (
+  SELECT 2 * page_id AS record_id, 'response' AS kind, url, page_id * 7919 % 1000003 AS seen_at,
+         CASE WHEN nth <> 6 THEN tag END AS etag, day AS modified, digest FROM p
+  UNION ALL
+  SELECT 2 * page_id + 1, 'revisit', CASE WHEN nth < 4 THEN regexp_replace(url, '#.*$', '') || '#again' ELSE url END,
+         (page_id * 7919 + CASE WHEN nth = 3 THEN -50 ELSE 5000 END + 1000003) % 1000003,
+         CASE WHEN nth = 0 THEN 'W/' || tag WHEN nth = 1 THEN '"other"' WHEN nth < 5 THEN tag END,
+         CASE WHEN nth = 5 THEN day END, NULL FROM p),
+bare AS (SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM raw),
+c AS (
+  SELECT record_id, kind, seen_at, etag, modified, digest,
+    regexp_replace(regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '') ||
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '^[^/?]*', ''),
+      '([?&])utm_[a-z]+=[^&]*', '\1', 'g'), '&&+', '&', 'g'), '\?&', '?', 'g'), '[?&/]+$', '') AS canonical_url
+  FROM bare),
+j AS (
+  SELECT v.record_id AS revisit_id, v.canonical_url, v.etag, v.modified, r.record_id AS response_id,
+         r.etag AS r_etag, r.modified AS r_modified, r.digest
+  FROM (SELECT * FROM c WHERE kind = 'revisit') v
+  LEFT JOIN c r ON r.kind = 'response' AND r.canonical_url = v.canonical_url AND r.seen_at < v.seen_at
+  QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY r.seen_at DESC NULLS LAST, r.record_id DESC) = 1),
+s AS (
+  SELECT *, CASE WHEN response_id IS NULL THEN 'missing'
+    WHEN CASE WHEN etag IS NOT NULL AND r_etag IS NOT NULL THEN regexp_replace(etag, '^W/', '') = regexp_replace(r_etag, '^W/', '')
+              WHEN modified IS NOT NULL AND r_modified IS NOT NULL THEN modified = r_modified ELSE false END
+    THEN 'resolved' ELSE 'changed' END AS state FROM j)
+SELECT revisit_id, canonical_url, response_id, state,
+  CASE WHEN state = 'resolved' THEN array_to_string(list_filter(['content-type=text/html', 'date=second',
+    CASE WHEN coalesce(etag, r_etag) IS NOT NULL THEN 'etag=' || coalesce(etag, r_etag) END, 'expires=never',
+    'last-modified=' || r_modified], lambda x: x IS NOT NULL), ';') END AS headers,
+  CASE WHEN state = 'resolved' THEN digest END AS digest
+FROM s
+"""
+
+
 @_query
 def op9_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rule = near_dedup.Rule(shingle=3, percent=85)
@@ -167,12 +260,9 @@ FROM d JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
 @_query
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(_table(spark, folder, "documents"))
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
     return found.select(
         "doc_id",
-        count("assign").alias("n_assign"),
-        count("access").alias("n_access"),
-        count("hex").alias("n_hex"),
+        *[_count(kind) for kind in ("assign", "access", "hex")],
         F.sha2(spans.written(F.col("base")), 256).alias("base_sha256"),
         spans.written(F.col("all_spans")).alias("spans"),
         F.col("live").alias("n_live"),
