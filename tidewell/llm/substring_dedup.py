@@ -161,7 +161,7 @@ def _extender(window: int, anchor: int, buckets: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                texts = W.utf8(part.column("text"))
+                texts = W.utf8(part.column("document").field("text"))
                 keys, checks = part.column("k").to_pylist(), part.column("k2").to_pylist()
                 hits = part.column("hits").to_pylist()
                 for first, last in W.blocks(texts):
@@ -245,7 +245,7 @@ def _cutter(window: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                texts, checks = W.utf8(part.column("text")), part.column("k2").to_pylist()
+                texts, checks = W.utf8(part.column("document").field("text")), part.column("k2").to_pylist()
                 found = part.column("repeats").to_pylist()
                 n_words, n_removed, kept = [], [], []
                 for first, last in W.blocks(texts):
@@ -296,19 +296,19 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.struct("*").alias("document"),
         F.xxhash64("doc_id", "text").alias("k"),
         F.hash("text").alias("k2"),
-        F.col("text").alias("text"),
     )
-    probed = rows.select("k", "text").mapInArrow(_prober(window, anchor, buckets), _PACKED)
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("k"), F.col("text").alias("text"))
+    probed = texts.mapInArrow(_prober(window, anchor, buckets), _PACKED)
     hits = probed.groupBy("bucket").applyInArrow(_finder(two=False), _SPOTS)
     by_document = hits.groupBy("k").agg(F.collect_list("places").alias("hits"))
     extended = (
         rows.join(by_document, "k")
-        .select("document", "k", "k2", "text", "hits")
+        .select("document", "k", "k2", "hits")
         .mapInArrow(_extender(window, anchor, buckets), _PACKED)
     )
     repeats = extended.groupBy("bucket").applyInArrow(_finder(two=True), _SPOTS)
     marks = repeats.groupBy("k").agg(F.collect_list(F.struct("k2", "places")).alias("repeats"))
-    marked = rows.join(marks, "k", "left").select("document", "k", "k2", "text", "repeats")
+    marked = rows.join(marks, "k", "left").select("document", "k", "k2", "repeats")
     schema = rows.select("document").schema
     for name, kind in (("n_words", "long"), ("n_removed", "long"), ("kept_text", "string")):
         schema = schema.add(name, kind)
