@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,15 +99,15 @@ class Codec:
         coded = self.processor.encode([mapped(p.encode()) for p in new]) if new else []
         for word, ids in zip(new, coded, strict=True):
             self.seen[word] = [self.ranks[i - 1] for i in ids]
-        seen = self.seen
-        return [list(chain.from_iterable([seen[p] for p in words])) for words in cut]
+        get = self.seen.__getitem__
+        return [list(chain.from_iterable(map(get, words))) for words in cut]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         if not self.pieces:
             for place, rank in enumerate(self.ranks):
                 piece = self.processor.id_to_piece(place + 1)
                 self.pieces[rank] = bytes([ord(c) - _FIRST for c in piece])
-        return b"".join([self.pieces[i] for i in ids])
+        return b"".join(map(self.pieces.__getitem__, ids))
 
 
 _CODECS: dict[tuple, Codec] = {}
@@ -147,7 +148,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for part in _groups(batch):
                 ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("document"), pa.array(ids, pa.list_(pa.int32()))], names=["document", "ids"]
+                    [part.column("document"), _lists(ids)], names=["document", "ids"]
                 )
 
     rows = shipped(docs).select(F.struct("*").alias("document"), F.col("text").alias("text"))
@@ -162,7 +163,9 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = _codec(sent, pattern)
         for batch in batches:
             for part in _groups(batch):
-                data = [codec.decode(ids or []) for ids in part.column("ids").to_pylist()]
+                ids = part.column("ids")
+                sizes, flat = ids.value_lengths().fill_null(0).to_pylist(), iter(ids.flatten().to_numpy().tolist())
+                data = [codec.decode(islice(flat, n)) for n in sizes]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(data, pa.binary())], names=[*part.schema.names, "decoded"]
                 )
@@ -170,5 +173,12 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     return shipped(tokens).mapInArrow(work, _schema(tokens).add("decoded", "binary"))
 
 
+def _lists(rows: list[list[int]]) -> pa.ListArray:
+    """Lists of int as one flat array and its bounds, which is much faster than value by value."""
+    bounds = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    flat = np.fromiter(chain.from_iterable(rows), np.int32, int(bounds[-1]))
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+
+
 def _schema(df: DataFrame, *names: str):
     return StructType([f for f in df.schema.fields if not names or f.name in names])
