@@ -11,7 +11,7 @@ words that starts at a multiple of `anchor` in its document. So:
    `window` words and more.
 3. Cut. The words they cover leave the text.
 
-A hash that a third of all documents hold is sent once for each unit of some million words: what
+A hash that a third of all documents hold is sent once for each unit of half a million words: what
 occurs twice in a unit is decided there. So no bucket grows with a hot passage.
 """
 
@@ -29,7 +29,7 @@ from tidewell.llm.shipping import shipped
 
 WINDOW = 35
 #: Words of a unit, and of a bucket on average; they bound a task's memory.
-UNIT, BUCKET = 1 << 20, 4 << 20
+UNIT, BUCKET = 1 << 19, 4 << 20
 LEAST_BUCKETS = 40
 
 _PACKED = (

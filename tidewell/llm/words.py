@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 _RANDOM = np.random.default_rng(20240229)
