@@ -146,12 +146,12 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = _codec(sent, pattern)
         for batch in batches:
             for part in _groups(batch):
-                ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
+                ids = codec.encode([t or "" for t in part.column("document").field("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("document"), _lists(ids)], names=["document", "ids"]
                 )
 
-    rows = shipped(docs).select(F.struct("*").alias("document"), F.col("text").alias("text"))
+    rows = shipped(docs).select(F.struct("*").alias("document"))
     return rows.mapInArrow(work, _schema(rows, "document").add("ids", ArrayType(IntegerType())))
 
 

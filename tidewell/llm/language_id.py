@@ -295,7 +295,7 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 300):
                 part = batch.slice(at, 300)
-                texts = [t or "" for t in part.column("text").to_pylist()]
+                texts = [t or "" for t in part.column("document").field("text").to_pylist()]
                 found = predictor.predict(texts) if predictor else [(UNKNOWN, 0.0)] * len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -306,7 +306,7 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
                     names=["document", "lang_pred", "score"],
                 )
 
-    rows = shipped(docs).select(F.struct("*").alias("document"), F.col("text").alias("text"))
+    rows = shipped(docs).select(F.struct("*").alias("document"))
     schema = StructType([rows.schema["document"]]).add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(work, schema)
 

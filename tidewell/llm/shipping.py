@@ -11,13 +11,20 @@ from pyspark.sql import DataFrame
 
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
 
+#: Rows of whole texts that go to a worker at once, where the session does not say otherwise.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def shipped(df: DataFrame) -> DataFrame:
     """`df` itself; its session's executors can import the package from then on.
 
-    The archive is written on the driver and handed out by Spark.
+    The archive is written on the driver and handed out by Spark. Batches are made small unless the
+    session's are set: Spark's own size is meant for rows of numbers, not of whole texts.
     """
     context = df.sparkSession.sparkContext
+    if df.sparkSession.conf.get(_BATCH) == "10000":
+        df.sparkSession.conf.set(_BATCH, str(BATCH_ROWS))
     if context not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="tidewell-package-")) / "tidewell_package.zip"
