@@ -24,7 +24,7 @@ from tidewell.llm.shipping import shipped
 #: Byte b stands as this code point plus b: letters that nothing normalises or splits.
 _FIRST = 0x100
 #: Distinct pre-tokens a worker remembers; bounds its memory.
-CACHE = 200_000
+CACHE = 100_000
 
 _CHARACTERS = [chr(_FIRST + b) for b in range(256)]
 
@@ -128,7 +128,7 @@ def _sent(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast((serialised(ranks), sorted(ranks.values())))
 
 
-def _groups(batch: pa.RecordBatch, rows: int = 400) -> Iterator[pa.RecordBatch]:
+def _groups(batch: pa.RecordBatch, rows: int = 100) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 

@@ -30,7 +30,7 @@ SAMPLE_ROWS, MAX_LANGUAGES = 120, 64
 #: Hashed features, lexicon words, rounds of fitting.
 FEATURES, LEXICON, ROUNDS = 1 << 16, 20_000, 40
 #: Words a worker remembers the scores of; bounds its memory.
-CACHE = 200_000
+CACHE = 60_000
 UNKNOWN = "und"
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -293,8 +293,8 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(sent.value) if sent.value else None
         for batch in batches:
-            for at in range(0, batch.num_rows, 300):
-                part = batch.slice(at, 300)
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
                 texts = [t or "" for t in part.column("document").field("text").to_pylist()]
                 found = predictor.predict(texts) if predictor else [(UNKNOWN, 0.0)] * len(texts)
                 yield pa.RecordBatch.from_arrays(

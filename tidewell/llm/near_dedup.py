@@ -95,8 +95,8 @@ def _band_keys(signatures: np.ndarray) -> np.ndarray:
 def _tagger(shingle: int):
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 300):
+                part = batch.slice(at, 300)
                 sets = shingle_sets(W.utf8(part.column("text")), shingle)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 bands: list = [None] * len(sets)
@@ -134,8 +134,8 @@ def _verifier(rule: Rule):
         key, ours, own = None, None, None
         for batch in batches:
             found: list[tuple[bytes, bytes]] = []
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 sets = shingle_sets(W.utf8(part.column("text_b")), rule.shingle)
                 signs = minima(sets)
                 firsts = part.column("a").to_pylist()

@@ -159,8 +159,8 @@ def _extender(window: int, anchor: int, buckets: int):
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = _Unit(buckets, two=True)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 texts = W.utf8(part.column("document").field("text"))
                 keys, checks = part.column("k").to_pylist(), part.column("k2").to_pylist()
                 hits = part.column("hits").to_pylist()
@@ -243,8 +243,8 @@ def _finder(two: bool):
 def _cutter(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 texts, checks = W.utf8(part.column("document").field("text")), part.column("k2").to_pylist()
                 found = part.column("repeats").to_pylist()
                 n_words, n_removed, kept = [], [], []
