@@ -22,10 +22,10 @@ from tidewell.llm.shipping import shipped
 from tidewell.session import materialize
 
 #: Vectors that the tree is fitted on, and queries it is calibrated with.
-SAMPLE, TRIALS = 20_000, 300
-BRANCHES, LEAF = 8, 48
+SAMPLE, TRIALS = 10_000, 300
+BRANCHES, LEAF = 8, 160
 #: Recall on the sample that ends the widening.
-TARGET = 0.98
+TARGET = 0.95
 #: Vectors and queries in one task.
 CHUNK, QUERIES = 4096, 512
 
