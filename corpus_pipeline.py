@@ -38,7 +38,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the token ids, and digests of these and of what they decode to."""
     path, pattern = vocabulary()
-    tokens = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    tokens = bpe.round_trip(docs, path, pattern)
     return tokens.select("document.doc_id", "document.lang", "document.source", "ids", *token_digests())
 
 

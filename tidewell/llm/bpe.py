@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from tidewell.llm.shipping import shipped
+from tidewell.llm.shipping import shipped, tidied
 
 #: Byte b stands as this code point plus b: letters that nothing normalises or splits.
 _FIRST = 0x100
@@ -173,6 +173,25 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     return shipped(tokens).mapInArrow(work, _schema(tokens).add("decoded", "binary"))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """`encode` and `decode` in one worker: document, ids, and what the ids decode to."""
+    sent = _sent(docs, path)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(sent, pattern)
+        for batch in batches:
+            for part in _groups(batch):
+                ids = codec.encode([t or "" for t in part.column("document").field("text").to_pylist()])
+                data = pa.array([codec.decode(row) for row in ids], pa.binary())
+                columns = [part.column("document"), _lists(ids), data]
+                yield pa.RecordBatch.from_arrays(columns, names=["document", "ids", "decoded"])
+        codec.seen = {}
+        tidied()
+
+    rows = shipped(docs).select(F.struct("*").alias("document"))
+    return rows.mapInArrow(work, _schema(rows).add("ids", ArrayType(IntegerType())).add("decoded", "binary"))
+
+
 def _lists(rows: list[list[int]]) -> pa.ListArray:
     """Lists of int as one flat array and its bounds, which is much faster than value by value."""
     bounds = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)

@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from tidewell.llm.shipping import shipped
+from tidewell.llm.shipping import shipped, tidied
 
 #: Labelled rows of each language that the field is fitted on, and languages at most.
 SAMPLE_ROWS, MAX_LANGUAGES = 120, 64
 #: Hashed features, lexicon words, rounds of fitting.
 FEATURES, LEXICON, ROUNDS = 1 << 16, 20_000, 40
 #: Words a worker remembers the scores of; bounds its memory.
-CACHE = 60_000
+CACHE = 150_000
 UNKNOWN = "und"
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -305,6 +305,8 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
                     ],
                     names=["document", "lang_pred", "score"],
                 )
+        predictor = None
+        tidied()
 
     rows = shipped(docs).select(F.struct("*").alias("document"))
     schema = StructType([rows.schema["document"]]).add("lang_pred", "string").add("score", "double")

@@ -106,7 +106,7 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = vocabulary()
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    tokens = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    tokens = bpe.round_trip(docs, path, pattern)
     return tokens.select("document.doc_id", *token_digests())
 
 

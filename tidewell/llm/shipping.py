@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import weakref
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
@@ -16,6 +20,14 @@ BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def tidied() -> None:
+    """Gives memory that a worker no longer uses back to the system; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def shipped(df: DataFrame) -> DataFrame:
     """`df` itself; its session's executors can import the package from then on.
 
