@@ -4,6 +4,7 @@ import pytest
 from compare import differences, duck, duck_rows, spark_rows, type_differences
 
 import __spark_entry__ as contract
+from tidewell.queries import all_oracles, all_queries
 
 SMALL = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -31,21 +32,21 @@ def larger():
 
 
 def test_each_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_small(spark, small, name):
-    found, sql = contract.queries()[name](spark, SMALL), contract.oracle_sql()[name]
+    found, sql = all_queries()[name](spark, SMALL), all_oracles()[name]
     assert type_differences(found, small, sql) == {}
     assert differences(spark_rows(found), duck_rows(small, sql)) == ""
 
 
 @pytest.mark.parametrize("name", ON_LARGER)
 def test_larger(spark, larger, name):
-    found = spark_rows(contract.queries()[name](spark, LARGER))
+    found = spark_rows(all_queries()[name](spark, LARGER))
     assert sum(found[1].values()) > 0
-    assert differences(found, duck_rows(larger, contract.oracle_sql()[name])) == ""
+    assert differences(found, duck_rows(larger, all_oracles()[name])) == ""
 
 
 def test_entry(spark):

@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+#: Wide enough for any amount and its fractions of a cent; sums of it are decimal(38,10).
+EXACT = "decimal(28,10)"
 
 
 def _column(value: Column | str) -> Column:
@@ -26,7 +28,7 @@ def money_total(value: Column | str) -> Column:
     return F.sum(as_money(value)).cast("double")
 
 
-def exact_mean(value: Column | str, number_type: str = "decimal(18,6)") -> Column:
+def exact_mean(value: Column | str, number_type: str = EXACT) -> Column:
     """Mean of the non-NULL values from an exact sum; NULL when there are none."""
     exact = _column(value).cast(number_type)
     return F.try_divide(F.sum(exact).cast("double"), F.count(exact).cast("double"))

@@ -99,18 +99,30 @@ def upsert_dimension(target: DataFrame, source: DataFrame, keys: Sequence[str])
     return merge_upsert(target, rows, keys, check_source=False)
 
 
+def unseen_rows(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """Rows of ``incoming`` whose key, NULL being one, ``stored`` does not have.
+
+    The stored keys are cut down to the incoming ones first, so a large table is
+    scanned, and not shuffled where the incoming keys are few.
+    """
+    wanted = incoming.select(F.col(key).alias("_wanted")).distinct()
+    known = stored.select(F.col(key).alias("_known"))
+    known = known.join(wanted, F.col("_known").eqNullSafe(F.col("_wanted")), "left_semi").distinct()
+    return incoming.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+
+
 def replace_slice(
     target: DataFrame, incoming: DataFrame, slice_column: str, value: Column, key: str
 ) -> DataFrame:
     """Replace one slice (say, a day) of a table that has no key of its own.
 
     The slice's rows are exchanged for the incoming ones of that slice. Incoming
-    rows of other slices are added only when the target lacks their ``key``, so
-    running twice changes nothing and no other slice loses a row.
+    rows of other slices are added only when the target lacks their ``key`` (NULL
+    is a key here), so running twice changes nothing and no other slice loses a row.
     """
     in_slice = F.col(slice_column).eqNullSafe(value)
     others = incoming.filter(~in_slice)
-    unseen = others.join(target.filter(~in_slice).select(key), key, "left_anti")
+    unseen = unseen_rows(others, target.filter(~in_slice), key)
     return (
         target.filter(~in_slice)
         .unionByName(incoming.filter(in_slice).select(*target.columns))

@@ -7,12 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions import MONEY
+from tidewell.functions import EXACT
+
+
+#: Type of every sum.
+TOTAL = "decimal(38,10)"
+
+
+def _exact(df: DataFrame, amount: str) -> Column:
+    """The amount as a decimal; one that already is a sum stays as wide as it is."""
+    wide = dict(df.dtypes)[amount].startswith("decimal(38")
+    return F.col(amount) if wide else F.col(amount).cast(EXACT)
 
 
 def sum_by(df: DataFrame, keys: Sequence[Column | str], amount: str, name: str) -> DataFrame:
-    """Exact sum of ``amount`` by ``keys``, as DOUBLE."""
-    return df.groupBy(*keys).agg(F.sum(F.col(amount).cast(MONEY)).cast("double").alias(name))
+    """Exact sum of ``amount`` by ``keys``, a decimal of ten places."""
+    return df.groupBy(*keys).agg(F.sum(_exact(df, amount)).cast(TOTAL).alias(name))
 
 
 def sum_by_attribute(
@@ -32,10 +42,10 @@ def sum_by_attribute(
     through the join unchanged.
     """
     per_key = fact.groupBy(join_key, *fact_keys).agg(
-        F.sum(F.col(amount).cast(MONEY)).alias("_part")
+        F.sum(_exact(fact, amount)).alias("_part")
     )
     joined = per_key.join(dimension.select(join_key, *attributes), join_key)
     group = [c for c in per_key.columns if c not in (join_key, "_part")]
     return joined.groupBy(*group, *attributes).agg(
-        F.sum("_part").cast("double").alias(name)
+        F.sum("_part").cast(TOTAL).alias(name)
     )

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions import day_name, fill_text, month_number, ratio
+from tidewell.functions import EXACT, day_name, fill_text, month_number, ratio
 from tidewell.operators.generate import generate_sales, sales_rows
 from tidewell.operators.preview import first_n, last_n, shuffle_rows
 from tidewell.operators.sets import union_rows
@@ -41,7 +41,7 @@ def clean(rows: DataFrame) -> DataFrame:
     for both.
     """
     distinct = rows.distinct()
-    exact = F.col("total").cast("decimal(18,2)")
+    exact = F.col("total").cast(EXACT)
     average = F.try_divide(F.sum(exact).cast("double"), F.count(exact).cast("double"))
     mean = distinct.agg(F.round(average, 4).cast(TOTAL_TYPE).alias("mean")).scalar()
     filled = {

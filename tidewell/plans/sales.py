@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions import MONEY, month_number
+from tidewell.functions import EXACT, month_number
 from tidewell.operators.audit import AuditLog
 from tidewell.operators.changes import merge_upsert
 from tidewell.operators.keys import latest_per_key
@@ -24,13 +24,15 @@ from tidewell.sinks import (
 )
 from tidewell.sources import read_csv_strings
 
+# Operands keep what was received; their product and difference fit EXACT without a cut.
+QUANTITY, PRICE = "decimal(14,2)", "decimal(20,8)"
 # Types of the cleaned columns; a received column may be text.
 SALES_TYPES = {
     "transaction_date": "date",
-    "quantity": "int",
-    "unit_price": MONEY,
-    "discount": MONEY,
-    "total_amount": MONEY,
+    "quantity": QUANTITY,
+    "unit_price": PRICE,
+    "discount": PRICE,
+    "total_amount": PRICE,
 }
 KEY = "transaction_id"
 
@@ -73,8 +75,10 @@ def dedup(sales: DataFrame) -> DataFrame:
 
 
 def add_correct_total(sales: DataFrame) -> DataFrame:
-    total = F.col("quantity") * F.col("unit_price").cast(MONEY) - F.col("discount").cast(MONEY)
-    return sales.withColumn("correct_total", total.try_cast(MONEY))
+    """Quantity times price less discount; fractions of a cent stay."""
+    price, discount = F.col("unit_price").try_cast(PRICE), F.col("discount").try_cast(PRICE)
+    total = F.col("quantity").try_cast(QUANTITY) * price - discount
+    return sales.withColumn("correct_total", total.try_cast(EXACT))
 
 
 def number_rules() -> dict[str, Column]:
@@ -141,13 +145,13 @@ def product_performance(silver: DataFrame, products: DataFrame) -> DataFrame:
 def reconcile(silver: DataFrame, gold: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Total of each gold table against silver's.
 
-    ``gold`` maps a table's name to its rows and its revenue column. The sums
-    are exact, so any difference is a real one.
+    ``gold`` maps a table's name to its rows and its revenue column. Sums and
+    differences are decimals, so any difference is a real one.
     """
-    silver_sum = F.sum(F.col("correct_total").cast(MONEY)).cast("double").alias("silver_total")
+    silver_sum = F.sum(F.col("correct_total").cast(EXACT)).alias("silver_total")
     silver_total = silver.agg(silver_sum).scalar()
     lines = [
-        table.agg(F.sum(F.col(column).cast(MONEY)).cast("double").alias("gold_total")).select(
+        table.agg(F.sum(column).alias("gold_total")).select(
             F.lit(name).alias("table"), "gold_total"
         )
         for name, (table, column) in gold.items()
@@ -163,7 +167,7 @@ def reconcile(silver: DataFrame, gold: dict[str, tuple[DataFrame, str]]) -> Data
 
 
 def total_revenue(daily: DataFrame) -> DataFrame:
-    return daily.agg(F.sum(F.col("daily_revenue").cast(MONEY)).cast("double").alias("total_revenue"))
+    return daily.agg(F.sum("daily_revenue").alias("total_revenue"))
 
 
 def daily_trend(daily: DataFrame) -> DataFrame:

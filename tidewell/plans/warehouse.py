@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from tidewell.functions import MONEY, to_utc
 from tidewell.operators import quality
-from tidewell.operators.changes import upsert_dimension
+from tidewell.operators.changes import unseen_rows, upsert_dimension
 from tidewell.operators.keys import latest_per_key
 from tidewell.session import materialized, path_exists
-from tidewell.sinks import overwrite, write_if_any
+from tidewell.sinks import overwrite, replace_folder, write_if_any
 from tidewell.sources import dated_path, read_csv_positional, read_json_lines
 
 # Column names and types of the staging and warehouse tables are fixed values.
@@ -123,8 +123,7 @@ def load_dimension(spark: SparkSession, base: str, name: str, key: str, incoming
         target = spark.read.schema(incoming.schema).parquet(path)
     else:
         target = spark.createDataFrame([], incoming.schema)
-    with materialized(upsert_dimension(target, incoming, [key]), name) as merged:
-        return overwrite(merged, path)
+    return replace_folder(upsert_dimension(target, incoming, [key]), path)
 
 
 def load_fact_slice(spark: SparkSession, path: str, rows: DataFrame, day: str) -> None:
@@ -141,9 +140,7 @@ def load_fact_slice(spark: SparkSession, path: str, rows: DataFrame, day: str) -
             f"{path}/order_date={day}"
         )
         stored = spark.read.schema(fresh.schema).parquet(path)
-        unseen = fresh.filter(~on_day).join(
-            stored.filter(~on_day).select("order_id"), "order_id", "left_anti"
-        )
+        unseen = unseen_rows(fresh.filter(~on_day), stored.filter(~on_day), "order_id")
         placed = unseen.select(*fresh.columns).hint("rebalance", "order_date")
         placed.write.mode("append").partitionBy("order_date").parquet(path)
 

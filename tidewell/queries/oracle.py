@@ -34,16 +34,17 @@ VIEWS = {
            OR (trip_distance < {DISTANCE_UNDER} AND fare_amount > {FARE_OVER})""",
     "weekly": """
         SELECT CAST(date_trunc('week', tpep_pickup_datetime) AS DATE) AS week,
-               CAST(sum(CAST(fare_amount AS DECIMAL(18,6))) AS DOUBLE) / count(fare_amount)
+               CAST(sum(CAST(fare_amount AS DECIMAL(28,10))) AS DOUBLE) / count(fare_amount)
                    AS avg_amount,
-               CAST(sum(CAST(trip_distance AS DECIMAL(18,6))) AS DOUBLE) / count(trip_distance)
+               CAST(sum(CAST(trip_distance AS DECIMAL(28,10))) AS DOUBLE) / count(trip_distance)
                    AS avg_distance
         FROM raw GROUP BY 1""",
     "sales": """
         SELECT l_orderkey * 10 + l_linenumber AS transaction_id,
                CAST(l_shipdate AS DATE) AS transaction_date, l_partkey AS product_id,
                l_suppkey AS store_id, CAST(l_quantity - 2 AS INTEGER) AS quantity,
-               l_extendedprice AS unit_price, l_discount AS discount
+               round(l_extendedprice * 1.0001, 6) AS unit_price,
+               l_discount / 8 AS discount
         FROM lineitem""",
     "deduped": """
         SELECT * EXCLUDE (rn) FROM (
@@ -54,8 +55,8 @@ VIEWS = {
             FROM sales) WHERE rn = 1""",
     "judged": """
         SELECT d.*,
-               CAST(CAST(quantity * CAST(unit_price AS DECIMAL(18,2))
-                    - CAST(discount AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS DOUBLE) AS correct_total,
+               CAST(quantity * CAST(unit_price AS DECIMAL(20,8))
+                    - CAST(discount AS DECIMAL(20,8)) AS DECIMAL(28,10)) AS correct_total,
                CASE WHEN quantity > 0 THEN CASE WHEN unit_price > 0 THEN
                     CASE WHEN s_suppkey IS NOT NULL THEN NULL ELSE 'store_id' END
                     ELSE 'unit_price' END ELSE 'quantity' END AS reject_reason
@@ -70,20 +71,20 @@ VIEWS = {
         SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category FROM part""",
     "daily": """
         SELECT transaction_date,
-               CAST(sum(CAST(correct_total AS DECIMAL(18,2))) AS DOUBLE) AS daily_revenue
+               sum(correct_total) AS daily_revenue
         FROM silver GROUP BY transaction_date""",
     "monthly": """
         SELECT CAST(month(transaction_date) AS BIGINT) AS month, region,
-               CAST(sum(CAST(correct_total AS DECIMAL(18,2))) AS DOUBLE) AS monthly_revenue
+               sum(correct_total) AS monthly_revenue
         FROM silver JOIN stores USING (store_id) GROUP BY 1, 2""",
     "performance": """
         SELECT product_name, category,
-               CAST(sum(CAST(correct_total AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+               sum(correct_total) AS total_revenue
         FROM silver JOIN products USING (product_id) GROUP BY 1, 2""",
     "merge_source": """
         SELECT * EXCLUDE (discount, correct_total), discount * 2 AS discount,
-               CAST(CAST(quantity * CAST(unit_price AS DECIMAL(18,2))
-                    - CAST(discount * 2 AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS DOUBLE)
+               CAST(quantity * CAST(unit_price AS DECIMAL(20,8))
+                    - CAST(discount * 2 AS DECIMAL(20,8)) AS DECIMAL(28,10))
                    AS correct_total
         FROM silver WHERE transaction_id % 3 <> 0""",
     "customers": """
@@ -227,6 +228,8 @@ _POS_TYPES = {
     "customer_id": "bigint",
     "promo_code": "string",
 }
+# Decimals up to here; the other engine shows them as DOUBLE.
+_SHOWN = "* REPLACE (CAST(correct_total AS DOUBLE) AS correct_total)"
 _POS = "SELECT * REPLACE (CAST(total AS DOUBLE) AS total) FROM pos"
 _HIT = f"country = '{COUNTRY}' AND status = 'O'"
 
@@ -253,50 +256,51 @@ def all_oracles() -> dict[str, str]:
         ),
         "bronze_enrich": _sql("SELECT *, 'manual_csv' AS source_system FROM sales", "sales"),
         "silver_dedup": _sql("SELECT * FROM deduped", "deduped"),
-        "silver_valid": _sql("SELECT * FROM silver", "silver"),
+        "silver_valid": _sql(f"SELECT {_SHOWN} FROM silver", "silver"),
         "silver_quarantine": _sql(
-            "SELECT * FROM judged WHERE reject_reason IS NOT NULL", "judged"
+            f"SELECT {_SHOWN} FROM judged WHERE reject_reason IS NOT NULL", "judged"
         ),
         "merge_upsert": _sql(
-            """SELECT * FROM silver t WHERE transaction_id % 2 = 0 AND NOT EXISTS (
+            f"""SELECT {_SHOWN} FROM silver t WHERE transaction_id % 2 = 0 AND NOT EXISTS (
                    SELECT 1 FROM merge_source s WHERE s.transaction_id = t.transaction_id)
-               UNION ALL BY NAME SELECT * FROM merge_source""",
+               UNION ALL BY NAME SELECT {_SHOWN} FROM merge_source""",
             "merge_source",
         ),
-        "gold_daily_sales": _sql("SELECT * FROM daily ORDER BY transaction_date", "daily"),
-        "gold_monthly_region": _sql("SELECT * FROM monthly", "monthly"),
-        "gold_product_performance": _sql("SELECT * FROM performance", "performance"),
+        "gold_daily_sales": _sql("SELECT * REPLACE (CAST(daily_revenue AS DOUBLE) AS daily_revenue) FROM daily ORDER BY transaction_date", "daily"),
+        "gold_monthly_region": _sql("SELECT * REPLACE (CAST(monthly_revenue AS DOUBLE) AS monthly_revenue) FROM monthly", "monthly"),
+        "gold_product_performance": _sql("SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM performance", "performance"),
         "gold_reconcile": _sql(
-            """SELECT "table", gold_total, silver_total, gold_total - silver_total AS diff FROM (
+            """SELECT "table", CAST(gold_total AS DOUBLE) AS gold_total, CAST(silver_total AS DOUBLE) AS silver_total,
+                      CAST(gold_total - silver_total AS DOUBLE) AS diff FROM (
                    SELECT 'daily_sales' AS "table",
-                          CAST(sum(CAST(daily_revenue AS DECIMAL(18,2))) AS DOUBLE) AS gold_total
+                          sum(daily_revenue) AS gold_total
                    FROM daily
                    UNION ALL
                    SELECT 'monthly_region',
-                          CAST(sum(CAST(monthly_revenue AS DECIMAL(18,2))) AS DOUBLE) FROM monthly
+                          sum(monthly_revenue) FROM monthly
                    UNION ALL
                    SELECT 'product_performance',
-                          CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE)
+                          sum(total_revenue)
                    FROM performance),
-               (SELECT CAST(sum(CAST(correct_total AS DECIMAL(18,2))) AS DOUBLE) AS silver_total
+               (SELECT sum(correct_total) AS silver_total
                 FROM silver)""",
             "daily",
             "monthly",
             "performance",
         ),
         "report_total_revenue": _sql(
-            """SELECT CAST(sum(CAST(daily_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+            """SELECT CAST(sum(daily_revenue) AS DOUBLE) AS total_revenue
                FROM daily""",
             "daily",
         ),
         "report_top_products": _sql(
-            """SELECT * FROM performance
+            """SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM performance
                ORDER BY total_revenue DESC NULLS LAST, product_name, category LIMIT 10""",
             "performance",
         ),
         "report_category_revenue": _sql(
             """SELECT category,
-                      CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+                      CAST(sum(total_revenue) AS DOUBLE) AS revenue
                FROM performance GROUP BY category""",
             "performance",
         ),
@@ -327,7 +331,12 @@ def all_oracles() -> dict[str, str]:
                           count(*) FILTER (WHERE customer_id IS NULL OR product_id IS NULL)
                    FROM fact
                    UNION ALL
-                   SELECT 'fact_orders_rowcount_match', 0)""",
+                   SELECT 'fact_orders_rowcount_match', count(*) FROM (
+                       SELECT CAST(order_timestamp AS DATE) AS d, count(*) AS n FROM latest
+                       WHERE quantity > 0 AND customer_id IS NOT NULL AND product_id IS NOT NULL
+                       GROUP BY 1) v
+                   FULL JOIN (SELECT order_date AS d, count(*) AS n FROM fact GROUP BY 1) f
+                   ON v.d IS NOT DISTINCT FROM f.d WHERE v.n IS DISTINCT FROM f.n)""",
             "dim_customers",
             "fact",
         ),
@@ -490,7 +499,7 @@ def all_oracles() -> dict[str, str]:
         "stored_partition_counts": _sql(
             "SELECT country, status, count(*) AS n_rows FROM order_book GROUP BY 1, 2", "order_book"
         ),
-        "stored_quarantine": _sql("SELECT * FROM judged WHERE reject_reason IS NOT NULL", "judged"),
+        "stored_quarantine": _sql(f"SELECT {_SHOWN} FROM judged WHERE reject_reason IS NOT NULL", "judged"),
         "stored_compacted": _sql("SELECT * FROM order_book", "order_book"),
         "stored_clustered": _sql("SELECT * FROM order_book", "order_book"),
         "stored_merge": _sql(

@@ -34,8 +34,9 @@ def sales_of(lineitem: DataFrame) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("store_id"),
         (F.col("l_quantity") - 2).cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("unit_price"),
-        F.col("l_discount").alias("discount"),
+        # Fractions of a cent, which must survive.
+        F.round(F.col("l_extendedprice") * 1.0001, 6).alias("unit_price"),
+        (F.col("l_discount") / 8).alias("discount"),
     )
 
 

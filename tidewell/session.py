@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 # nothing in the library depends on them for right results.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -46,14 +48,11 @@ def tune_for(spark: SparkSession, input_bytes: int) -> None:
     """Set the number of shuffle partitions for jobs that shuffle about ``input_bytes``.
 
     Some 200 MB go to each task, so that it sorts in memory; adaptive execution
-    joins partitions that turn out small. Beyond 100,000 the bookkeeping of
-    the shuffle itself would dominate, so partitions grow instead and spill.
+    joins partitions that turn out small.
     """
     wanted = math.ceil(input_bytes / (200 * 1024**2))
-    partitions = min(max(wanted, spark.sparkContext.defaultParallelism), 100_000)
+    partitions = max(wanted, spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    if input_bytes > 10 * 1024**4:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 1024**2))
 
 
 # -- files, on whatever file system a path names -------------------------------
@@ -80,6 +79,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    files, place = _place(spark, source)
+    if not files.rename(place, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 # -- intermediate tables ---------------------------------------------------------
 
 _ROOTS: dict[str, str] = {}
@@ -88,12 +93,15 @@ _ROOTS: dict[str, str] = {}
 def working_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, visible to every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where nothing is
-    set (a laptop, a test) a temporary folder is made.
+    The cluster names it in ``spark.checkpoint.dir``. Only where nothing is set
+    and driver and executors are one process (a laptop, a test) a temporary
+    folder is made; a cluster without the setting is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidewell-")
         context.setCheckpointDir(configured)
     return configured.rstrip("/")

@@ -16,6 +16,7 @@ from tidewell.sinks.files import (
     overwrite,
     overwrite_partitioned,
     read_split,
+    replace_folder,
     write_csv,
     write_if_any,
     write_json_records,
@@ -34,6 +35,7 @@ __all__ = [
     "overwrite_partitioned",
     "read_split",
     "register_folder",
+    "replace_folder",
     "save_managed",
     "use_database",
     "write_csv",

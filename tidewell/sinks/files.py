@@ -8,11 +8,14 @@ also when tasks are run again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidewell.session import move_path, path_exists, remove_path
+
 
 def counted(
     df: DataFrame,
@@ -90,9 +93,30 @@ def write_csv(df: DataFrame, path: str) -> int:
     ]
 
 
+def replace_folder(df: DataFrame, path: str) -> int:
+    """Replace a table that ``df`` may read from; rows written.
+
+    The new content is complete in a folder beside the old before the old is
+    touched. If writing fails the old one is as it was.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    new, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    try:
+        written = overwrite(df, new)
+    except BaseException:
+        remove_path(spark, new)
+        raise
+    if path_exists(spark, path):
+        move_path(spark, path, old)
+    move_path(spark, new, path)
+    remove_path(spark, old)
+    return written
+
+
 def write_if_any(df: DataFrame, path: str) -> bool:
     """Write a small report as JSON only when it has a row; whether it was written."""
     if df.isEmpty():
+        remove_path(df.sparkSession, path)  # of an earlier run
         return False
     write_json_records(df, path)
     return True
