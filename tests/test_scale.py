@@ -170,7 +170,8 @@ def test_search_of_the_median_keeps_few_rows_in_one_task(spark, monkeypatch):
 def test_intermediate_tables(spark):
     with materialized(spark.range(5), "five") as five:
         path = re.sub(r"/[^/]*$", "", five.inputFiles()[0])
-        assert path.startswith(f"file:{working_folder(spark)}")
+        bare = [re.sub("^file:/+", "/", p) for p in (path, working_folder(spark))]
+        assert bare[0].startswith(bare[1])
         assert path_exists(spark, path) and five.count() == 5
     assert not path_exists(spark, path)
 
