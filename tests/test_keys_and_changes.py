@@ -161,3 +161,14 @@ def test_membership(spark):
 def test_expectation_counts(spark):
     df = spark.createDataFrame([(1.0,), (0.0,), (-1.0,), (None,)], "d double")
     assert rows(expectation_counts(df, F.col("d") > 0)) == [(4, 3, 1)]
+
+
+def test_rows_without_a_key_are_added_to_other_days_once(spark):
+    schema = "day string, id int"
+    target = spark.createDataFrame([("b", 1)], schema)
+    incoming = spark.createDataFrame([("a", 5), ("b", None), ("b", 1), ("b", 2)], schema)
+    for _ in range(3):
+        target = spark.createDataFrame(
+            changes.replace_slice(target, incoming, "day", F.lit("a"), "id").collect(), schema
+        )
+        assert rows(target) == [("a", 5), ("b", None), ("b", 1), ("b", 2)]

@@ -1,5 +1,6 @@
 import json
 import pathlib
+from tidewell.sinks import replace_folder
 
 import pytest
 from helpers import plan, rows
@@ -114,3 +115,13 @@ def test_catalog(spark, sample, folder):
     finally:
         sinks.use_database(spark, "default")
         spark.sql("DROP DATABASE shop_test CASCADE")
+
+
+def test_failed_replacement_leaves_the_old_rows(spark, folder):
+    path = f"{folder}/dimension"
+    assert replace_folder(spark.range(3), path) == 3
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        replace_folder(broken, path)
+    assert spark.read.parquet(path).count() == 3 and len(list(pathlib.Path(folder).iterdir())) == 1
+    assert replace_folder(spark.read.parquet(path).filter("id > 0"), path) == 2  # reads what it replaces
