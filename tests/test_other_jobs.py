@@ -285,11 +285,20 @@ def test_generated_ids_and_copies(spark, n):
     assert sum(seen.values()) == n + n // 100
 
 
-def test_copies_also_when_the_scatter_number_divides_the_count(spark, monkeypatch):
-    monkeypatch.setattr(generate, "SCATTER", 100)
-    made = generate.generate_sales(spark, 0, 1000).groupBy("transaction_id").count()
-    times = Counter(r["count"] for r in made.collect())
-    assert times == {1: 990, 2: 10}
+def test_copies_lie_all_over_and_depend_on_the_seed(spark):
+    n = 524286
+
+    def copied(seed):
+        made = generate.generate_sales(spark, 0, n, seed).groupBy("transaction_id").count()
+        return {r[0] for r in made.filter("count = 2").collect()}
+
+    one, other = copied(1), copied(2)
+    assert len(one) == len(other) == n // 100
+    assert one == copied(1)
+    assert len(one & other) < n // 100 // 10
+    for half in (one, other):
+        assert n // 100 * 0.4 < sum(i <= n // 2 for i in half) < n // 100 * 0.6
+        assert len({i % 100 for i in half}) == 100
 
 
 def test_generated_rows_are_plausible(spark):

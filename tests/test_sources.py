@@ -67,6 +67,24 @@ def test_positional_skips_other_field_counts(spark, tmp_path):
     assert df.count() == df.select("country").count() == 3
 
 
+def test_positional_takes_the_first_line_of_each_file_as_header(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    put(folder / "a.csv", "nr,what,kind,price\n1,Pen,Desk,1\n2,\"Cup,Desk,2\n")
+    put(folder / "b.csv", "x\n1,Pen,Desk,1\n \n3,4\n")
+    put(folder / "c.csv", "product_id,product_name,category,unit_price\n")
+    df = sources.read_csv_positional(spark, str(folder), PRODUCT_SCHEMA)
+    price = Decimal("1.00")
+    assert rows(df) == [(1, "Pen", "Desk", price), (1, "Pen", "Desk", price), (2, '"Cup', "Desk", price * 2)]
+    assert rows(sources.rejected_lines(spark, str(folder), PRODUCT_SCHEMA)) == [(2,)]
+
+
+def test_positional_keeps_a_data_line_that_equals_the_header(spark, tmp_path):
+    schema = T.StructType().add("a", "string").add("b", "string")
+    path = put(tmp_path / "same.csv", "a,b\na,b\nc,d\n")
+    assert rows(sources.read_csv_positional(spark, path, schema)) == [("a", "b"), ("c", "d")]
+
+
 def test_positional_header_spelling_and_bad_value(spark, tmp_path):
     path = put(tmp_path / "p.csv", "Product_ID, product_name,category ,unit_price\r\n7,Pen,Desk,1.005\r\n")
     df = sources.read_csv_positional(spark, path, PRODUCT_SCHEMA)

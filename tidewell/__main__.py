@@ -62,7 +62,10 @@ def _run_sales(spark: SparkSession, args: argparse.Namespace) -> None:
     sales.run_bronze(spark, args.source, args.base, log)
     sales.run_silver(spark, ids, args.base, log)
     schema = sales.judged(spark.read.parquet(f"{args.base}/bronze/sales"), ids).schema
-    silver, _ = sales.read_silver(spark, args.base, schema)
+    valid, _ = sales.read_silver(spark, args.base, schema)
+    table = f"{args.base}/silver/sales"
+    sales.run_merge(spark, table, valid, table, log)
+    silver = spark.read.parquet(table)
     sales.run_gold(spark, silver, stores, products, args.database, log)
 
 

@@ -7,8 +7,6 @@ again, which is how the copies are made.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +30,7 @@ DAYS = 365
 MAX_QUANTITY = 10
 FIRST_CUSTOMER, CUSTOMERS = 2001, 100
 MISSING_CUSTOMERS_PER_1000 = 50
-COPIES_PER_100 = 1
-
-# A prime. It scatters the copies over all rows unless it divides their number.
-SCATTER = 1048573
+ROWS_PER_COPY = 100
 
 
 def _draws(seed: int) -> dict[str, Column]:
@@ -80,15 +75,17 @@ def sales_rows(ids: DataFrame, seed: int) -> DataFrame:
 def generate_sales(spark: SparkSession, after_id: int, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows with ids after ``after_id``, and copies of 1 % of them.
 
-    The copied rows are all different: multiplying by a number that shares no
-    factor with ``n`` permutes the positions, and the first 1 % of the permuted
-    ones are taken. No sort, join or sample of the rows is needed.
+    One row of each hundred is drawn by the seed, the last draw being from all
+    that are left, so the copied rows are all different and lie all over the
+    table. No sort, join or sample of the rows is needed.
     """
-    n_copies = n * COPIES_PER_100 // 100
-    step = SCATTER
-    while math.gcd(step, n) != 1:
-        step -= 1
+    n_copies = n // ROWS_PER_COPY
     first = F.lit(after_id + 1)
     fresh = spark.range(n).select((F.col("id") + first).alias("id"))
-    copied = spark.range(n_copies).select((F.col("id") * step % max(n, 1) + first).alias("id"))
+    digest = F.md5(F.concat_ws(":", F.lit("copy"), F.col("id").cast("string"), F.lit(str(seed))))
+    drawn = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    last = F.col("id") == n_copies - 1
+    choices = F.when(last, F.lit(ROWS_PER_COPY + n % ROWS_PER_COPY)).otherwise(ROWS_PER_COPY)
+    place = F.col("id") * ROWS_PER_COPY + drawn % choices
+    copied = spark.range(n_copies).select((place + first).alias("id"))
     return sales_rows(fresh.union(copied), seed)

@@ -13,15 +13,17 @@ from tidewell.operators.audit import AuditLog
 from tidewell.operators.changes import merge_upsert
 from tidewell.operators.keys import latest_per_key
 from tidewell.operators.rollups import sum_by, sum_by_attribute
+from tidewell.operators.sets import except_rows, union_rows
 from tidewell.operators.validity import add_membership, add_verdict, keep_members
 from tidewell.sinks import (
     append,
     ensure_database,
-    overwrite,
     read_split,
+    replace_folder,
     save_managed,
     write_split,
 )
+from tidewell.session import path_exists
 from tidewell.sources import read_csv_strings
 
 # Operands keep what was received; their product and difference fit EXACT without a cut.
@@ -220,11 +222,19 @@ def read_silver(spark: SparkSession, base: str, schema: T.StructType) -> tuple[D
 def run_merge(
     spark: SparkSession, target: str, source: DataFrame, new_target: str, log: AuditLog
 ) -> dict[str, int]:
-    """Upsert valid rows into a silver table; the result is a new folder, as the old one is read."""
+    """Upsert valid rows into a silver table, which is made if it is not there.
+
+    ``new_target`` may be ``target``: the old table stays until the new one is
+    complete. A row without a key is added unless an equal one is there.
+    """
 
     def work() -> dict[str, int]:
-        merged = merge_upsert(spark.read.parquet(target), source, [KEY])
-        return {"n_rows": overwrite(merged, new_target)}
+        if not path_exists(spark, target):
+            return {"n_rows": replace_folder(source, new_target)}
+        held, keyed = spark.read.parquet(target), F.col(KEY).isNotNull()
+        unkeyed = except_rows(source.filter(~keyed), held.select(*source.columns).filter(~keyed))
+        changes = union_rows(source.filter(keyed), unkeyed)
+        return {"n_rows": replace_folder(merge_upsert(held, changes, [KEY]), new_target)}
 
     return log.step("silver", "silver_merge", work)
 

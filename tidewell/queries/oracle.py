@@ -201,7 +201,9 @@ def _generated() -> str:
         ids AS (
             SELECT unnest(range(n)) + last + 1 AS id FROM size
             UNION ALL
-            SELECT unnest(range(n // 100)) * {generate.SCATTER} % n + last + 1 FROM size),
+            SELECT i * 100 + last + 1 + CAST('0x' || substr(md5('copy:' || i || ':42'), 1, 8) AS BIGINT)
+                   % CASE WHEN i = n // 100 - 1 THEN 100 + n % 100 ELSE 100 END
+            FROM (SELECT unnest(range(n // 100)) AS i, n, last FROM size)),
         hashed AS (SELECT id, md5(CAST(id AS VARCHAR) || ':42') AS h FROM ids)
         SELECT id AS transaction_id,
                {choice([s[0] for s in generate.STORES], 1)} AS store_id,
@@ -217,7 +219,14 @@ def _generated() -> str:
                     THEN {draw(5)} % {generate.CUSTOMERS} + {generate.FIRST_CUSTOMER} END
                    AS customer_id,
                {choice(generate.PROMO_CODES, 6)} AS promo_code
-        FROM hashed"""
+        FROM hashed
+        UNION ALL
+        SELECT l_orderkey * 10 + l_linenumber, l_suppkey, 'Store ' || l_suppkey, CAST(l_shipdate AS DATE),
+               l_partkey, 'Product ' || l_partkey, CAST(l_quantity AS INTEGER),
+               CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE),
+               CAST(CAST(CAST(l_quantity AS INTEGER) * CAST(l_extendedprice AS DECIMAL(18,2))
+                    AS DECIMAL(18,2)) AS DOUBLE), NULL, NULL
+        FROM lineitem"""
 
 
 _POS_TYPES = {

@@ -60,7 +60,7 @@ def stored_csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _customer_lines(spark: SparkSession, folder: str) -> str:
-    """Padded fields; every tenth line has a field too many; one header line."""
+    """Padded fields; every tenth line has a field too many; headers of other words than the columns."""
     path = fresh_path(spark, "lines")
     line = F.concat_ws(
         ",",
@@ -70,9 +70,9 @@ def _customer_lines(spark: SparkSession, folder: str) -> str:
         F.when(F.col("c_custkey") % 10 == 0, F.lit("surplus")),
     )
     customers = views.table(spark, folder, "customer").select(line.alias("value"))
-    customers.write.text(path)
-    header = spark.range(1).select(F.lit(",".join(_CUSTOMER_LINE.names)).alias("value"))
-    header.write.mode("append").text(path)
+    customers.withColumnRenamed("value", "Customer, by line").write.options(
+        header=True, quote="", sep="\x01", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
     return path
 
 

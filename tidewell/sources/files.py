@@ -42,28 +42,30 @@ def read_csv_with_date(
     return df.withColumn(date_column, F.to_date(date_column))
 
 
-def _data_lines(spark: SparkSession, path: str, header: str) -> tuple[DataFrame, Column]:
-    """All lines but the header, and the fields of a line."""
+# Control characters that no line holds: the CSV reader then takes a line as one field.
+_NO_SEPARATOR = "\x01\x02\x03"
 
-    def squeezed(text: Column) -> Column:
-        return F.lower(F.translate(text, " \t\r", ""))
 
-    lines = spark.read.text(path).filter(squeezed(F.col("value")) != squeezed(F.lit(header)))
+def _data_lines(spark: SparkSession, path: str) -> tuple[DataFrame, Column]:
+    """The lines that are not blank but the first of each file, and the fields of a line."""
+    lines = (
+        spark.read.schema("value string")
+        .options(header=True, sep=_NO_SEPARATOR, quote="", mode="FAILFAST")
+        .csv(path)
+    )
     return lines, F.split("value", ",", -1)
 
 
-def read_csv_positional(
-    spark: SparkSession, path: str, schema: T.StructType, header: str | None = None
-) -> DataFrame:
+def read_csv_positional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Comma-split lines matched to ``schema`` by position.
 
     Fields are trimmed. A line with another number of fields is left out
     (quotes are not interpreted, so a quoted comma makes one field too many);
-    ``rejected_lines`` counts those. The header line is known by its text, which
-    defaults to the column names. A field that does not fit its type fails the
-    job, as a typed load should.
+    as is a blank one; ``rejected_lines`` counts those. The first line of each
+    file that is not blank is its header, whatever it says. A field that does
+    not fit its type fails the job, as a typed load should.
     """
-    lines, fields = _data_lines(spark, path, header or ",".join(schema.names))
+    lines, fields = _data_lines(spark, path)
     good = lines.filter(F.size(fields) == len(schema)).select(
         F.transform(fields, trimmed).alias("fields")
     )
@@ -72,12 +74,12 @@ def read_csv_positional(
     )
 
 
-def rejected_lines(
-    spark: SparkSession, path: str, schema: T.StructType, header: str | None = None
-) -> DataFrame:
+def rejected_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One row, ``n_rejected``: the lines ``read_csv_positional`` leaves out."""
-    lines, fields = _data_lines(spark, path, header or ",".join(schema.names))
-    return lines.agg(F.count_if(F.size(fields) != len(schema)).alias("n_rejected"))
+    lines, fields = _data_lines(spark, path)
+    odd = lines.filter(F.size(fields) != len(schema))
+    blank = spark.read.text(path).filter(F.col("value").rlike(r"^[\x00-\x20]*$"))
+    return odd.union(blank).agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
