@@ -70,7 +70,7 @@ def top_rides(flagged: DataFrame, weekly: DataFrame, n: int = 3) -> DataFrame:
 
 def ingest(
     spark: SparkSession, source: str, schema: T.StructType, base: str, files: str | None = None
-) -> dict[str, int]:
+) -> dict[str, int | None]:
     """Stream new trips into ``<base>/raw``; ``n_in`` and ``n_dropped`` of this run."""
     meter = ExpectationMeter()
     spark.streams.addListener(meter)
@@ -94,7 +94,7 @@ def flag_stream(
 
 def run(
     spark: SparkSession, source: str, schema: T.StructType, base: str, n: int = 3
-) -> dict[str, int]:
+) -> dict[str, int | None]:
     """One refresh: both streams, then both summary tables anew."""
     counts = ingest(spark, source, schema, base)
     flag_stream(spark, schema, base)

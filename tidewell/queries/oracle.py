@@ -164,6 +164,16 @@ _NEEDS = {
 }
 
 
+_LOW_VOLUME = f"""
+            WITH counts AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n
+                            FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
+            days AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE)
+                            AS order_date FROM counts)
+            SELECT order_date, coalesce(n, 0) AS order_count, CAST(3 AS BIGINT) AS threshold,
+                   '{LOW_VOLUME_MESSAGE}' AS message
+            FROM days LEFT JOIN counts ON d = order_date WHERE coalesce(n, 0) < 3"""
+
+
 def _sql(select: str, *views: str) -> str:
     order: list[str] = []
 
@@ -361,14 +371,8 @@ def all_oracles() -> dict[str, str]:
                ON v.order_date IS NOT DISTINCT FROM f.order_date""",
             "fact",
         ),
-        "low_volume_days": f"""
-            WITH counts AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n
-                            FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
-            days AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE)
-                            AS order_date FROM counts)
-            SELECT order_date, coalesce(n, 0) AS order_count, CAST(3 AS BIGINT) AS threshold,
-                   '{LOW_VOLUME_MESSAGE}' AS message
-            FROM days LEFT JOIN counts ON d = order_date WHERE coalesce(n, 0) < 3""",
+        "low_volume_days": _LOW_VOLUME,
+        "stored_low_volume_summary": _LOW_VOLUME,
         "pruned_orders": _sql(
             f"""SELECT * FROM order_book
                 WHERE country = '{COUNTRY}' AND order_date = DATE '{ORDER_DAY}'""",
@@ -530,5 +534,26 @@ def all_oracles() -> dict[str, str]:
                      WHERE reject_reason IS NOT NULL)""",
             "silver",
         ),
+        "stored_silver_merged": _sql(
+            f"""SELECT {_SHOWN} FROM merge_source
+                UNION ALL BY NAME
+                SELECT {_SHOWN} FROM silver WHERE transaction_id % 6 = 0""",
+            "merge_source",
+        ),
+        "stored_managed_table": _sql("SELECT * FROM order_book", "order_book"),
+        "stored_registered_folder": _sql("SELECT * FROM order_book", "order_book"),
+        "stored_staging_reloaded": """
+            SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_name AS first_name, 'x' AS last_name,
+                   c_custkey || '@x.org' AS email, DATE '2024-01-05' AS signup_date, n_name AS country
+            FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 1""",
+        "run_properties": """
+            SELECT 'bronze' AS "table", count(*) AS n_rows, CAST(0 AS BIGINT) AS n_without_time,
+                   CAST(1 AS BIGINT) AS n_marks FROM lineitem
+            UNION ALL SELECT 'log', 2, 0, 1""",
+        "stream_expectation_counts": _sql(
+            """SELECT count(*) AS n_in,
+                      count(*) - count(*) FILTER (WHERE trip_distance > 0.0) AS n_dropped FROM trips""",
+            "trips",
+        ),
         "generate_sales": _generated(),
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.functions import keep_domain, trimmed
 from tidewell.operators import (
@@ -25,7 +27,7 @@ from tidewell.queries import views
 from tidewell.queries.register import query
 from tidewell.session import fresh_path, materialize
 from tidewell.sources import inline_rows, row_position
-from tidewell.streaming import expect_or_drop, read_stream_table, run_available
+from tidewell.streaming import ExpectationMeter, expect_or_drop, read_stream_table, run_available
 
 FARE_OVER, DISTANCE_UNDER = 50000, 5
 COUNTRY = "NATION_1"
@@ -40,17 +42,31 @@ def _kept_trips(spark: SparkSession, folder: str) -> DataFrame:
     return views.trips(spark, folder).filter(taxi.valid_distance())
 
 
-def _ingested(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
-    """Stream the trips into a fresh table: its base folder, its rows."""
+def _stream(spark: SparkSession, folder: str) -> tuple[str, T.StructType, StreamingQuery]:
+    """Stream the trips into a fresh table: its base folder, its columns, the run."""
     base = fresh_path(spark, "trips")
     schema = views.table(spark, folder, "lineitem").schema
     # A stream reads folders; as a pattern the path may also be that of one file.
     lines = read_stream_table(spark, f"{folder}/lineitem.parque[t]", schema)
     trips = views.trips_of(lines)
-    run_available(
-        expect_or_drop(trips, taxi.valid_distance()), f"{base}/raw", f"{base}/_checkpoints/raw"
-    )
-    return base, spark.read.schema(trips.schema).parquet(f"{base}/raw")
+    kept = expect_or_drop(trips, taxi.valid_distance())
+    return base, trips.schema, run_available(kept, f"{base}/raw", f"{base}/_checkpoints/raw")
+
+
+def _ingested(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    base, schema, _ = _stream(spark, folder)
+    return base, spark.read.schema(schema).parquet(f"{base}/raw")
+
+
+@query
+def stream_expectation_counts(spark: SparkSession, folder: str) -> DataFrame:
+    meter = ExpectationMeter()
+    spark.streams.addListener(meter)
+    try:
+        counts = meter.counts(_stream(spark, folder)[2])
+    finally:
+        spark.streams.removeListener(meter)
+    return inline_rows(spark, [tuple(counts.values())], "n_in bigint, n_dropped bigint")
 
 
 @query
@@ -428,10 +444,10 @@ def generate_sales(spark: SparkSession, folder: str) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
     known = views.table(spark, folder, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-        F.col("l_suppkey").cast("int").alias("store_id"),
+        F.col("l_suppkey").alias("store_id"),
         F.concat(F.lit("Store "), "l_suppkey").alias("store_name"),
         F.to_date("l_shipdate").alias("date"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        F.col("l_partkey").alias("product_id"),
         F.concat(F.lit("Product "), "l_partkey").alias("product_name"),
         quantity.alias("quantity"),
         price.alias("unit_price"),

@@ -5,19 +5,22 @@ Each works in a folder of its own below the shared working folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell import sinks, sources
-from tidewell.operators import layout
+from tidewell.operators import layout, quality
 from tidewell.operators.audit import AuditLog
 from tidewell.operators.versions import VersionedTable
 from tidewell.plans import sales as sales_plan
+from tidewell.plans import warehouse
 from tidewell.queries import views
 from tidewell.queries.register import query
 from tidewell.queries.steps import COUNTRY
-from tidewell.session import fresh_path
+from tidewell.session import fresh_path, materialize
 
 _PARTITIONS = ["country", "status"]
 
@@ -181,3 +184,94 @@ def audit_trail(spark: SparkSession, folder: str) -> DataFrame:
     return log.read().select(
         "pipeline_layer", "event_type", "record_count", "status", "error_message"
     )
+
+
+@query
+def run_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """Of a load and its log: rows, rows without a time, distinct load times or run ids."""
+    path, log = fresh_path(spark, "bronze"), AuditLog(spark, fresh_path(spark, "log"))
+    received = sales_plan.bronze(views.sales(spark, folder))
+    log.step("bronze", "bronze_ingestion", lambda: {"n_rows": sinks.append(received, path)})
+
+    def properties(name: str, rows: DataFrame, time: str, mark: str) -> DataFrame:
+        return rows.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col(time).isNull()).alias("n_without_time"),
+            F.count_distinct(mark).alias("n_marks"),
+        ).withColumn("table", F.lit(name))
+
+    when = "ingestion_timestamp"
+    load = properties("bronze", sources.read_path(spark, path), when, when)
+    return load.unionByName(properties("log", log.read(), "event_timestamp", "run_id"))
+
+
+@query
+def stored_silver_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """A first batch of sales becomes the silver table, a second one is merged into it."""
+    path, log = fresh_path(spark, "silver"), AuditLog(spark, fresh_path(spark, "log"))
+    received, key = views.sales(spark, folder), F.col(sales_plan.KEY)
+    later = received.filter(key % 3 != 0).withColumn("discount", F.col("discount") * 2)
+    for batch in (received.filter(key % 2 == 0), later):
+        valid = sales_plan.silver_valid(batch, views.valid_stores(spark, folder))
+        sales_plan.run_merge(spark, path, valid, path, log)
+    return sources.read_path(spark, path)
+
+
+def _named(spark: SparkSession) -> str:
+    sinks.ensure_database(spark, "tidewell_queries")
+    return f"tidewell_queries.t_{uuid.uuid4().hex}"
+
+
+@query
+def stored_managed_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table declared empty, replaced by rows, read by its name."""
+    name, orders = _named(spark), views.order_book(spark, folder)
+    sinks.ensure_named_table(spark, name, orders.schema)
+    try:
+        sinks.save_managed(orders, name)
+        return materialize(sources.read_named(spark, name), "managed")
+    finally:
+        sinks.drop_table(spark, name)
+
+
+@query
+def stored_registered_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """A partitioned folder that is given a name, read by it."""
+    name = _named(spark)
+    sinks.register_folder(spark, name, _partitioned(spark, folder), _PARTITIONS)
+    try:
+        return materialize(sources.read_named(spark, name), "registered")
+    finally:
+        sinks.drop_table(spark, name)
+
+
+@query
+def stored_staging_reloaded(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of the second of two days, each loaded from its dated files."""
+    landing, base = fresh_path(spark, "landing"), fresh_path(spark, "staging")
+    customers = views.customers(spark, folder).select(
+        "customer_id",
+        F.col("name").alias("first_name"),
+        F.lit("x").alias("last_name"),
+        F.concat("customer_id", F.lit("@x.org")).alias("email"),
+        F.lit("2024-01-05").alias("signup_date"),
+        "country",
+    )
+    for day, rows in (("2024-01-05", customers), ("2024-01-06", customers.filter("customer_id % 2 = 1"))):
+        sinks.write_csv(rows, sources.dated_path(landing, "customers", day, "csv"))
+        products = sources.dated_path(landing, "products", day, "csv")
+        sinks.write_csv(views.catalogue(spark, folder), products)
+        orders = sources.dated_path(landing, "orders", day, "json")
+        sinks.write_json_records(views.staged_orders(spark, folder), orders)
+        warehouse.load_staging(spark, landing, base, day)
+    return sources.read_path(spark, f"{base}/stg_customers")
+
+
+@query
+def stored_low_volume_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary as its file holds it; no file where no day is low."""
+    path = fresh_path(spark, "summary")
+    days = views.table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
+    summary = quality.low_volume_days(days, "day", threshold=3)
+    written = sinks.write_if_any(summary, path)
+    return spark.read.schema(summary.schema).json(path) if written else summary.filter("false")
