@@ -1,4 +1,5 @@
 import pathlib
+from collections import Counter
 
 import pyarrow.parquet as pq
 import pytest
@@ -213,3 +214,21 @@ def test_cluster_within_partitions(spark, folder):
 def test_partition_inventory(spark):
     found = layout.partition_inventory(orders(spark), ["country"])
     assert rows(found) == [(None, 1), ("IN", 2), ("US", 2)]
+
+
+def test_compaction_in_place_takes_only_folders_of_small_files(spark, folder):
+    path = f"{folder}/t"
+    schema = "k string, v int"
+    for i in range(3):
+        spark.createDataFrame([("a", i), (None, i)], schema).coalesce(1).write.mode("append").partitionBy("k").parquet(path)
+    spark.createDataFrame([("b", 9)], schema).coalesce(1).write.mode("append").partitionBy("k").parquet(path)
+    before = {f for f in spark.read.parquet(path).inputFiles() if "k=b" in f}
+    assert layout.compact_small(spark, path, ["k"]) == 2
+    found = spark.read.parquet(path)
+    assert Counter(tuple(r) for r in found.select("k", "v").collect()) == Counter(
+        [("a", 0), ("a", 1), ("a", 2), (None, 0), (None, 1), (None, 2), ("b", 9)]
+    )
+    files = set(found.inputFiles())
+    assert len(files) == 3 and before <= files
+    assert layout.compact_small(spark, path, ["k"]) == 0
+    assert set(spark.read.parquet(path).inputFiles()) == files

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.session import path_bytes
+from tidewell.session import materialize, path_bytes
 from tidewell.sources import row_position
 
 FILE_BYTES = 256 * 1024**2
@@ -45,6 +46,38 @@ def compact(spark: SparkSession, path: str, target: str, partition_by: Sequence[
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
 
 
+def compact_small(
+    spark: SparkSession, path: str, partition_by: Sequence[str], file_bytes: int = FILE_BYTES
+) -> int:
+    """Rewrite, in place, only the partition folders with twice the files they need; how many those are.
+
+    Their rows are stored in the working folder first, so a failed write can be
+    made good from there. A folder of the right files is neither read nor written.
+    """
+    needed = F.ceil(F.col("n_bytes") / file_bytes)
+    small = file_inventory(spark, path, partition_by).filter(F.col("n_files") >= 2 * needed)
+    small = materialize(small.select(*[F.col(c).alias(f"_{c}") for c in partition_by], needed.alias("_files")), "small")
+    n_folders = small.count()
+    if n_folders == 0:
+        return 0
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    columns = rows.columns
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by])
+    placed = materialize(rows.join(small, same).select(*columns, "_files"), "compacted").select("*", *row_position())
+    # At most `_files` tasks hold rows of one folder.
+    slot = F.pmod(F.xxhash64("_file", "_row"), F.col("_files"))
+    (
+        placed.withColumn("_slot", slot)
+        .repartition(*partition_by, "_slot")
+        .select(*columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+    return n_folders
+
+
 def cluster(
     spark: SparkSession,
     path: str,

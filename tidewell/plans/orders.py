@@ -7,7 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators.layout import cluster
 from tidewell.operators.versions import VersionedTable
+from tidewell.session import fresh_path, remove_path
+from tidewell.sinks import overwrite
 from tidewell.sources import inline_rows, read_csv_inferred
 
 PARTITIONS = ["country", "order_date"]
@@ -41,7 +44,10 @@ def late_orders(spark: SparkSession) -> DataFrame:
 
 
 def run(spark: SparkSession, csv: str, path: str) -> VersionedTable:
-    """Versions 0 to 5: write, update, append with new columns, update, delete, compact."""
+    """Versions 0 to 5: write, update, append with new columns, update, delete, compact.
+
+    Last, ``<path>_clustered`` holds the newest rows laid out by customer.
+    """
     table = VersionedTable(spark, path, PARTITIONS)
     table.create(with_order_date(read_csv_inferred(spark, csv)))
     country, status, amount = F.col("country"), F.col("status"), F.col("amount")
@@ -50,4 +56,8 @@ def run(spark: SparkSession, csv: str, path: str) -> VersionedTable:
     table.update((country == "US") & (amount < 100), {"status": F.lit("CANCELLED")})
     table.delete(amount < 50)
     table.compact()
+    newest = fresh_path(spark, "orders")
+    overwrite(table.current(), newest)
+    cluster(spark, newest, f"{path}_clustered", "customer_id", PARTITIONS)
+    remove_path(spark, newest)
     return table

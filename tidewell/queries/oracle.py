@@ -514,6 +514,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "stored_quarantine": _sql(f"SELECT {_SHOWN} FROM judged WHERE reject_reason IS NOT NULL", "judged"),
         "stored_compacted": _sql("SELECT * FROM order_book", "order_book"),
+        "stored_small_files_compacted": _sql("SELECT * FROM order_book", "order_book"),
         "stored_clustered": _sql("SELECT * FROM order_book", "order_book"),
         "stored_merge": _sql(
             f"""SELECT * FROM order_book WHERE order_id % 5 <> 0 OR country <> '{COUNTRY}'

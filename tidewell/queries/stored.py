@@ -148,6 +148,16 @@ def stored_compacted(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_path(spark, target)
 
 
+@query
+def stored_small_files_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Folders of many files, rewritten in place."""
+    path = fresh_path(spark, "small_files")
+    spread = views.order_book(spark, folder).repartition(4, "order_id")
+    spread.write.partitionBy(*_PARTITIONS).parquet(path)
+    layout.compact_small(spark, path, _PARTITIONS)
+    return sources.read_path(spark, path)
+
+
 @query
 def stored_clustered(spark: SparkSession, folder: str) -> DataFrame:
     source, target = fresh_path(spark, "source"), fresh_path(spark, "clustered")
