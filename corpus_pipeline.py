@@ -31,7 +31,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with live-looking credentials cut from its text."""
+    """Every document, with credentials that are no copied examples cut from its text."""
     return secret_scan.redacted(docs)
 
 

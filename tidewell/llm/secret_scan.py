@@ -3,7 +3,8 @@
 Patterns give candidates: assignments, access keys, long hexadecimal runs, and opaque tokens. Each
 candidate's value is hashed, and the corpus is asked in how many repositories and by how many owners
 the value is used: one that several owners have is an example that was copied around, one that stays
-with a single owner and looks random is a live-looking credential. Built-in functions only.
+with a single owner and looks random is a live-looking credential. redacted() cuts whatever is no
+copied example. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from tidewell.session import materialize
 
 #: A value that this many owners use is a copied example.
 COPIED_OWNERS = 3
+#: Bits a character of a value that is more than a placeholder or a ruled line.
+LEAST_ENTROPY = 2.0
 
 # Fixed values of the contract: the kinds in order, and their patterns.
 _KEYWORD = r"(?i:password|passwd|secret|token|api_?key)"
@@ -54,6 +57,18 @@ def _value(span: Column) -> Column:
     return F.when(span["kind"] == "assign", value_of_assignment(span["body"])).otherwise(span["body"])
 
 
+def _entropy(value: Column) -> Column:
+    """Bits a character, by how often each character is in `value`."""
+    size = F.length(value)
+
+    def bits(letter: Column) -> Column:
+        share = (size - F.length(F.replace(value, letter, F.lit("")))) / size
+        return share * F.log2(share)
+
+    letters = F.array_distinct(F.regexp_extract_all(value, F.lit("(?s)."), F.lit(0)))
+    return -F.aggregate(letters, F.lit(0.0), lambda sum_, letter: sum_ + bits(letter))
+
+
 _NONE = "cast(array() AS array<struct<start: int, rank: int, end: int, kind: string, body: string>>)"
 
 
@@ -80,7 +95,7 @@ def _read(docs: DataFrame, owner: str) -> DataFrame:
 
 
 def _judged(read: DataFrame) -> DataFrame:
-    """(row, span, owners, repositories, is_live, is_copied) of the candidates of `read`, a stored table."""
+    """(row, span, owners, repositories, is_live, is_copied, is_cut) of the candidates of `read`, a stored table."""
     each = read.select("row", "owner", "repository", F.explode("candidates").alias("span"))
     each = each.withColumn("value", F.sha2(_value(F.col("span")), 256))
     # One row per use; then counts of distinct repositories and owners. Both are summed up in the
@@ -95,17 +110,16 @@ def _judged(read: DataFrame) -> DataFrame:
     )
     owners = materialize(owners, "ownership")
     digits = F.length(F.regexp_replace(_value(F.col("span")), "[^0-9]", ""))
-    return (
-        each.join(owners, "value")
-        .filter((F.col("span.kind") != "opaque") | (F.col("owners") == 1))
-        .select(
-            "row",
-            "span",
-            "owners",
-            "repositories",
-            ((F.col("owners") == 1) & (digits >= 2)).alias("is_live"),
-            (F.col("owners") >= COPIED_OWNERS).alias("is_copied"),
-        )
+    copied = F.col("owners") >= COPIED_OWNERS
+    varied = (F.col("span.kind") != "opaque") & (_entropy(_value(F.col("span"))) >= LEAST_ENTROPY)
+    return each.join(owners, "value").select(
+        "row",
+        "span",
+        "owners",
+        "repositories",
+        ((F.col("owners") == 1) & (digits >= 2)).alias("is_live"),
+        copied.alias("is_copied"),
+        (~copied & ((digits >= 2) | varied)).alias("is_cut"),
     )
 
 
@@ -123,6 +137,7 @@ def scan(docs: DataFrame, owner: str = "source") -> DataFrame:
     read = materialize(_read(docs, owner).drop("_row"), "findings")
     by_row = (
         _judged(read)
+        .filter((F.col("span.kind") != "opaque") | (F.col("owners") == 1))
         .groupBy("row")
         .agg(
             F.array_sort(F.collect_list("span")).alias("all_spans"),
@@ -144,7 +159,11 @@ def scan(docs: DataFrame, owner: str = "source") -> DataFrame:
 
 
 def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
-    """`docs` with live-looking credentials in `text` replaced by <secret>; copied examples stay.
+    """`docs` with credentials in `text` replaced by <secret>; copied examples stay.
+
+    What fewer than COPIED_OWNERS owners use is no example. It is cut if it has two digits, or, where
+    the pattern says secret already, a varied value: passphrases and keys of letters too. Opaque tokens
+    need the digits. This is wider than the `live` of scan(), which its SQL fixes.
 
     Texts with candidates are stored, joined with what the whole corpus says of their values, and
     rewritten; all others pass as they are and are not shuffled.
@@ -153,21 +172,21 @@ def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
     clean = read.filter((F.size("candidates") == 0) & (F.col("row") >= 0)).select("_row.*")
     dirty = read.filter((F.size("candidates") > 0) & (F.col("row") >= 0))
     dirty = materialize(dirty, "with-candidates")
-    live = (
+    found = (
         _judged(dirty.drop("_row"))
-        .filter("is_live")
+        .filter("is_cut")
         .groupBy("row")
-        .agg(F.array_sort(F.collect_list("span")).alias("live"))
+        .agg(F.array_sort(F.collect_list("span")).alias("cut"))
     )
     rewritten = F.expr(
-        """aggregate(live, struct(0 AS at, '' AS done), (seen, s) -> if(s.start < seen.at, seen,
+        """aggregate(cut, struct(0 AS at, '' AS done), (seen, s) -> if(s.start < seen.at, seen,
              struct(s.end AS at,
                     concat(seen.done, substring(_row.text, seen.at + 1, s.start - seen.at), '<secret>') AS done)),
            seen -> concat(seen.done, substring(_row.text, seen.at + 1)))"""
     )
-    joined = dirty.join(live, "row", "left")
-    text = F.when(F.col("live").isNull(), F.col("_row.text")).otherwise(rewritten)
-    cut = joined.select(
+    joined = dirty.join(found, "row", "left")
+    text = F.when(F.col("cut").isNull(), F.col("_row.text")).otherwise(rewritten)
+    done = joined.select(
         *[text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
     )
-    return clean.unionByName(cut)
+    return clean.unionByName(done)
