@@ -199,6 +199,21 @@ def test_nearest(spark):
     assert nearest.nearest(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["one-hot", "integer", "sparse query"])
+def test_ties_at_the_cut_of_a_leaf_go_to_smaller_ids(kind):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    x = np.eye(500) if kind == "one-hot" else rng.integers(-2, 3, (500, 8)).astype(float)
+    asked = np.eye(1, x.shape[1], 2) if kind != "integer" else rng.integers(-2, 3, (1, x.shape[1])).astype(float)
+    ids = rng.permutation(500)
+    entries = pa.table({"ids": [[int(i)] for i in ids], "v": x.tolist()})
+    found = nearest._searcher(21)((), entries, pa.table({"q": [7], "v": asked.tolist()}))
+    want = brute.nearest({**{int(i): v for i, v in zip(ids, x.tolist(), strict=True)}, -1: asked[0].tolist()}, -1, 21)
+    assert [(i[0], s) for i, s in zip(found["ids"].to_pylist(), found["score"].to_pylist(), strict=True)] == want
+
+
 def test_urls(spark):
     rows = [
         (1, "https://WWW.example.org/es/1", ""), (2, "http://a.example.org/en/12?x", None), (3, "x.com/de/", None),

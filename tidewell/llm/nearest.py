@@ -135,14 +135,19 @@ def _searcher(k: int):
             x, listed = _matrix(entries.column("v")), entries.column("ids").to_pylist()
             asked = _matrix(queries.column("v"))
             dots = asked @ x.T
-            n = min(k + 5, len(x))
-            near = np.argpartition(-dots, n - 1, 1)[:, :n]
+            least = np.array([row[0] for row in listed], np.int64)
+            n = min(k, len(x))
+            # Rounding of a product is less than this; what may tie with the k-th is ranked by the exact sum.
+            room = 4 * (x.shape[1] + 2) * np.finfo(np.float64).eps
+            room = room * np.sqrt((asked**2).sum(1)) * np.sqrt((x**2).sum(1).max())
+            cut = np.partition(dots, len(x) - n, 1)[:, len(x) - n] - room
             for i, key_of in enumerate(queries.column("q").to_pylist()):
-                exact = (x[near[i]] * asked[i]).sum(1)  # the same sum wherever the pair meets
-                order = sorted(range(n), key=lambda j: (-exact[j], listed[near[i][j]][0]))[:k]
+                near = np.flatnonzero(~(dots[i] < cut[i]))
+                exact = (x[near] * asked[i]).sum(1)  # the same sum wherever the pair meets
+                order = np.lexsort((least[near], -exact))[:k].tolist()
                 q += [key_of] * len(order)
-                score += [float(exact[j]) for j in order]
-                ids += [listed[near[i][j]] for j in order]
+                score += exact[order].tolist()
+                ids += [listed[near[j]] for j in order]
         return pa.table(
             [pa.array(q, pa.int64()), pa.array(score, pa.float64()), pa.array(ids, pa.list_(pa.int64()))],
             names=["q", "score", "ids"],
