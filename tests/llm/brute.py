@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -115,3 +116,25 @@ def nearest(vectors: dict[int, list[float]], query: int, k: int):
     q = np.array(vectors[query], np.float64)
     scored = [(-float((np.array(v, np.float64) * q).sum()), i) for i, v in vectors.items() if i != query]
     return [(i, -s) for s, i in sorted(scored)[:k]]
+
+
+LETTERS = re.compile(r"[^\W\d_]+|\d+")
+
+
+def verdicts(said: list[str], urls: list[tuple[str, str, str | None]], split) -> list[str]:
+    """Naive Bayes over (host, path, given) with all words of `said`; `split` makes a splitter of counts."""
+    cut = split(Counter(w.lower() for text in said for w in re.findall(r"[^\W\d_]{2,}", text)))
+    tokens = []
+    for host, path, _ in urls:
+        runs = LETTERS.findall(host)
+        tokens.append([f"h:{w}" for r in runs for w in ([f"#{len(r)}"] if r.isdigit() else cut.split(r))])
+        tokens[-1] += [f"p:#{len(r)}" if r.isdigit() else f"p:{r.lower()}" for r in LETTERS.findall(path)]
+    seen = {"block": Counter(), "allow": Counter()}
+    classes = Counter(g for _, _, g in urls if g)
+    for (_, _, given), found in zip(urls, tokens, strict=True):
+        if given:
+            seen[given].update(found)
+    size = len(set(seen["block"]) | set(seen["allow"])) + 1
+    log = lambda kind, t: math.log((seen[kind][t] + 1) / (sum(seen[kind].values()) + size))
+    prior = math.log((classes["block"] + 1) / (classes["allow"] + 1))
+    return ["block" if prior + sum(log("block", t) - log("allow", t) for t in found) > 1e-9 else "allow" for found in tokens]

@@ -230,6 +230,32 @@ def test_urls(spark):
     assert splitter.split("therest") == ["the", "rest"] and splitter.split("") == []
 
 
+def test_url_verdicts_use_all_words_of_all_pages(spark):
+    """Words of text, absolute links, longer targets and other letters, against brute force."""
+    page = '<title>Für</title><script>var nein=1</script><p>grün, <b>the</b>.</p><a href="http://zz.com/haus/boot">rest</a><a href="/bär,">x</a>'
+    said = ["Für grün, the rest x haus boot bär,"]
+    rng = random.Random(6)
+    rows = []
+    for i in range(120):
+        bad = i % 2 == 0
+        host = rng.choice(["fürgrün", "hausboot", "bärboot"] if bad else ["therest", "grünrest", "hausthe"])
+        rule = i % 3 == 0
+        place = f"{host}{rng.randrange(9)}.{'com' if rule or bad else 'net'}"
+        path = ("/de/" if bad else "/fr/") + f"{rng.choice(['a', 'bb', 'ccc'])}{rng.randrange(20)}" if rule else f"/q/{rng.randrange(99)}"
+        given = ("block" if bad else "allow") if rule else None
+        rows.append((i, f"http://{place}{path}", page, place, path, given))
+    table = spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+    said = said * len(rows) + [r[4] for r in rows]
+    counts = {r.word: r.n for r in url_filter.word_counts(table).collect()}
+    assert {w: counts.get(w) for w in ("für", "grün", "the", "haus", "boot", "bär", "nein", "href")} == {
+        **dict.fromkeys(("für", "grün", "the", "haus", "boot", "bär"), 120), "nein": None, "href": None,
+    }
+    want = brute.verdicts(said, [(r[3], r[4], r[5]) for r in rows], url_filter.Splitter)
+    rules = [url_filter.Rule("block", "com/de/"), url_filter.Rule("allow", "com/fr/")]
+    found = {r.page_id: (r.rule is not None, r.learned) for r in url_filter.judge(table, rules + [url_filter.Rule("allow", "net/fr/")]).collect()}
+    assert {i: f[1] for i, f in found.items()} == dict(enumerate(want)) and set(want) == {"block", "allow"}
+
+
 def test_revisits_of_a_hot_url(spark, monkeypatch):
     rng = random.Random(9)
     rows = []
