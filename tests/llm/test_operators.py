@@ -164,6 +164,16 @@ def test_language(spark):
     assert {(r.lang_pred, r.score) for r in language_id.predict(odd, None).collect()} == {("und", 0.0)}
 
 
+def test_runs_of_any_length_are_read_to_the_end():
+    rng = random.Random(8)
+    say = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = [(lang, " ".join(say(letters, 8) for _ in range(40))) for lang, letters in (("a", "abcd"), ("z", "wxyz")) for _ in range(20)]
+    predictor = language_id.Predictor(language_id.fit(rows))
+    run = say("abcd", 40) + say("wxyz", 400)
+    assert "".join(language_id.WORDS.findall(run)) == run
+    assert [p[0] for p in predictor.predict([run, run[:40], run[40:] + run[:40]])] == ["z", "a", "z"]
+
+
 def test_long_chains_are_those_of_short_ones():
     import numpy as np
 

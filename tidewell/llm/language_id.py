@@ -33,13 +33,15 @@ FEATURES, LEXICON, ROUNDS = 1 << 16, 20_000, 40
 CACHE = 150_000
 UNKNOWN = "und"
 
-WORDS = re.compile(r"[^\W\d_]+")
+#: A longer run of letters is consecutive words of so many, so that all of it is read.
+LONGEST = 40
+WORDS = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
 _BLOCK = 32
 
 
 def features(word: str, lexicon: dict[str, str]) -> list[int]:
     """Hashed features of one word as it is written."""
-    low = word.lower()[:40]
+    low = word.lower()
     edged = f"<{low}>"
     names = [f"p{low[:k]}" for k in (1, 2, 3)] + [f"s{low[-k:]}" for k in (1, 2, 3, 4)]
     names += [edged[i : i + k] for k in (2, 3) for i in range(len(edged) - k + 1)]
@@ -137,7 +139,7 @@ def fit(rows: list[tuple[str, str]]) -> Field | None:
     counts: dict[str, Counter] = defaultdict(Counter)
     for label, words in said:
         for word in words:
-            counts[word.lower()[:40]][label] += 1
+            counts[word.lower()][label] += 1
     if not counts:
         return None
     common = sorted(counts, key=lambda w: (-sum(counts[w].values()), w))[:LEXICON]
