@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents in a known language, once each, unseen in tests, without secrets, as tokens."""
+"""The corpus pipeline: documents in known languages, once each, unseen in tests, without secrets, as tokens."""
 
 from __future__ import annotations
 
@@ -9,14 +9,20 @@ from tidewell.llm import bpe, decontaminate, language_id, near_dedup, secret_sca
 from tidewell.llm.queries import token_digests, vocabulary
 from tidewell.session import materialize
 
-#: A document goes where its language has no majority in it.
-LEAST_SCORE = 0.5
+#: A document goes where the marginals of its words are this near to uniform; see language_id.predict.
+LEAST_SURE = 0.1
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose words have a majority language; those without letters go."""
-    found = language_id.predict(docs, language_id.learn(docs))
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    """Documents whose words tell languages, one or several; those without letters go.
+
+    Where no language could be learned, all documents are passed on.
+    """
+    field = language_id.learn(docs)
+    if field is None:
+        return docs
+    found = language_id.predict(docs, field, evidence=True)
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("sure") >= LEAST_SURE)
     return found.filter(known).select("document.*")
 
 

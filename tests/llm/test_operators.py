@@ -174,6 +174,28 @@ def test_runs_of_any_length_are_read_to_the_end():
     assert [p[0] for p in predictor.predict([run, run[:40], run[40:] + run[:40]])] == ["z", "a", "z"]
 
 
+def test_every_label_is_learned(spark):
+    rows = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} text", f"l{i % 70:02}") for i in range(210)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert {lang for lang, _ in language_id.training_sample(table)} == {f"l{i:02}" for i in range(70)}
+    assert len(language_id.training_sample(table, 1)) == 70
+
+
+def test_language_stage_goes_by_evidence(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    say = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(8)) for _ in range(n))
+    kinds = {"a": "abcd", "e": "efgh", "w": "wxyz"}
+    rows = [(i, say(kinds[k], 30), k) for i, k in enumerate([*kinds] * 40)]
+    rows += [(900, " ".join(say(c, 20) for c in kinds.values()), None), (901, "12 %", None), (902, None, None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, table, "").collect()}
+    assert kept == set(range(120)) | {900}  # a text in three languages has no majority
+    unlabelled = table.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.known_language(spark, unlabelled, "").count() == len(rows)
+
+
 def test_long_chains_are_those_of_short_ones():
     import numpy as np
 

@@ -25,8 +25,9 @@ from pyspark.sql.window import Window
 
 from tidewell.llm.shipping import shipped, tidied
 
-#: Labelled rows of each language that the field is fitted on, and languages at most.
-SAMPLE_ROWS, MAX_LANGUAGES = 120, 64
+#: Labelled rows of each language that the field is fitted on, and, with many languages, rows times
+#: languages, which is what fitting holds; but one row of every language.
+SAMPLE_ROWS, SAMPLE_CELLS = 120, 120 * 64 * 64
 #: Hashed features, lexicon words, rounds of fitting.
 FEATURES, LEXICON, ROUNDS = 1 << 16, 20_000, 40
 #: Words a worker remembers the scores of; bounds its memory.
@@ -85,9 +86,13 @@ def _marginals(scores: np.ndarray, mask: np.ndarray, step: np.ndarray, start: np
     return ahead, back, both.transpose(1, 0, 2)
 
 
-def text_marginals(scores: np.ndarray, bounds: np.ndarray, step: np.ndarray) -> np.ndarray:
+def text_marginals(
+    scores: np.ndarray, bounds: np.ndarray, step: np.ndarray, best: np.ndarray | None = None
+) -> np.ndarray:
     """Sums of marginals of each text. Text i has the rows bounds[i] to bounds[i + 1] of `scores`.
 
+    To `best`, where given, the largest marginal of each word is added up.
+
     Texts are cut into blocks of words. A block's transfer matrix carries messages over it, so only
     blocks, not words, follow one another in the text; the result is that of the whole chain.
     """
@@ -123,8 +128,10 @@ def text_marginals(scores: np.ndarray, bounds: np.ndarray, step: np.ndarray) ->
         vector = np.einsum("nij,nj->ni", carry[at + 1], stop[at + 1])
         stop[at] = vector / vector.sum(1, keepdims=True)
     _, _, found = _marginals(cut, mask, step, start, stop)
-    found = np.where(mask[:, :, None], found, 0).sum(1)
-    np.add.at(out, owner, found)
+    found = np.where(mask[:, :, None], found, 0)
+    if best is not None:
+        np.add.at(best, owner, found.max(2).sum(1))
+    np.add.at(out, owner, found.sum(1))
     return out
 
 
@@ -226,16 +233,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
-    """At most `rows` whole texts of each of the MAX_LANGUAGES most frequent languages.
+    """At most `rows` whole texts of each language, fewer where SAMPLE_CELLS asks for it, at least one.
 
     Rows are chosen by a hash. Counts tell what share of each language's rows will do, so that only
     a few times as many rows as wanted are ranked.
     """
     labelled = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    counted = {r["lang"]: r["count"] for r in counted.limit(MAX_LANGUAGES).collect()}
+    counted = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not counted:
         return []
+    rows = max(1, min(rows, SAMPLE_CELLS // len(counted) ** 2))
     share = F.create_map(*[F.lit(x) for lang, n in counted.items() for x in (lang, min(1.0, 8 * rows / n))])
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = labelled.withColumn("at", chance).filter(F.col("at") < share[F.col("lang")])
@@ -263,7 +270,8 @@ class Predictor:
             self.known[word] = len(self.known)
         self.scores = np.concatenate((self.scores, np.exp(scored - scored.max(1, keepdims=True))))
 
-    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+    def predict(self, texts: list[str], best: np.ndarray | None = None) -> list[tuple[str, float]]:
+        """Language and score of each text; to `best` see text_marginals."""
         said = [WORDS.findall(t) for t in texts]
         every = [w for words in said for w in words]
         new = list(set(every).difference(self.known))
@@ -274,17 +282,27 @@ class Predictor:
             self._learn(new)
         ids = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
         bounds = np.concatenate(([0], np.cumsum([len(w) for w in said])))
-        sums = text_marginals(self.scores[ids].astype(np.float64), bounds, self.step)
+        sums = text_marginals(self.scores[ids].astype(np.float64), bounds, self.step, best)
         out = []
         for n, row in zip(np.diff(bounds).tolist(), sums, strict=True):
-            best = int(row.argmax())
-            out.append((self.field.languages[best], min(1.0, float(row[best] / n))) if n else (UNKNOWN, 0.0))
+            at = int(row.argmax())
+            out.append((self.field.languages[at], min(1.0, float(row[at] / n))) if n else (UNKNOWN, 0.0))
         return out
 
+    def evidence(self, texts: list[str]) -> list[tuple[str, float, float]]:
+        """Also how far the words' best marginals are, on average, from uniform (0) to certain (1)."""
+        best, k = np.zeros(len(texts)), len(self.field.languages)
+        found = self.predict(texts, best)
+        words = [len(WORDS.findall(t)) for t in texts]
+        sure = [(b / n - 1 / k) / (1 - 1 / k) if n and k > 1 else float(n > 0) for b, n in zip(best.tolist(), words, strict=True)]
+        return [(*f, s) for f, s in zip(found, sure, strict=True)]
+
 
-def predict(docs: DataFrame, field: Field | None) -> DataFrame:
+def predict(docs: DataFrame, field: Field | None, evidence: bool = False) -> DataFrame:
     """`docs` as the column `document`, with lang_pred and score; only `text` is looked at.
 
+    With `evidence` also `sure`, which tells a text in several clear languages from one in none.
+
     The language is `und` and the score 0 where the text is null or has no letter, and where nothing
     could be learned. Of equal languages the first in order wins. Empty tables, repeated rows and
     nulls in other columns need nothing special.
@@ -298,21 +316,24 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
                 texts = [t or "" for t in part.column("document").field("text").to_pylist()]
-                found = predictor.predict(texts) if predictor else [(UNKNOWN, 0.0)] * len(texts)
+                found = [(UNKNOWN, 0.0, 0.0)] * len(texts)
+                if predictor:
+                    found = predictor.evidence(texts) if evidence else predictor.predict(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("document"),
                         pa.array([f[0] for f in found], pa.string()),
                         pa.array([f[1] for f in found], pa.float64()),
+                        *([pa.array([f[2] for f in found], pa.float64())] if evidence else []),
                     ],
-                    names=["document", "lang_pred", "score"],
+                    names=["document", "lang_pred", "score", *(["sure"] if evidence else [])],
                 )
         predictor = None
         tidied()
 
     rows = shipped(docs).select(F.struct("*").alias("document"))
     schema = StructType([rows.schema["document"]]).add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(work, schema.add("sure", "double") if evidence else schema)
 
 
 def learn(docs: DataFrame) -> Field | None:
