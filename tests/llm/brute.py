@@ -138,3 +138,45 @@ def verdicts(said: list[str], urls: list[tuple[str, str, str | None]], split) ->
     log = lambda kind, t: math.log((seen[kind][t] + 1) / (sum(seen[kind].values()) + size))
     prior = math.log((classes["block"] + 1) / (classes["allow"] + 1))
     return ["block" if prior + sum(log("block", t) - log("allow", t) for t in found) > 1e-9 else "allow" for found in tokens]
+
+
+SPACED = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def middle_filled(key, text: str | None, unit: str, rate: int = 50, suffix_first: int = 80):
+    """(n, form, prefix_chars, middle_chars, output) by slices of Python text."""
+    text = text or ""
+    h = sha(f"42:{'' if key is None else key}")
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in range(0, 32, 8))
+    units = SPACED.findall(text) if unit == "tokens" else list(text)
+    a, b = sorted(h % (len(units) + 1) for h in (h1, h2))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(mark in text for mark in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return len(units), "plain", None, None, text
+    if h4 % 100 < suffix_first:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def folds(digests: list[str]) -> tuple[str, list[str]]:
+    """The root over some digests, eight to a node, and the siblings of each from its level upwards."""
+    if len(digests) == 1:
+        return digests[0], [""]
+    runs = [digests[i : i + 8] for i in range(0, len(digests), 8)]
+    root, above = folds([sha("".join(r)) for r in runs])
+    return root, ["".join(x for j, x in enumerate(r) if j != i) + above[n] for n, r in enumerate(runs) for i in range(len(r))]
+
+
+def manifest(rows: list[tuple]) -> tuple[str, dict[tuple, list[tuple[str, str]]]]:
+    """The root, and (subroot, all siblings) of each (group, key, digest)."""
+    groups: dict = {}
+    for group, key, digest in rows:
+        groups.setdefault(group, []).append((key is not None, key or 0, digest, key))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    lower = {g: folds([d for *_, d, _ in sorted(groups[g], key=lambda r: r[:3])]) for g in order}
+    root, above = folds([lower[g][0] for g in order])
+    out: dict = {}
+    for g, rest in zip(order, above, strict=True):
+        for (_, _, digest, key), own in zip(sorted(groups[g], key=lambda r: r[:3]), lower[g][1], strict=True):
+            out.setdefault((g, key, digest), []).append((lower[g][0], own + rest))
+    return root, out

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from tidewell.llm import (
     bpe,
     decontaminate,
+    fill_in_middle,
     language_id,
+    merkle,
     near_dedup,
     nearest,
+    piece_bpe,
     pii,
     revisits,
     secret_scan,
@@ -330,6 +333,156 @@ FROM documents LEFT JOIN by_doc USING (doc_id)
 """
 
 
+def piece_model() -> str:
+    """The file of the sentencepiece model."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@_query
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    tokens = piece_bpe.round_trip(docs, piece_model())
+    return tokens.select(
+        "document.doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    fields = {name: F.col(name) for name in merkle.FIELDS}
+    changed = {**fields, "text": F.translate("text", CAPITALS, SMALL)}
+    suspect = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    leaf = merkle.leaf_of(list(fields.values()))
+    shown = F.when(suspect, merkle.leaf_of(list(changed.values()))).otherwise(leaf)
+    leaves = docs.select("doc_id", "lang", leaf.alias("leaf"), shown.alias("shown"))
+    found = merkle.manifest(leaves, "lang", ["doc_id"])
+    root = merkle.folded(F.col("carried.shown"), F.col("proof"))
+    return found.select(
+        "carried.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        root.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql(levels: int, group_levels: int) -> str:
+    """SQL for trees of at most 8 ** levels leaves, and 8 ** group_levels groups; one step a level."""
+
+    def tree(name: str, key: str, height: int) -> str:
+        # <name>0 (key, i, digest); runs of a level, and the nodes above them.
+        parts = []
+        for n in range(height):
+            parts.append(
+                f"{name}_run{n} AS (SELECT {key}, i // 8 AS i, list(digest ORDER BY i) AS run,"
+                f" sum(count(*)) OVER (PARTITION BY {key}) AS total FROM {name}{n} GROUP BY {key}, i // 8),"
+            )
+            parts.append(
+                f"{name}{n + 1} AS (SELECT {key}, i, CASE WHEN total = 1 AND len(run) = 1 THEN run[1]"
+                f" ELSE sha256(array_to_string(run, '')) END AS digest FROM {name}_run{n}),"
+            )
+        return "\n".join(parts)
+
+    def climb(name: str, source: str, key: str, height: int) -> str:
+        # <name>_at<n> (..., i, shown, proof): a leaf's place, the digest folded so far, its siblings.
+        parts = []
+        for n in range(height):
+            below = source if n == 0 else f"{name}_at{n}"
+            alone = "total = 1 AND len(run) = 1"
+            before, after = "array_to_string(run[:a.i % 8], '')", "array_to_string(run[a.i % 8 + 2:], '')"
+            parts.append(
+                f"{name}_at{n + 1} AS (SELECT a.* REPLACE (a.i // 8 AS i,"
+                f" CASE WHEN {alone} THEN shown ELSE sha256({before} || shown || {after}) END AS shown,"
+                f" CASE WHEN {alone} THEN proof ELSE proof || {before} || {after} END AS proof)"
+                f" FROM {below} a JOIN {name}_run{n} r ON r.{key} = a.{key} AND r.i = a.i // 8),"
+            )
+        return "\n".join(parts)
+
+    def value(column: str) -> str:
+        return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lower = f"translate(text, '{CAPITALS}', '{SMALL}')"
+    # crc32, bit by bit: after each byte seven more shifts.
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ord(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    crc = (
+        f"xor(4294967295, list_reduce({bits}, lambda c, b:"
+        " xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::UBIGINT))"
+    )
+    return rf"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf("text")} AS digest,
+         CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS shown FROM documents),
+t0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, digest) - 1 AS i FROM leaves),
+{tree("t", "g", levels)}
+s0 AS (SELECT 0 AS one, g, row_number() OVER (ORDER BY g) - 1 AS i, digest FROM t{levels}),
+{tree("s", "one", group_levels)}
+start AS (SELECT doc_id, g, 0 AS one, i, digest AS leaf, shown, '' AS proof FROM t0),
+{climb("t", "start", "g", levels)}
+half AS (SELECT a.* REPLACE (s0.i AS i), s0.digest AS subroot FROM t_at{levels} a JOIN s0 USING (g)),
+{climb("s", "half", "one", group_levels)}
+whole AS (SELECT * FROM s{group_levels})
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, shown AS folded_root, shown = digest AS verified
+FROM s_at{group_levels}, whole
+"""
+
+
+_SQL["op12_merkle_manifest"] = _merkle_sql(levels=8, group_levels=4)
+
+
+@_query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = fill_in_middle.transform(docs)
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "document.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output"), 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+_SQL["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS w
+  FROM documents),
+drawn AS (
+  SELECT *, len(w) AS n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2,
+         ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM d),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+         WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:], '') AS s
+  FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
