@@ -1,6 +1,7 @@
 """The layered sales job on a small received file with planted faults."""
 
 import datetime as dt
+import pathlib
 from decimal import Decimal
 
 import pytest
@@ -185,15 +186,63 @@ def test_dedup_keeps_the_row_received_last(spark):
     assert [r.note for r in sales.dedup(df).collect()] == ["new"]
 
 
+def valid_rows(spark, made):
+    rows_ = [(key, dt.date(2024, month, 3), n) for key, month, n in made]
+    return spark.createDataFrame(rows_, "transaction_id string, transaction_date date, n int")
+
+
 def test_merge_job(spark, folder):
-    schema = "transaction_id string, n int"
-    append(spark.createDataFrame([("A", 1), ("B", 1)], schema), f"{folder}/v1")
-    log = AuditLog(spark, f"{folder}/log")
-    source = spark.createDataFrame([("B", 2), ("C", 2)], schema)
-    assert sales.run_merge(spark, f"{folder}/v1", source, f"{folder}/v2", log) == {"n_rows": 3}
-    again = f"{folder}/v3"
-    assert sales.run_merge(spark, f"{folder}/v2", source, again, log) == {"n_rows": 3}
-    assert rows(spark.read.parquet(again)) == [("A", 1), ("B", 2), ("C", 2)]
+    log, path = AuditLog(spark, f"{folder}/log"), f"{folder}/silver"
+    first = valid_rows(spark, [("A", 1, 1), ("B", 2, 1), (None, 2, 7)])
+    assert sales.run_merge(spark, path, first, log) == {"n_rows": 3}
+    later = valid_rows(spark, [("B", 3, 2), ("C", 2, 2), (None, 2, 7), (None, 2, 8)])
+    for _ in range(2):  # the second time changes nothing
+        assert sales.run_merge(spark, path, later, log) == {"n_rows": 4}
+        merged = sales.read_merged(spark, path).select("transaction_id", "n")
+        assert rows(merged) == [(None, 7), (None, 8), ("A", 1), ("B", 2), ("C", 2)]
+
+
+def received_rows(spark, made):
+    columns = HEADER.split(",")
+    full = [(key, "2024-01-05", "P01", store, quantity, price, "0", "0", "INR") for key, store, quantity, price in made]
+    return sales.bronze(spark.createDataFrame(full, ", ".join(f"{c} string" for c in columns)))
+
+
+def test_runs_take_what_is_new(spark, stores, folder, monkeypatch):
+    """Two arrivals; the second run reads only the second, and a batch that comes again changes nothing."""
+    log, ids = AuditLog(spark, f"{folder}/log"), stores.select("store_id")
+    seen = []
+    judged = sales.judged
+    monkeypatch.setattr(sales, "judged", lambda batch, s: (seen.append(batch.count()), judged(batch, s))[1])
+    append(received_rows(spark, [("A", "S01", "1", "2"), ("B", "S02", "1", "3"), ("X", "S77", "1", "1")]), f"{folder}/bronze/sales")
+    assert sales.run_increment(spark, ids, folder, log) == {"n_rows": 2, "n_rejected": 1}
+    append(received_rows(spark, [("B", "S02", "5", "3"), ("A", "S01", "0", "2")]), f"{folder}/bronze/sales")
+    assert sales.run_increment(spark, ids, folder, log) == {"n_rows": 1, "n_rejected": 1}
+    assert sales.run_increment(spark, ids, folder, log) == {"n_rows": 0, "n_rejected": 0}
+    assert seen == [3, 2]
+
+    def state():
+        silver = sales.read_merged(spark, f"{folder}/silver/sales").select("transaction_id", "correct_total")
+        bad = sales.read_quarantine(spark, folder).select("transaction_id", "reject_reason", "batch")
+        return rows(silver), rows(bad)
+
+    # The later row of A is invalid, so the one before it stays.
+    good, bad = state()
+    assert [(k, float(v)) for k, v in good] == [("A", 2.0), ("B", 15.0)]
+    assert bad == [("A", "quantity", 1), ("X", "store_id", 0)]
+
+    # The last batch was merged, but the stream did not get to note it.
+    commits = pathlib.Path(folder) / "_checkpoints" / "silver" / "commits"
+    for name in ("1", ".1.crc"):
+        (commits / name).unlink()
+    assert sales.run_increment(spark, ids, folder, log) == {"n_rows": 0, "n_rejected": 0}
+    assert seen == [3, 2] and state() == (good, bad)
+    # It was not even noted as merged: it is merged again, with the same result.
+    for name in ("1", ".1.crc"):
+        (commits / name).unlink()
+    (pathlib.Path(folder) / "silver" / "_merged" / "1").rmdir()
+    assert sales.run_increment(spark, ids, folder, log) == {"n_rows": 1, "n_rejected": 1}
+    assert seen == [3, 2, 2] and state() == (good, bad)
 
 
 def test_month_with_and_without_year(spark, stores):
@@ -241,7 +290,7 @@ def test_command_line(spark, source, tmp_path, capsys):
     finally:
         spark.sql("DROP DATABASE IF EXISTS gold_cli CASCADE")
     main(["orders", _order_file(tmp_path), str(tmp_path / "orders")])
-    assert "COMPACT" in capsys.readouterr().out
+    assert "PAID" in capsys.readouterr().out
 
 
 def _order_file(tmp_path):

@@ -9,6 +9,8 @@ from helpers import rows
 from tidewell.operators.keys import DuplicateKeyError
 from tidewell.operators.quality import QualityError
 from tidewell.plans import warehouse
+from tidewell.session import move_path
+from tidewell.sinks import swap
 
 DAY = "2025-03-10"
 
@@ -136,3 +138,50 @@ def test_empty_dimension_fails_the_checks(spark, folder):
     land(landing, DAY, [order("A", f"{DAY}T10:00:00")], customers=())
     with pytest.raises(QualityError, match="dim_customers_not_empty"):
         warehouse.run_daily(spark, landing, base, DAY)
+
+
+def test_a_failed_write_leaves_the_old_day(spark, folder):
+    fact_path, day = f"{folder}/fact_orders", dt.datetime(2025, 3, 10, 9)
+    staged = schema([("A", day, 1, 1, 2, Decimal("5.00"), "USD", "NEW")], spark)
+    warehouse.load_fact_slice(spark, fact_path, warehouse.fact_orders(staged), DAY)
+    before = rows(spark.read.parquet(fact_path))
+
+    def fails(*args):
+        raise OSError("no room")
+
+    new = warehouse.fact_orders(schema([("B", day, 1, 1, 2, Decimal("5.00"), "USD", "NEW")], spark))
+    for name in ("overwrite", "publish"):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(warehouse, name, fails)
+            with pytest.raises(OSError, match="no room"):
+                warehouse.load_fact_slice(spark, fact_path, new, DAY)
+        assert rows(spark.read.parquet(fact_path)) == before
+    with pytest.MonkeyPatch.context() as patch:
+        moves = []
+
+        def second_fails(session, source, target):
+            moves.append(target)
+            if len(moves) == 2:
+                raise OSError("no room")
+            return move_path(session, source, target)
+
+        patch.setattr(swap, "move_path", second_fails)
+        with pytest.raises(OSError, match="no room"):
+            warehouse.load_fact_slice(spark, fact_path, new, DAY)
+    assert len(moves) > 2 and rows(spark.read.parquet(fact_path)) == before
+    warehouse.load_fact_slice(spark, fact_path, new, DAY)
+    assert rows(spark.read.parquet(fact_path).select("order_id")) == [("B",)]
+
+
+def test_a_dimension_whose_swap_was_left_half_done(spark, folder):
+    kind = "customer_id int, name string"
+    load = lambda r: warehouse.load_dimension(spark, folder, "dim", "customer_id", spark.createDataFrame(r, kind))
+    load([(1, "Ann"), (2, "Bo")])
+    # A writer died after it had moved the old table away.
+    aside = pathlib.Path(folder) / f".old-dim-0-{'a' * 32}"
+    aside.mkdir()
+    (pathlib.Path(folder) / "dim").rename(aside / "t")
+    (pathlib.Path(folder) / f".new-dim-{'b' * 32}").mkdir()
+    assert load([(2, "Bea"), (3, "Cy")]) == 3
+    assert rows(spark.read.parquet(f"{folder}/dim")) == [(1, "Ann"), (2, "Bea"), (3, "Cy")]
+    assert [p.name for p in pathlib.Path(folder).iterdir()] == ["dim"]

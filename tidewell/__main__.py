@@ -38,7 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("day", help="yyyy-mm-dd")
     job.add_argument("--min-orders", type=int, default=10)
 
-    job = jobs.add_parser("orders", help="a table with versions")
+    job = jobs.add_parser("orders", help="a partitioned table, changed and laid out")
     job.add_argument("source", help="CSV of orders")
     job.add_argument("path", help="folder of the table")
 
@@ -58,14 +58,9 @@ def _run_sales(spark: SparkSession, args: argparse.Namespace) -> None:
     log = AuditLog(spark, f"{args.base}/logs")
     stores = read_csv_strings(spark, args.stores)
     products = read_csv_strings(spark, args.products)
-    ids = stores.select("store_id")
     sales.run_bronze(spark, args.source, args.base, log)
-    sales.run_silver(spark, ids, args.base, log)
-    schema = sales.judged(spark.read.parquet(f"{args.base}/bronze/sales"), ids).schema
-    valid, _ = sales.read_silver(spark, args.base, schema)
-    table = f"{args.base}/silver/sales"
-    sales.run_merge(spark, table, valid, table, log)
-    silver = spark.read.parquet(table)
+    sales.run_increment(spark, stores.select("store_id"), args.base, log)
+    silver = sales.read_merged(spark, f"{args.base}/silver/sales")
     sales.run_gold(spark, silver, stores, products, args.database, log)
 
 
@@ -82,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "warehouse":
         print(warehouse.run_daily(spark, args.landing, args.base, args.day, args.min_orders))
     elif args.job == "orders":
-        orders.run(spark, args.source, args.path).history().orderBy("version").show()
+        orders.run(spark, args.source, args.path).groupBy("status").count().show()
     elif args.job == "extend":
         for name, found in pos.extend(
             spark, args.source, args.output, args.rows, args.seed

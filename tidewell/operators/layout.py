@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.session import materialize, path_bytes
+from tidewell.operators.stored import folder_of, read_stored, replace_partitions
+from tidewell.session import path_bytes
+from tidewell.sinks import recover
 from tidewell.sources import row_position
 
 FILE_BYTES = 256 * 1024**2
@@ -51,31 +53,29 @@ def compact_small(
 ) -> int:
     """Rewrite, in place, only the partition folders with twice the files they need; how many those are.
 
-    Their rows are stored in the working folder first, so a failed write can be
-    made good from there. A folder of the right files is neither read nor written.
+    Their new files are complete beside the table before the old ones go. A folder of the right files
+    is neither read nor written.
     """
-    needed = F.ceil(F.col("n_bytes") / file_bytes)
-    small = file_inventory(spark, path, partition_by).filter(F.col("n_files") >= 2 * needed)
-    small = materialize(small.select(*[F.col(c).alias(f"_{c}") for c in partition_by], needed.alias("_files")), "small")
-    n_folders = small.count()
-    if n_folders == 0:
+    recover(spark, path)
+    depth = len(partition_by)
+    per_file = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
+    needed = F.ceil(F.sum("file_size") / file_bytes).alias("needed")
+    per_folder = per_file.groupBy(folder_of("file_path", depth).alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_files"), needed
+    )
+    small = [(r.folder, r.needed) for r in per_folder.filter(F.col("n_files") >= 2 * F.col("needed")).collect()]
+    if not small:
         return 0
-    rows = spark.read.option("mergeSchema", True).parquet(path)
+    folders = [unquote(folder) for folder, _ in small]
+    rows = read_stored(spark, path, folders=folders)
     columns = rows.columns
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by])
-    placed = materialize(rows.join(small, same).select(*columns, "_files"), "compacted").select("*", *row_position())
+    wanted = spark.createDataFrame(small, "_folder string, _files long")
+    placed = rows.select("*", *row_position()).withColumn("_folder", folder_of("_file", depth)).join(wanted, "_folder")
     # At most `_files` tasks hold rows of one folder.
     slot = F.pmod(F.xxhash64("_file", "_row"), F.col("_files"))
-    (
-        placed.withColumn("_slot", slot)
-        .repartition(*partition_by, "_slot")
-        .select(*columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    return n_folders
+    placed = placed.withColumn("_slot", slot).repartition(*partition_by, "_slot").select(*columns)
+    replace_partitions(placed, path, partition_by, folders, place=False)
+    return len(folders)
 
 
 def cluster(

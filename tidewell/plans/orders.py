@@ -1,19 +1,33 @@
-"""An order table that is partitioned, changed, read at old versions and laid out anew."""
+"""An order table that is partitioned, changed and laid out anew."""
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.operators.layout import cluster
-from tidewell.operators.versions import VersionedTable
-from tidewell.session import fresh_path, remove_path
-from tidewell.sinks import overwrite
-from tidewell.sources import inline_rows, read_csv_inferred
+from tidewell.operators.layout import cluster, compact_small
+from tidewell.operators.stored import delete_stored, read_stored, update_stored
+from tidewell.sinks import append, overwrite_partitioned, recover
 
 PARTITIONS = ["country", "order_date"]
+# Column names and types are fixed values.
+ORDER_SCHEMA = (
+    "order_id string, order_timestamp timestamp, customer_id string, country string, amount double, "
+    "currency string, status string"
+)
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What the job changes. The defaults are fixed values."""
+
+    paid_country: str = "IN"
+    cancelled_country: str = "US"
+    cancelled_under: float = 100
+    least_amount: float = 50
 
 
 def with_order_date(orders: DataFrame) -> DataFrame:
@@ -27,37 +41,25 @@ def pruned(orders: DataFrame, country: str, day: dt.date | str) -> DataFrame:
     )
 
 
-def late_orders(spark: SparkSession) -> DataFrame:
-    """Rows that bring two columns the table does not have."""
-    rows = [
-        ("O-5001", "2025-12-01T09:00:00Z", "C-9001", "US", 180.0, "USD", "PAID", "CARD", "WELCOME10"),
-        ("O-5002", "2025-12-01T10:30:00Z", "C-9002", "IN", 900.0, "INR", "CREATED", "UPI", None),
-    ]  # fixed values
-    schema = (
-        "order_id string, order_timestamp string, customer_id string, country string, "
-        "amount double, currency string, status string, payment_method string, coupon_code string"
-    )
-    parsed = inline_rows(spark, rows, schema).withColumn(
-        "order_timestamp", F.to_timestamp("order_timestamp")
-    )
-    return with_order_date(parsed)
-
-
-def run(spark: SparkSession, csv: str, path: str) -> VersionedTable:
-    """Versions 0 to 5: write, update, append with new columns, update, delete, compact.
+def run(spark: SparkSession, csv: str, path: str, late: DataFrame | None = None, rules: Rules = Rules()) -> DataFrame:
+    """Write the orders of a CSV by country and day, change them, lay them out; the table at the end.
 
-    Last, ``<path>_clustered`` holds the newest rows laid out by customer.
+    One country's open orders are paid, ``late`` ones (which may bring columns) added, small ones of
+    another country cancelled, and those under the least amount deleted. Each change writes only the
+    partitions it touches. Last, folders of small files are compacted, and ``<path>_clustered`` holds
+    the rows laid out by customer.
     """
-    table = VersionedTable(spark, path, PARTITIONS)
-    table.create(with_order_date(read_csv_inferred(spark, csv)))
+    received = spark.read.schema(ORDER_SCHEMA).option("header", True).csv(csv)
+    recover(spark, path)
+    overwrite_partitioned(with_order_date(received), path, PARTITIONS)
     country, status, amount = F.col("country"), F.col("status"), F.col("amount")
-    table.update((country == "IN") & (status == "CREATED"), {"status": F.lit("PAID")})
-    table.append(late_orders(spark))
-    table.update((country == "US") & (amount < 100), {"status": F.lit("CANCELLED")})
-    table.delete(amount < 50)
-    table.compact()
-    newest = fresh_path(spark, "orders")
-    overwrite(table.current(), newest)
-    cluster(spark, newest, f"{path}_clustered", "customer_id", PARTITIONS)
-    remove_path(spark, newest)
-    return table
+    paid = (country == rules.paid_country) & (status == "CREATED")
+    update_stored(spark, path, PARTITIONS, paid, {"status": F.lit("PAID")})
+    if late is not None:
+        append(with_order_date(late), path, PARTITIONS)
+    cancelled = (country == rules.cancelled_country) & (amount < rules.cancelled_under)
+    update_stored(spark, path, PARTITIONS, cancelled, {"status": F.lit("CANCELLED")})
+    delete_stored(spark, path, PARTITIONS, amount < rules.least_amount)
+    compact_small(spark, path, PARTITIONS)
+    cluster(spark, path, f"{path}_clustered", "customer_id", PARTITIONS)
+    return read_stored(spark, path)

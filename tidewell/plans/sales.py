@@ -10,21 +10,14 @@ from pyspark.sql import types as T
 
 from tidewell.functions import EXACT, month_number
 from tidewell.operators.audit import AuditLog
-from tidewell.operators.changes import merge_upsert
 from tidewell.operators.keys import latest_per_key
 from tidewell.operators.rollups import sum_by, sum_by_attribute
-from tidewell.operators.sets import except_rows, union_rows
+from tidewell.operators.stored import merge_stored, read_stored
 from tidewell.operators.validity import add_membership, add_verdict, keep_members
-from tidewell.sinks import (
-    append,
-    ensure_database,
-    read_split,
-    replace_folder,
-    save_managed,
-    write_split,
-)
-from tidewell.session import path_exists
+from tidewell.session import make_folder, materialized, path_exists
+from tidewell.sinks import append, ensure_database, overwrite, read_split, save_managed, write_split
 from tidewell.sources import read_csv_strings
+from tidewell.streaming import read_stream_table, run_batches
 
 # Operands keep what was received; their product and difference fit EXACT without a cut.
 QUANTITY, PRICE = "decimal(14,2)", "decimal(20,8)"
@@ -37,6 +30,8 @@ SALES_TYPES = {
     "total_amount": PRICE,
 }
 KEY = "transaction_id"
+#: The silver table is stored by month, as yyyy-MM.
+MONTH = "sales_month"
 
 
 # -- bronze ----------------------------------------------------------------
@@ -219,26 +214,66 @@ def read_silver(spark: SparkSession, base: str, schema: T.StructType) -> tuple[D
     return good.drop("reject_reason"), bad
 
 
-def run_merge(
-    spark: SparkSession, target: str, source: DataFrame, new_target: str, log: AuditLog
-) -> dict[str, int]:
-    """Upsert valid rows into a silver table, which is made if it is not there.
+def by_month(silver: DataFrame) -> DataFrame:
+    """Silver rows with the column that their table is stored by."""
+    return silver.withColumn(MONTH, F.date_format("transaction_date", "yyyy-MM"))
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """The silver table that merges keep."""
+    return read_stored(spark, path).drop(MONTH)
+
 
-    ``new_target`` may be ``target``: the old table stays until the new one is
-    complete. A row without a key is added unless an equal one is there.
+def run_merge(spark: SparkSession, target: str, source: DataFrame, log: AuditLog) -> dict[str, int]:
+    """Upsert valid rows into the silver table, which is made if it is not there.
+
+    Only the months that hold a transaction of ``source``, or take one, are read and written. A row
+    without a key is added unless an equal one is there.
     """
 
     def work() -> dict[str, int]:
-        if not path_exists(spark, target):
-            return {"n_rows": replace_folder(source, new_target)}
-        held, keyed = spark.read.parquet(target), F.col(KEY).isNotNull()
-        unkeyed = except_rows(source.filter(~keyed), held.select(*source.columns).filter(~keyed))
-        changes = union_rows(source.filter(keyed), unkeyed)
-        return {"n_rows": replace_folder(merge_upsert(held, changes, [KEY]), new_target)}
+        merged = merge_stored(by_month(source), target, [KEY], [MONTH])
+        return {"n_rows": merged["n_rows"]}
 
     return log.step("silver", "silver_merge", work)
 
 
+def run_increment(spark: SparkSession, stores: DataFrame, base: str, log: AuditLog) -> dict[str, int]:
+    """Judge what bronze has received since the last run, and merge it into ``<base>/silver/sales``.
+
+    Bronze is read as a stream, so each file is taken once. What a batch rejects goes to a folder of its
+    own number, ``<base>/silver/quarantine/batch=<n>``, and a batch whose number is noted as merged is
+    left out; a batch that is run again after a failure thus changes nothing. Of a transaction the row
+    received last counts, unless it is invalid: then the valid one before it stays.
+    """
+    totals = {"n_rows": 0, "n_rejected": 0}
+    target, notes = f"{base}/silver/sales", f"{base}/silver/_merged"
+
+    def take(batch: DataFrame, number: int) -> None:
+        done = f"{notes}/{number}"
+        if path_exists(batch.sparkSession, done):
+            return
+        with materialized(judged(batch, stores), "judged") as rows:
+            rejected = rows.filter(~F.col("is_valid")).drop("is_valid")
+            totals["n_rejected"] += overwrite(rejected, f"{base}/silver/quarantine/batch={number}")
+            valid = rows.filter("is_valid").drop("is_valid", "reject_reason")
+            totals["n_rows"] += merge_stored(by_month(valid), target, [KEY], [MONTH])["n_rows"]
+        make_folder(batch.sparkSession, done)
+
+    def work() -> dict[str, int]:
+        bronze_path = f"{base}/bronze/sales"
+        received = read_stream_table(spark, bronze_path, spark.read.parquet(bronze_path).schema)
+        run_batches(received, take, f"{base}/_checkpoints/silver")
+        return dict(totals)
+
+    return log.step("silver", "silver_processing", work)
+
+
+def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """All rejected rows, with the number of their batch."""
+    return spark.read.option("basePath", f"{base}/silver/quarantine").parquet(f"{base}/silver/quarantine")
+
+
 def run_gold(
     spark: SparkSession,
     silver: DataFrame,

@@ -10,8 +10,16 @@ from tidewell.functions import MONEY, to_utc
 from tidewell.operators import quality
 from tidewell.operators.changes import unseen_rows, upsert_dimension
 from tidewell.operators.keys import latest_per_key
-from tidewell.session import materialized, path_exists
-from tidewell.sinks import overwrite, replace_folder, write_if_any
+from tidewell.session import materialized, path_exists, remove_path
+from tidewell.sinks import (
+    overwrite,
+    overwrite_partitioned,
+    publish,
+    recover,
+    replace_folder,
+    staged_path,
+    write_if_any,
+)
 from tidewell.sources import dated_path, read_csv_positional, read_json_lines
 
 # Column names and types of the staging and warehouse tables are fixed values.
@@ -119,6 +127,7 @@ def load_staging(spark: SparkSession, landing: str, base: str, day: str) -> dict
 def load_dimension(spark: SparkSession, base: str, name: str, key: str, incoming: DataFrame) -> int:
     """Upsert a dimension. The new content is complete before the old is touched."""
     path = f"{base}/{name}"
+    recover(spark, path)
     if path_exists(spark, path):
         target = spark.read.schema(incoming.schema).parquet(path)
     else:
@@ -129,20 +138,28 @@ def load_dimension(spark: SparkSession, base: str, name: str, key: str, incoming
 def load_fact_slice(spark: SparkSession, path: str, rows: DataFrame, day: str) -> None:
     """Replace one day of the fact table, stored by ``order_date``.
 
-    The day's folder is overwritten, also by nothing if there are no rows. Rows of
-    other days are appended if their order is not there yet; no other day is
-    overwritten.
+    The day is exchanged when its new rows are complete beside the table, also for nothing if there
+    are none; a failed write leaves the old day. Rows of other days are appended if their order is not
+    there yet; no other day is overwritten.
     """
     on_day = F.col("order_date").eqNullSafe(F.lit(day).cast("date"))
+    recover(spark, path)
     # The rows are needed twice, and the second write must not depend on the first.
     with materialized(rows, "fact-rows") as fresh:
-        fresh.filter(on_day).drop("order_date").write.mode("overwrite").parquet(
-            f"{path}/order_date={day}"
-        )
-        stored = spark.read.schema(fresh.schema).parquet(path)
-        unseen = unseen_rows(fresh.filter(~on_day), stored.filter(~on_day), "order_id")
-        placed = unseen.select(*fresh.columns).hint("rebalance", "order_date")
-        placed.write.mode("append").partitionBy("order_date").parquet(path)
+        if path_exists(spark, path):
+            stored = spark.read.schema(fresh.schema).parquet(path)
+            unseen = unseen_rows(fresh.filter(~on_day), stored.filter(~on_day), "order_id")
+            placed = unseen.select(*fresh.columns).hint("rebalance", "order_date")
+            placed.write.mode("append").partitionBy("order_date").parquet(path)
+            staged, today = staged_path(path), f"order_date={day}"
+            try:
+                # Written also where there are none: the folder then tells the columns.
+                overwrite(fresh.filter(on_day).drop("order_date"), f"{staged}/{today}")
+                publish(spark, staged, path, 1, [today])
+            finally:
+                remove_path(spark, staged)
+        else:
+            overwrite_partitioned(fresh, path, ["order_date"])
 
 
 def run_daily(

@@ -526,6 +526,13 @@ def all_oracles() -> dict[str, str]:
                 WHERE order_id % 5 = 0 AND country = '{COUNTRY}'""",
             "order_book",
         ),
+        "stored_changes": _sql(
+            f"""SELECT * FROM (
+                    SELECT * REPLACE (CASE WHEN country = '{COUNTRY}' AND customer_id % 2 = 0 THEN amount + 1
+                                           ELSE amount END AS amount) FROM order_book)
+                WHERE amount >= 5000 OR amount IS NULL""",
+            "order_book",
+        ),
         "audit_trail": _sql(
             """SELECT 'silver' AS pipeline_layer, event_type, record_count, status,
                       CAST(NULL AS VARCHAR) AS error_message
@@ -541,6 +548,12 @@ def all_oracles() -> dict[str, str]:
                 SELECT {_SHOWN} FROM silver WHERE transaction_id % 6 = 0""",
             "merge_source",
         ),
+        "stored_silver_incremental": _sql(
+            f"""SELECT {_SHOWN} FROM merge_source
+                UNION ALL BY NAME
+                SELECT {_SHOWN} FROM silver WHERE transaction_id % 6 = 0""",
+            "merge_source",
+        ),
         "stored_managed_table": _sql("SELECT * FROM order_book", "order_book"),
         "stored_registered_folder": _sql("SELECT * FROM order_book", "order_book"),
         "stored_staging_reloaded": """

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell import sinks, sources
-from tidewell.operators import layout, quality
+from tidewell.operators import layout, quality, stored
 from tidewell.operators.audit import AuditLog
-from tidewell.operators.versions import VersionedTable
 from tidewell.plans import sales as sales_plan
 from tidewell.plans import warehouse
 from tidewell.queries import views
@@ -123,8 +122,8 @@ def _partitioned(spark: SparkSession, folder: str) -> str:
 
 @query
 def stored_partition_scan(spark: SparkSession, folder: str) -> DataFrame:
-    stored = sources.read_path(spark, _partitioned(spark, folder))
-    return stored.filter((F.col("country") == COUNTRY) & (F.col("status") == "O"))
+    table = sources.read_path(spark, _partitioned(spark, folder))
+    return table.filter((F.col("country") == COUNTRY) & (F.col("status") == "O"))
 
 
 @query
@@ -169,15 +168,25 @@ def stored_clustered(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stored_merge(spark: SparkSession, folder: str) -> DataFrame:
     """One country's orders are partly changed and partly new; only its partition is rewritten."""
-    book = views.order_book(spark, folder)
-    table = VersionedTable(spark, fresh_path(spark, "merged"), ["country"])
-    table.create(book)
+    book, path = views.order_book(spark, folder), fresh_path(spark, "merged")
+    sinks.overwrite_partitioned(book, path, ["country"])
     changed = book.filter((F.col("order_id") % 5 == 0) & (F.col("country") == COUNTRY)).withColumn(
         "amount", F.col("amount") * 2
     )
     added = changed.withColumn("order_id", -1 - F.col("order_id"))
-    table.merge(changed.unionByName(added), ["order_id"])
-    return table.current()
+    stored.merge_stored(changed.unionByName(added), path, ["order_id"], ["country"], book.schema)
+    return stored.read_stored(spark, path, book.schema)
+
+
+@query
+def stored_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """A table updated and cut down in place, partition by partition."""
+    book, path = views.order_book(spark, folder), fresh_path(spark, "changed")
+    sinks.overwrite_partitioned(book, path, _PARTITIONS)
+    paid = (F.col("country") == COUNTRY) & (F.col("customer_id") % 2 == 0)
+    stored.update_stored(spark, path, _PARTITIONS, paid, {"amount": F.col("amount") + 1}, book.schema)
+    stored.delete_stored(spark, path, _PARTITIONS, F.col("amount") < 5000, book.schema)
+    return stored.read_stored(spark, path, book.schema)
 
 
 @query
@@ -215,16 +224,32 @@ def run_properties(spark: SparkSession, folder: str) -> DataFrame:
     return load.unionByName(properties("log", log.read(), "event_timestamp", "run_id"))
 
 
+def _arrivals(received: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sales received first, and later ones, partly of the same transactions."""
+    key = F.col(sales_plan.KEY)
+    later = received.filter(key % 3 != 0).withColumn("discount", F.col("discount") * 2)
+    return received.filter(key % 2 == 0), later
+
+
 @query
 def stored_silver_merged(spark: SparkSession, folder: str) -> DataFrame:
     """A first batch of sales becomes the silver table, a second one is merged into it."""
     path, log = fresh_path(spark, "silver"), AuditLog(spark, fresh_path(spark, "log"))
-    received, key = views.sales(spark, folder), F.col(sales_plan.KEY)
-    later = received.filter(key % 3 != 0).withColumn("discount", F.col("discount") * 2)
-    for batch in (received.filter(key % 2 == 0), later):
+    for batch in _arrivals(views.sales(spark, folder)):
         valid = sales_plan.silver_valid(batch, views.valid_stores(spark, folder))
-        sales_plan.run_merge(spark, path, valid, path, log)
-    return sources.read_path(spark, path)
+        sales_plan.run_merge(spark, path, valid, log)
+    return sales_plan.read_merged(spark, path)
+
+
+@query
+def stored_silver_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Two arrivals in bronze, each judged and merged by a run that reads only what is new."""
+    base = fresh_path(spark, "sales")
+    log, stores = AuditLog(spark, f"{base}/log"), views.valid_stores(spark, folder)
+    for arrived in _arrivals(views.sales(spark, folder)):
+        sinks.append(sales_plan.bronze(arrived), f"{base}/bronze/sales")
+        sales_plan.run_increment(spark, stores, base, log)
+    return sales_plan.read_merged(spark, f"{base}/silver/sales").drop("ingestion_timestamp", "source_system")
 
 
 def _named(spark: SparkSession) -> str:

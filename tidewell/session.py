@@ -85,6 +85,19 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.mkdirs(place)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    files, place = _place(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(place))
+
+
 # -- intermediate tables ---------------------------------------------------------
 
 _ROOTS: dict[str, str] = {}

@@ -22,6 +22,7 @@ from tidewell.sinks.files import (
     write_json_records,
     write_split,
 )
+from tidewell.sinks.swap import publish, recover, staged_path
 
 __all__ = [
     "append",
@@ -33,10 +34,13 @@ __all__ = [
     "list_partitions",
     "overwrite",
     "overwrite_partitioned",
+    "publish",
     "read_split",
+    "recover",
     "register_folder",
     "replace_folder",
     "save_managed",
+    "staged_path",
     "use_database",
     "write_csv",
     "write_if_any",

@@ -8,13 +8,13 @@ also when tasks are run again.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidewell.session import move_path, path_exists, remove_path
+from tidewell.session import remove_path
+from tidewell.sinks.swap import publish, staged_path
 
 
 def counted(
@@ -97,19 +97,16 @@ def replace_folder(df: DataFrame, path: str) -> int:
     """Replace a table that ``df`` may read from; rows written.
 
     The new content is complete in a folder beside the old before the old is
-    touched. If writing fails the old one is as it was.
+    touched. Whatever fails, the old one is as it was; ``recover`` it before
+    reading, in case the last writer died between two renames.
     """
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    new, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    spark, staged = df.sparkSession, staged_path(path)
     try:
-        written = overwrite(df, new)
+        written = overwrite(df, staged)
     except BaseException:
-        remove_path(spark, new)
+        remove_path(spark, staged)
         raise
-    if path_exists(spark, path):
-        move_path(spark, path, old)
-    move_path(spark, new, path)
-    remove_path(spark, old)
+    publish(spark, staged, path)
     return written
 
 

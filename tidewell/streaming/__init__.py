@@ -5,6 +5,7 @@ from tidewell.streaming.ingest import (
     expect_or_drop,
     read_stream_table,
     run_available,
+    run_batches,
 )
 
-__all__ = ["ExpectationMeter", "expect_or_drop", "read_stream_table", "run_available"]
+__all__ = ["ExpectationMeter", "expect_or_drop", "read_stream_table", "run_available", "run_batches"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,21 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return query
 
 
+def run_batches(stream: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Hand what has arrived since the last run to ``take``, batch by batch with its number, then stop.
+
+    After a failure the last batch comes again under its number, so ``take`` can tell what it has done.
+    """
+    query = (
+        stream.writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 class ExpectationMeter(StreamingQueryListener):
     """Adds up the rows seen and dropped by ``expect_or_drop`` over all batches of a run.
 
