@@ -193,12 +193,29 @@ def test_clean_and_derive(spark):
         "transaction_id", "total", "customer_id", "promo_code", "revenue_per_item", "month", "day_of_week"
     )
     assert rows(chosen) == [
-        (1, Decimal("10.0000"), "7", "DISC5", 5.0, 10, "Wednesday"),
-        (2, Decimal("20.0000"), "Unknown", "No Code", 10.0, 10, "Wednesday"),
-        (3, Decimal("15.0000"), "7", "DISC5", None, 10, "Wednesday"),
+        (1, Decimal("10.00"), "7", "DISC5", 5.0, 10, "Wednesday"),
+        (2, Decimal("20.00"), "Unknown", "No Code", 10.0, 10, "Wednesday"),
+        (3, Decimal("15.00"), "7", "DISC5", None, 10, "Wednesday"),
     ]
 
 
+@pytest.mark.parametrize(
+    ("kind", "given", "mean"),
+    [
+        ("decimal(18,7)", [Decimal("1.0000400"), Decimal("2.0000000")], Decimal("1.5000200")),
+        ("decimal(9,1)", [Decimal("0.1"), Decimal("0.2")], Decimal("0.2")),
+        ("double", [1.00004, 2.0], 1.50002),
+        ("int", [1, 2], 1.5),
+        ("double", [], None),
+    ],
+)
+def test_totals_keep_their_type_and_digits(spark, kind, given, mean):
+    made = [(t, 1, "x", str(i)) for i, t in enumerate([*given, None])]
+    found = pos.clean(spark.createDataFrame(made, f"total {kind}, customer_id int, promo_code string, k string"))
+    assert dict(found.dtypes)["total"] == ("double" if kind == "int" else kind)
+    assert {r.k: r.total for r in found.collect()} == {str(i): t for i, t in enumerate([*given, mean])}
+
+
 def test_filters_at_their_edges(spark):
     made = [sale(1, day=1), sale(2, day=2, total="5.00"), sale(3, day=3, store=None, total="5.01"), sale(4, day=4)]
     df = spark.createDataFrame(made, POS)

@@ -1,10 +1,11 @@
 import datetime as dt
 import random
 import statistics
+from fractions import Fraction
 from decimal import Decimal
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tidewell.functions import day_name, fill_text, keep_domain, ratio, to_utc, trimmed, week_start
@@ -84,6 +85,46 @@ def test_amount_stats_of_nothing_and_of_one_value(spark):
     assert rows(stats.amount_stats(same, "a")) == [(2.5, 2.5, 2500.0, 2.5)]
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(38,18)", "decimal(38,0)", "bigint", "float"])
+def test_median_at_any_scale(spark, kind):
+    rng = random.Random(kind)
+    for n in (2, 3, 10, 501, 2000):
+        if kind in ("double", "float"):
+            made = [rng.choice([-1, 1]) * 10.0 ** rng.randint(-30, 30) * rng.random() for _ in range(n)] + [0.0] * (n % 3)
+            made += [float("nan"), None]
+        elif kind == "decimal(38,18)":
+            made = [Decimal(f"{rng.randint(-(10**digits), 10**digits)}e-18") for digits in rng.choices(range(1, 37), k=n)]
+        else:
+            made = [rng.choice([-1, 1]) * rng.randint(0, 10 ** rng.randint(1, 18)) for _ in range(n)]
+            made = [Decimal(m) for m in made] if "dec" in kind else made
+        df = spark.createDataFrame([(m,) for m in made], f"a {kind}")
+        kept = sorted(r.a for r in df.collect() if r.a is not None and r.a == r.a)
+        found = stats.amount_stats(df.repartition(3), "a").first()
+        assert found.median == pytest.approx(float(statistics.median(kept)), rel=1e-15, abs=0)
+        assert found.sum == pytest.approx(float(sum(map(Fraction, kept))), rel=1e-12)
+
+
+def test_sums_far_apart_and_extremes(spark):
+    stat = lambda kind, *v: stats.amount_stats(spark.createDataFrame([(x,) for x in v], f"a {kind}"), "a").first()
+    apart = stat("decimal(38,18)", Decimal("2e16"), Decimal("1e-7"), Decimal("-2e16"))
+    assert apart.sum == 1e-7 and apart.median == 1e-7
+    assert stat("double", 2e16, 1e-7, -2e16).sum == 1e-7
+    assert stat("double", 1.7e308, -1.7e308, 1e308).median == 1e308
+    assert stat("double", 5e-324, 1e-323, 1.5e-323).median == 1e-323
+    assert stat("double", float("inf"), 1.0, 2.0).median == 2.0
+    assert stat("decimal(18,2)", Decimal("123456789012345.67"), Decimal("1.00")).median == 61728394506173.335
+
+
+def test_search_of_the_median_writes_nothing(spark, monkeypatch, folder):
+    spark.range(5000).select((F.col("id") * 7 % 4999).cast("decimal(18,5)").alias("a")).write.parquet(f"{folder}/t")
+    monkeypatch.setattr(stats, "SEARCH_STEPS", 16)
+    plans = []
+    original = stats._step_at
+    monkeypatch.setattr(stats, "_step_at", lambda *a: (plans.append(plan(original(*a))), original(*a))[1])
+    assert stats.amount_stats(spark.read.parquet(f"{folder}/t"), "a").first().median == 2498.5
+    assert len(plans) > 2 and not any("Write" in p for p in plans)
+
+
 def test_describe_categorical(spark):
     df = spark.createDataFrame([("a",), ("c",), ("c",), (None,)], "s string")
     assert rows(stats.describe_categorical(df, "s")) == [(3, 2, "c", 2)]

@@ -11,8 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-#: Wide enough for any amount and its fractions of a cent; sums of it are decimal(38,10).
-EXACT = "decimal(28,10)"
+#: Holds nineteen digits before the point and eighteen after it, so that two can be added without a
+#: cut. What needs more is never cut to it: see ``exact_number``. Sums of it are TOTAL.
+EXACT, TOTAL = "decimal(37,18)", "decimal(38,18)"
 
 
 def _column(value: Column | str) -> Column:
@@ -28,6 +29,26 @@ def money_total(value: Column | str) -> Column:
     return F.sum(as_money(value)).cast("double")
 
 
+def exact_number(value: Column | str, kind: str) -> Column:
+    """A number of type ``kind`` (its name in Spark), or a text, as EXACT; NULL where that would change it.
+
+    A text counts with all its digits, a DOUBLE as the shortest decimal that stands for it.
+    """
+    given = _column(value)
+    number = given.try_cast(EXACT)
+    if kind.startswith("decimal"):
+        scale = int(kind.rstrip(")").split(",")[1])
+        return number if scale <= 18 else F.when(number.try_cast(kind) == given, number)
+    if kind in ("float", "double", "string"):
+        near = F.when(number.cast("double") == given.try_cast("double"), number)
+        if kind != "string":
+            return near
+        digits = F.rtrim(F.trim(given), F.lit("0"))
+        few = ~given.contains(".") | (F.length(F.substring_index(digits, ".", -1)) <= 18)
+        return F.when(F.lower(given).contains("e"), near).when(few, number)
+    return number
+
+
 def exact_mean(value: Column | str, number_type: str = EXACT) -> Column:
     """Mean of the non-NULL values from an exact sum; NULL when there are none."""
     exact = _column(value).cast(number_type)

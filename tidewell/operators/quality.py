@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LOW_VOLUME_MESSAGE = "Low order volume detected in fact_orders"  # fixed value
@@ -85,11 +85,17 @@ def _summary(counts: DataFrame, threshold: int) -> DataFrame:
 def low_volume_days(df: DataFrame, date_column: str, threshold: int = 10) -> DataFrame:
     """Days with fewer rows than ``threshold``; days between the first and last without any count 0."""
     counts = daily_counts(df, date_column)
-    calendar = counts.agg(F.min("order_date").alias("a"), F.max("order_date").alias("b")).select(
-        F.explode(F.sequence("a", "b")).alias("order_date")
+    # One row a day and no more reaches the window; each also stands for the empty days up to the next.
+    following = F.col("_next")
+    counts = counts.withColumn("_next", F.lead("order_date").over(Window.orderBy("order_date")))
+    gap = F.sequence(F.date_add("order_date", 1), F.date_sub(following, 1))
+    empty = F.when(F.datediff(following, "order_date") > 1, gap).otherwise(F.array().cast("array<date>"))
+    zero = F.lit(0).cast("bigint").alias("order_count")
+    days = F.concat(
+        F.array(F.struct("order_date", "order_count")),
+        F.transform(empty, lambda d: F.struct(d.alias("order_date"), zero)),
     )
-    filled = calendar.join(counts, "order_date", "left")
-    return _summary(filled.withColumn("order_count", F.coalesce("order_count", F.lit(0))), threshold)
+    return _summary(counts.select(F.inline(days)), threshold)
 
 
 def low_volume_on(df: DataFrame, date_column: str, day: str, threshold: int = 10) -> DataFrame:

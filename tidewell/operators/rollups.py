@@ -7,11 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions import EXACT
-
-
-#: Type of every sum.
-TOTAL = "decimal(38,10)"
+from tidewell.functions import EXACT, TOTAL
 
 
 def _exact(df: DataFrame, amount: str) -> Column:
@@ -21,7 +17,7 @@ def _exact(df: DataFrame, amount: str) -> Column:
 
 
 def sum_by(df: DataFrame, keys: Sequence[Column | str], amount: str, name: str) -> DataFrame:
-    """Exact sum of ``amount`` by ``keys``, a decimal of ten places."""
+    """Exact sum of ``amount`` by ``keys``, a decimal of eighteen places."""
     return df.groupBy(*keys).agg(F.sum(_exact(df, amount)).cast(TOTAL).alias(name))
 
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import math
+import decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tidewell.session import materialized
+from tidewell.functions import exact_number
 
-# How many equal steps one pass of the median search cuts its range into. This
-# bounds the rows of the single-task running count, whatever the table's size.
-SEARCH_STEPS = 65536
+#: Steps that a pass of the median search counts: what a task, and the one that adds them up, keeps at most.
+SEARCH_STEPS = 65_536
+#: Steps to each power of two in the first pass; over all powers that a DOUBLE has they are below SEARCH_STEPS.
+OCTAVE_STEPS = 14
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -19,71 +20,90 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _value_at(counts: DataFrame, position: int, low: int, high: int) -> tuple[int, int]:
-    """The value at ``position`` (from 0, in order), and how many values are not above it.
+def _magnitude(value: Column) -> Column:
+    """A whole number that grows with the value, finer for smaller ones: its sign and logarithm."""
+    size = F.abs(value.cast("double"))
+    # From the smallest to the largest number; an infinite one is beyond.
+    octaves = F.least(F.log2(size), F.lit(1030.0)) + 1076
+    step = F.floor(octaves * OCTAVE_STEPS).cast("int") + 1
+    return F.when(size == 0, F.lit(0)).when(value < 0, -step).otherwise(step)
 
-    ``counts`` has integer ``v`` with frequency ``n``. Each pass cuts ``[low, high]``
-    into ``SEARCH_STEPS`` steps, counts them (added up in the tasks first) and
-    goes on in the step that holds the position.
-    """
-    below = 0
-    while True:
-        width = max(1, math.ceil((high - low + 1) / SEARCH_STEPS))
-        # Integer division: a double would lose digits of a long value.
-        step = F.expr(f"(v - ({low}L)) div {width}L")
-        steps = (
-            counts.filter(F.col("v").between(low, high))
-            .groupBy(step.alias("step"))
-            .agg(F.sum("n").alias("n"))
-        )
-        running = F.sum("n").over(Window.orderBy("step"))
-        found = (
-            steps.withColumn("up_to", running)
-            .filter(F.col("up_to") > position - below)
-            .orderBy("step")
-            .first()
-        )
-        if width == 1:
-            return low + found["step"], below + found["up_to"]
-        below += found["up_to"] - found["n"]
-        low, high = low + found["step"] * width, min(high, low + (found["step"] + 1) * width - 1)
+
+def _steps(values: DataFrame, step: Column, *more: Column) -> DataFrame:
+    """Count, least and greatest value of each step, added up in the tasks first."""
+    return values.groupBy(step.alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), *more
+    )
 
 
-def amount_stats(df: DataFrame, column: str, scale: int = 4) -> DataFrame:
-    """One row: exact ``mean``, ``median``, ``sum`` and ``average_basket`` of an amount.
+def _step_at(steps: DataFrame, position: Column) -> DataFrame:
+    """The step that holds a position (from 0), the count before it, and the least value after it."""
+    order = Window.orderBy("step")
+    return (
+        steps.withColumn("before", F.sum("n").over(order) - F.col("n"))
+        .withColumn("next", F.lead("low").over(order))
+        .filter((F.col("before") <= position) & (position < F.col("before") + F.col("n")))
+    )
+
 
-    The table is read once, for the frequency of each value; all four figures
-    come from that. A built-in exact median keeps every distinct value of the
-    table in one task, so the median is searched in passes over the frequencies
-    instead. Values have at most ``scale`` decimals.
+def amount_stats(df: DataFrame, column: str) -> DataFrame:
+    """One row: ``mean``, ``median``, ``sum`` and ``average_basket`` of an amount, as DOUBLE.
+
+    NULL and NaN are left out; all four are NULL where nothing else is there. Sums are of decimals, so
+    exact, unless a value is not kept exactly as one (see ``exact_number``): then of doubles.
+
+    A built-in exact median keeps every distinct value in one task. Here the column itself is searched:
+    the first pass counts values by sign and magnitude, with the sums on the way; each further one cuts
+    the range of the step that holds the middle into SEARCH_STEPS equal steps, until that step holds one
+    value. Nothing but counts of at most SEARCH_STEPS steps leaves a task, and nothing is written.
     """
-    unit = 10**scale
-    amounts = df.select(F.col(column).cast(f"decimal(18,{scale})").alias("amount"))
-    in_units = F.round(F.col("amount") * F.lit(unit)).cast("bigint").alias("v")
-    frequencies = value_counts(amounts, "amount").select(in_units, "n")
-    with materialized(frequencies, "value-counts") as counts:
-        found = _amount_stats(counts, unit)
-    named = zip(["mean", "median", "sum", "average_basket"], found)
+    kind = dict(df.dtypes)[column]
+    value = F.col(column)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        value, kind = value.cast("decimal(20,0)"), "decimal(20,0)"
+    values = df.select(value.alias("v")).filter(F.col("v").isNotNull())
+    if kind in ("float", "double"):
+        values = values.filter(~F.isnan("v"))
+    exact = exact_number("v", kind)
+    sums = [F.try_sum(exact).alias("exact"), F.count(exact).alias("n_exact"), F.sum(F.col("v").cast("double")).alias("near")]
+    steps = _steps(values, _magnitude(F.col("v")), *sums)
+    whole = Window.partitionBy()
+    totals = steps.select(
+        "step", "n", "low", "high",
+        F.sum("n").over(whole).alias("total"),
+        F.when(F.sum("n_exact").over(whole) == F.sum("n").over(whole), F.try_sum("exact").over(whole)).alias("exact"),
+        F.sum("near").over(whole).alias("near"),
+    )
+    middle = F.expr("(total - 1) div 2")
+    found = _step_at(totals, middle).first()
     one_row = df.sparkSession.range(1, numPartitions=1)
-    return one_row.select(*[F.lit(value).cast("double").alias(name) for name, value in named])
-
-
-def _amount_stats(counts: DataFrame, unit: int) -> tuple:
-    """Mean, median, sum and mean again; all None without a value."""
-    exact = F.sum(F.col("v").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)"))
-    whole = counts.agg(
-        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), exact.alias("sum")
-    ).first()
-    n, low, high = whole["n"], whole["low"], whole["high"]
-    if not n:
-        return None, None, None, None
-    middle, up_to = _value_at(counts, (n - 1) // 2, low, high)
-    upper = middle
-    if n // 2 >= up_to:
-        upper = counts.filter(F.col("v") > middle).agg(F.min("v")).first()[0]
-    total = int(whole["sum"]) / unit
-    mean = total / n
-    return mean, (middle + upper) / 2 / unit, total, mean
+    names = ["mean", "median", "sum", "average_basket"]
+    if found is None:
+        return one_row.select(*[F.lit(None).cast("double").alias(name) for name in names])
+    n, total = found["total"], found["near"] if found["exact"] is None else found["exact"]
+    lower, upper = _middle(values, found, (n - 1) // 2, n // 2)
+    mean = float(total) / n
+    results = [mean, float(lower) / 2 + float(upper) / 2 if n % 2 == 0 else float(lower), float(total), mean]
+    return one_row.select(*[F.lit(r).alias(name) for r, name in zip(results, names, strict=True)])
+
+
+def _middle(values: DataFrame, found: Row, position: int, upper: int) -> tuple:
+    """The values at ``position`` and at ``upper``, the same or the next, given the step of the first."""
+    before, after = 0, None
+    while True:
+        before += found["before"]
+        after = after if found["next"] is None else found["next"]
+        low, high = found["low"], found["high"]
+        if low == high:
+            return low, low if upper < before + found["n"] else after
+        # Halves, so that the difference of any two doubles is one.
+        half = lambda v: v.cast("double") / 2
+        exact = isinstance(low, decimal.Decimal)
+        offset = (F.col("v") - F.lit(low)).cast("double") if exact else half(F.col("v")) - low / 2
+        width = float(high - low) if exact else high / 2 - low / 2
+        step = F.least(F.floor(offset / F.lit(width) * SEARCH_STEPS).cast("int"), F.lit(SEARCH_STEPS - 1))
+        within = values.filter(F.col("v").between(F.lit(low), F.lit(high)))
+        found = _step_at(_steps(within, step), F.lit(position - before)).first()
 
 
 def total_by(df: DataFrame, key: str, amount: str, name: str = "total") -> DataFrame:

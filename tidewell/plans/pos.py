@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions import EXACT, day_name, fill_text, month_number, ratio
+from tidewell.functions import day_name, exact_mean, fill_text, month_number, ratio
 from tidewell.operators.generate import generate_sales, sales_rows
 from tidewell.operators.preview import first_n, last_n, shuffle_rows
 from tidewell.operators.sets import union_rows
@@ -16,10 +16,6 @@ from tidewell.session import materialized
 from tidewell.sinks import write_csv, write_json_records
 from tidewell.sources import read_csv_with_date, row_position
 
-# Filled totals carry the mean to four digits.
-TOTAL_TYPE = "decimal(18,4)"
-
-
 def by_store(rows: DataFrame, store_name: str) -> DataFrame:
     return rows.filter(F.col("store_name") == store_name)
 
@@ -36,16 +32,20 @@ def high_value(rows: DataFrame, threshold: float) -> DataFrame:
 def clean(rows: DataFrame) -> DataFrame:
     """Distinct rows, missing values filled.
 
-    A missing total becomes the mean over the distinct rows. The mean is a
-    scalar subquery on the same distinct rows, whose shuffle Spark does once
-    for both.
+    A missing total becomes the mean over the distinct rows, in the type of the totals (rounded half up
+    to a decimal's places; a DOUBLE for whole numbers). Totals that are there stay as they are. The mean
+    is a scalar subquery on the same distinct rows, whose shuffle Spark does once for both.
     """
     distinct = rows.distinct()
-    exact = F.col("total").cast(EXACT)
-    average = F.try_divide(F.sum(exact).cast("double"), F.count(exact).cast("double"))
-    mean = distinct.agg(F.round(average, 4).cast(TOTAL_TYPE).alias("mean")).scalar()
+    kind = dict(rows.dtypes)["total"]
+    mean = exact_mean("total")
+    if kind.startswith("decimal"):
+        mean = F.round(mean, int(kind.rstrip(")").split(",")[1])).cast(kind)
+    else:
+        kind = kind if kind == "float" else "double"
+    mean = distinct.agg(mean.cast(kind).alias("mean")).scalar()
     filled = {
-        "total": F.coalesce(F.col("total").cast(TOTAL_TYPE), mean),
+        "total": F.coalesce(F.col("total").cast(kind), mean),
         "customer_id": fill_text("customer_id", "Unknown"),
         "promo_code": fill_text("promo_code", "No Code"),
     }

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions import EXACT, month_number
+from tidewell.functions import EXACT, TOTAL, exact_number, month_number
+from tidewell.operators.amounts import add_amount
 from tidewell.operators.audit import AuditLog
 from tidewell.operators.keys import latest_per_key
 from tidewell.operators.rollups import sum_by, sum_by_attribute
@@ -19,16 +20,8 @@ from tidewell.sinks import append, ensure_database, overwrite, read_split, save_
 from tidewell.sources import read_csv_strings
 from tidewell.streaming import read_stream_table, run_batches
 
-# Operands keep what was received; their product and difference fit EXACT without a cut.
-QUANTITY, PRICE = "decimal(14,2)", "decimal(20,8)"
-# Types of the cleaned columns; a received column may be text.
-SALES_TYPES = {
-    "transaction_date": "date",
-    "quantity": QUANTITY,
-    "unit_price": PRICE,
-    "discount": PRICE,
-    "total_amount": PRICE,
-}
+# Numbers are kept as received: a received text becomes a decimal that holds all its digits, or NULL.
+NUMBERS = ("quantity", "unit_price", "discount", "total_amount")
 KEY = "transaction_id"
 #: The silver table is stored by month, as yyyy-MM.
 MONTH = "sales_month"
@@ -50,14 +43,15 @@ def bronze(received: DataFrame, source_system: str = "manual_csv") -> DataFrame:
 def conform(sales: DataFrame) -> DataFrame:
     """Text columns cast to their types; what does not cast is NULL (and later rejected)."""
     types = dict(sales.dtypes)
-    return sales.select(
-        *[
-            F.col(name).try_cast(SALES_TYPES[name]).alias(name)
-            if name in SALES_TYPES and types[name] == "string"
-            else F.col(name)
-            for name in sales.columns
-        ]
-    )
+
+    def conformed(name: str) -> Column:
+        if types[name] == "string" and name in NUMBERS:
+            return exact_number(name, "string").alias(name)
+        if types[name] == "string" and name == "transaction_date":
+            return F.col(name).try_cast("date").alias(name)
+        return F.col(name)
+
+    return sales.select(*[conformed(name) for name in sales.columns])
 
 
 def dedup(sales: DataFrame) -> DataFrame:
@@ -72,18 +66,25 @@ def dedup(sales: DataFrame) -> DataFrame:
 
 
 def add_correct_total(sales: DataFrame) -> DataFrame:
-    """Quantity times price less discount; fractions of a cent stay."""
-    price, discount = F.col("unit_price").try_cast(PRICE), F.col("discount").try_cast(PRICE)
-    total = F.col("quantity").try_cast(QUANTITY) * price - discount
-    return sales.withColumn("correct_total", total.try_cast(EXACT))
+    """Quantity times price less discount, with all its digits; NULL where these cannot be kept."""
+    return add_amount(sales, ("quantity", "unit_price"), "discount", "correct_total")
 
 
 def number_rules() -> dict[str, Column]:
-    return {"quantity": F.col("quantity") > 0, "unit_price": F.col("unit_price") > 0}
+    """Received numbers are judged as they are. An amount that cannot be held exactly is no valid one."""
+    return {
+        "quantity": F.col("quantity") > 0,
+        "unit_price": F.col("unit_price") > 0,
+        "correct_total": F.col("correct_total").isNotNull() | F.col("discount").isNull(),
+    }
 
 
 def cleaned(sales: DataFrame) -> DataFrame:
-    return add_correct_total(dedup(conform(sales)))
+    """Typed rows with their amounts, one of each transaction.
+
+    Amounts are computed below the window, so that filters on them do not repeat the computation.
+    """
+    return dedup(add_correct_total(conform(sales)))
 
 
 def judged(sales: DataFrame, stores: DataFrame) -> DataFrame:
@@ -139,16 +140,22 @@ def product_performance(silver: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def presummed(silver: DataFrame) -> DataFrame:
+    """Silver added up by day, store and product: all that the three gold tables need of it."""
+    keys = ["transaction_date", "store_id", "product_id"]
+    return sum_by(silver, keys, "correct_total", "correct_total")
+
+
 def reconcile(silver: DataFrame, gold: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Total of each gold table against silver's.
+    """Total of each gold table against silver's (its rows, or ``presummed``).
 
     ``gold`` maps a table's name to its rows and its revenue column. Sums and
     differences are decimals, so any difference is a real one.
     """
-    silver_sum = F.sum(F.col("correct_total").cast(EXACT)).alias("silver_total")
+    silver_sum = F.sum("correct_total").cast(TOTAL).alias("silver_total")
     silver_total = silver.agg(silver_sum).scalar()
     lines = [
-        table.agg(F.sum(column).alias("gold_total")).select(
+        table.agg(F.sum(column).cast(TOTAL).alias("gold_total")).select(
             F.lit(name).alias("table"), "gold_total"
         )
         for name, (table, column) in gold.items()
@@ -156,7 +163,7 @@ def reconcile(silver: DataFrame, gold: dict[str, tuple[DataFrame, str]]) -> Data
     return (
         reduce(DataFrame.unionByName, lines)
         .withColumn("silver_total", silver_total)
-        .withColumn("diff", F.col("gold_total") - F.col("silver_total"))
+        .withColumn("diff", F.col("gold_total").cast(EXACT) - F.col("silver_total").cast(EXACT))
     )
 
 
@@ -282,13 +289,14 @@ def run_gold(
     database: str,
     log: AuditLog,
 ) -> dict[str, int]:
-    """Replace the three managed gold tables."""
+    """Replace the three managed gold tables; silver is read once for all of them."""
 
     def work() -> dict[str, int]:
         ensure_database(spark, database)
-        save_managed(daily_sales(silver), f"{database}.daily_sales")
-        save_managed(monthly_region(silver, stores), f"{database}.monthly_region")
-        save_managed(product_performance(silver, products), f"{database}.product_performance")
-        return {"n_rows": spark.table(f"{database}.daily_sales").count()}
+        with materialized(presummed(silver), "presummed") as sums:
+            days = save_managed(daily_sales(sums), f"{database}.daily_sales")
+            save_managed(monthly_region(sums, stores), f"{database}.monthly_region")
+            save_managed(product_performance(sums, products), f"{database}.product_performance")
+        return {"n_rows": days}
 
     return log.step("gold", "gold_aggregation", work)

@@ -42,9 +42,10 @@ VIEWS = {
     "sales": """
         SELECT l_orderkey * 10 + l_linenumber AS transaction_id,
                CAST(l_shipdate AS DATE) AS transaction_date, l_partkey AS product_id,
-               l_suppkey AS store_id, CAST(l_quantity - 2 AS INTEGER) AS quantity,
+               l_suppkey AS store_id, CASE l_linenumber WHEN 3 THEN l_quantity / 1000 WHEN 5 THEN l_quantity + 0.125
+                    ELSE l_quantity - 2 END AS quantity,
                round(l_extendedprice * 1.0001, 6) AS unit_price,
-               l_discount / 8 AS discount
+               round(l_discount / 8, 6) AS discount
         FROM lineitem""",
     "deduped": """
         SELECT * EXCLUDE (rn) FROM (
@@ -55,8 +56,8 @@ VIEWS = {
             FROM sales) WHERE rn = 1""",
     "judged": """
         SELECT d.*,
-               CAST(quantity * CAST(unit_price AS DECIMAL(20,8))
-                    - CAST(discount AS DECIMAL(20,8)) AS DECIMAL(28,10)) AS correct_total,
+               CAST(quantity AS DECIMAL(14,3)) * CAST(unit_price AS DECIMAL(18,6))
+                    - CAST(discount AS DECIMAL(18,6)) AS correct_total,
                CASE WHEN quantity > 0 THEN CASE WHEN unit_price > 0 THEN
                     CASE WHEN s_suppkey IS NOT NULL THEN NULL ELSE 'store_id' END
                     ELSE 'unit_price' END ELSE 'quantity' END AS reject_reason
@@ -83,9 +84,8 @@ VIEWS = {
         FROM silver JOIN products USING (product_id) GROUP BY 1, 2""",
     "merge_source": """
         SELECT * EXCLUDE (discount, correct_total), discount * 2 AS discount,
-               CAST(quantity * CAST(unit_price AS DECIMAL(20,8))
-                    - CAST(discount * 2 AS DECIMAL(20,8)) AS DECIMAL(28,10))
-                   AS correct_total
+               CAST(quantity AS DECIMAL(14,3)) * CAST(unit_price AS DECIMAL(18,6))
+                    - CAST(discount * 2 AS DECIMAL(18,6)) AS correct_total
         FROM silver WHERE transaction_id % 3 <> 0""",
     "customers": """
         SELECT c_custkey AS customer_id, c_name AS name, n_name AS country
@@ -129,16 +129,16 @@ VIEWS = {
     "pos": """
         SELECT s_name AS store_name, CAST(l_shipdate AS DATE) AS date,
                CAST(l_quantity - 1 AS INTEGER) AS quantity,
-               CASE WHEN l_linenumber <> 7 THEN CAST(l_extendedprice AS DECIMAL(18,2)) END AS total,
+               CASE WHEN l_linenumber <> 7 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2))
+                    * CAST(1.00001 AS DECIMAL(6,5)) AS DECIMAL(18,7)) END AS total,
                NULLIF(l_suppkey % 20, 0) AS customer_id,
                CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS promo_code
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "pos_distinct": "SELECT DISTINCT * FROM pos",
     "clean": """
         SELECT store_name, date, quantity,
-               CAST(coalesce(CAST(total AS DECIMAL(18,4)),
-                    (SELECT CAST(round(CAST(sum(total) AS DOUBLE) / count(total), 4)
-                            AS DECIMAL(18,4)) FROM pos_distinct)) AS DOUBLE) AS total,
+               coalesce(total, (SELECT CAST(round(CAST(sum(total) AS DOUBLE) / count(total), 7)
+                                       AS DECIMAL(18,7)) FROM pos_distinct)) AS total,
                coalesce(CAST(customer_id AS VARCHAR), 'Unknown') AS customer_id,
                coalesce(promo_code, 'No Code') AS promo_code
         FROM pos_distinct""",
@@ -243,7 +243,7 @@ _POS_TYPES = {
     "store_name": "string",
     "date": "date",
     "quantity": "int",
-    "total": "decimal(18,2)",
+    "total": "decimal(18,7)",
     "customer_id": "bigint",
     "promo_code": "string",
 }
@@ -395,15 +395,15 @@ def all_oracles() -> dict[str, str]:
             """SELECT *, CAST(NULL AS VARCHAR) AS payment_method,
                       CAST(NULL AS VARCHAR) AS coupon_code FROM order_book
                UNION ALL BY NAME
-               SELECT -1 AS order_id, TIMESTAMP '2025-12-01 09:00:00' AS order_timestamp,
-                      -1 AS customer_id, 'US' AS country, 180.0 AS amount, 'P' AS status,
-                      DATE '2025-12-01' AS order_date, 'CARD' AS payment_method,
-                      'WELCOME10' AS coupon_code
+               SELECT -1 AS order_id, TIMESTAMP '2024-05-17 16:45:10' AS order_timestamp,
+                      -7 AS customer_id, 'Iceland' AS country, 42.75 AS amount, 'F' AS status,
+                      DATE '2024-05-17' AS order_date, 'voucher' AS payment_method,
+                      'MAY' AS coupon_code
                UNION ALL BY NAME
-               SELECT -2 AS order_id, TIMESTAMP '2025-12-01 10:30:00' AS order_timestamp,
-                      -2 AS customer_id, 'IN' AS country, 900.0 AS amount, 'O' AS status,
-                      DATE '2025-12-01' AS order_date, 'UPI' AS payment_method,
-                      NULL AS coupon_code""",
+               SELECT -2 AS order_id, TIMESTAMP '2024-06-02 08:05:00' AS order_timestamp,
+                      -8 AS customer_id, 'Peru' AS country, 1310.0 AS amount, 'O' AS status,
+                      DATE '2024-06-02' AS order_date, NULL AS payment_method,
+                      'JUNE' AS coupon_code""",
             "order_book",
         ),
         "as_of_version": _sql(
@@ -428,25 +428,24 @@ def all_oracles() -> dict[str, str]:
                FROM (SELECT * FROM pos UNION ALL SELECT * FROM pos)""",
             "pos",
         ),
-        "clean_sales": _sql("SELECT * FROM clean", "clean"),
+        "clean_sales": _sql(_POS.replace("FROM pos", "FROM clean"), "clean"),
         "derive_fields": _sql(
-            """SELECT *, CASE WHEN quantity <> 0 THEN total / quantity END AS revenue_per_item,
+            """SELECT * REPLACE (CAST(total AS DOUBLE) AS total),
+                      CASE WHEN quantity <> 0 THEN CAST(total AS DOUBLE) / quantity END AS revenue_per_item,
                       CAST(month(date) AS BIGINT) AS month, dayname(date) AS day_of_week
                FROM clean""",
             "clean",
         ),
         "sales_stats": _sql(
-            """SELECT round(CAST(sum(CAST(total AS DECIMAL(18,4))) AS DOUBLE) / count(total), 4)
-                          AS mean,
-                      round(median(total), 4) AS median,
-                      round(CAST(sum(CAST(total AS DECIMAL(18,4))) AS DOUBLE), 4) AS sum,
-                      round(CAST(sum(CAST(total AS DECIMAL(18,4))) AS DOUBLE) / count(total), 4)
-                          AS average_basket
+            """SELECT round(CAST(sum(total) AS DOUBLE) / count(total), 4) AS mean,
+                      round(median(CAST(total AS DOUBLE)), 4) AS median,
+                      round(CAST(sum(total) AS DOUBLE), 4) AS sum,
+                      round(CAST(sum(total) AS DOUBLE) / count(total), 4) AS average_basket
                FROM clean""",
             "clean",
         ),
         "total_by_store": _sql(
-            """SELECT store_name, CAST(sum(CAST(total AS DECIMAL(18,4))) AS DOUBLE) AS total
+            """SELECT store_name, CAST(sum(total) AS DOUBLE) AS total
                FROM clean WHERE store_name IS NOT NULL GROUP BY store_name""",
             "clean",
         ),

@@ -155,10 +155,7 @@ def gold_product_performance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def gold_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    needed = silver_valid(spark, folder).select(
-        "transaction_date", "store_id", "product_id", "correct_total"
-    )
-    silver = materialize(needed, "silver")
+    silver = materialize(sales_plan.presummed(silver_valid(spark, folder)), "presummed")
     gold = {
         "daily_sales": (sales_plan.daily_sales(silver), "daily_revenue"),
         "monthly_region": (
@@ -282,8 +279,8 @@ def delete_where(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def schema_evolve_append(spark: SparkSession, folder: str) -> DataFrame:
     rows = [
-        (-1, "2025-12-01 09:00:00", -1, "US", 180.0, "P", "CARD", "WELCOME10"),
-        (-2, "2025-12-01 10:30:00", -2, "IN", 900.0, "O", "UPI", None),
+        (-1, "2024-05-17 16:45:10", -7, "Iceland", 42.75, "F", "voucher", "MAY"),
+        (-2, "2024-06-02 08:05:00", -8, "Peru", 1310.0, "O", None, "JUNE"),
     ]
     schema = (
         "order_id bigint, order_timestamp string, customer_id bigint, country string, "

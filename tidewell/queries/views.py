@@ -33,10 +33,13 @@ def sales_of(lineitem: DataFrame) -> DataFrame:
         F.to_date("l_shipdate").alias("transaction_date"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("store_id"),
-        (F.col("l_quantity") - 2).cast("int").alias("quantity"),
-        # Fractions of a cent, which must survive.
+        # Small and broken quantities and fractions of a cent, which must survive.
+        F.when(F.col("l_linenumber") == 3, F.col("l_quantity") / 1000)
+        .when(F.col("l_linenumber") == 5, F.col("l_quantity") + 0.125)
+        .otherwise(F.col("l_quantity") - 2)
+        .alias("quantity"),
         F.round(F.col("l_extendedprice") * 1.0001, 6).alias("unit_price"),
-        (F.col("l_discount") / 8).alias("discount"),
+        F.round(F.col("l_discount") / 8, 6).alias("discount"),
     )
 
 
@@ -134,13 +137,13 @@ def order_book(spark: SparkSession, folder: str) -> DataFrame:
 def pos_sales(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = table(spark, folder, "lineitem")
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name")
+    # Totals of seven decimals.
+    total = F.col("l_extendedprice").cast("decimal(18,2)") * F.lit("1.00001").cast("decimal(6,5)")
     return lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("s_name").alias("store_name"),
         F.to_date("l_shipdate").alias("date"),
         (F.col("l_quantity") - 1).cast("int").alias("quantity"),
-        F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice").cast("decimal(18,2)")).alias(
-            "total"
-        ),
+        F.when(F.col("l_linenumber") != 7, total.cast("decimal(18,7)")).alias("total"),
         F.nullif(F.col("l_suppkey") % 20, F.lit(0)).alias("customer_id"),
         F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("promo_code"),
     )

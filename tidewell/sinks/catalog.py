@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidewell.sinks.files import counted
+
 
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
@@ -30,9 +32,9 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def save_managed(df: DataFrame, name: str) -> None:
-    """Replace the managed table ``name``."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def save_managed(df: DataFrame, name: str) -> int:
+    """Replace the managed table ``name``; rows written."""
+    return counted(df, lambda d: d.write.mode("overwrite").format("parquet").saveAsTable(name))["n_rows"]
 
 
 def register_folder(

@@ -42,6 +42,22 @@ def read_csv_with_date(
     return df.withColumn(date_column, F.to_date(date_column))
 
 
+def typed(text: Column, field: T.StructField, place: Column) -> Column:
+    """A text field in its type. One that does not fit fails the job, whatever the session's settings.
+
+    ``place`` tells where it stands, for the message.
+    """
+    value = text.try_cast(field.dataType)
+    message = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()} in "), place)
+    unfit = text.isNotNull() & value.isNull()
+    return F.when(unfit, F.raise_error(message).cast(field.dataType)).otherwise(value).alias(field.name)
+
+
+def _place(line: Column | str) -> Column:
+    """The file and the line itself; Spark reads files in parts, so a line has no number."""
+    return F.concat(F.col("_file"), F.lit(": "), line)
+
+
 # Control characters that no line holds: the CSV reader then takes a line as one field.
 _NO_SEPARATOR = "\x01\x02\x03"
 
@@ -53,7 +69,7 @@ def _data_lines(spark: SparkSession, path: str) -> tuple[DataFrame, Column]:
         .options(header=True, sep=_NO_SEPARATOR, quote="", mode="FAILFAST")
         .csv(path)
     )
-    return lines, F.split("value", ",", -1)
+    return lines.select("value", F.col("_metadata.file_path").alias("_file")), F.split("value", ",", -1)
 
 
 def read_csv_positional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -67,17 +83,16 @@ def read_csv_positional(spark: SparkSession, path: str, schema: T.StructType) ->
     """
     lines, fields = _data_lines(spark, path)
     good = lines.filter(F.size(fields) == len(schema)).select(
-        F.transform(fields, trimmed).alias("fields")
-    )
-    return good.select(
-        *[F.col("fields")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+        "value", "_file", F.transform(fields, trimmed).alias("fields")
     )
+    where = _place("value")
+    return good.select(*[typed(F.col("fields")[i], f, where) for i, f in enumerate(schema.fields)])
 
 
 def rejected_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One row, ``n_rejected``: the lines ``read_csv_positional`` leaves out."""
     lines, fields = _data_lines(spark, path)
-    odd = lines.filter(F.size(fields) != len(schema))
+    odd = lines.filter(F.size(fields) != len(schema)).select("value")
     blank = spark.read.text(path).filter(F.col("value").rlike(r"^[\x00-\x20]*$"))
     return odd.union(blank).agg(F.count(F.lit(1)).alias("n_rejected"))
 
@@ -94,7 +109,8 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     # The cheap test settles almost every line; the pattern is for tabs at the ends.
     bare = F.trim(line)
     braced = (bare.startswith("{") & bare.endswith("}")) | line.rlike(r"^\s*\{.*\}\s*$")
-    lines = spark.read.text(path).filter(bare.startswith("{") | line.rlike(r"\S"))
+    read = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    lines = read.filter(bare.startswith("{") | line.rlike(r"\S"))
     # Spark's parser stops at the end of the first value and would not see what
     # follows it; as the only element of a list, the line has to be complete.
     listed = F.from_json(
@@ -103,7 +119,6 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     record = F.when(braced & (F.size("listed") == 1), F.col("listed")[0]).otherwise(
         F.raise_error(F.concat(F.lit("malformed line, not one JSON object: "), line))
     )
-    records = lines.select("value", listed.alias("listed")).select(record.alias("record"))
-    return records.select(
-        *[F.col("record")[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    records = lines.select("value", "_file", listed.alias("listed"))
+    records = records.select("value", "_file", record.alias("record"))
+    return records.select(*[typed(F.col("record")[f.name], f, _place("value")) for f in schema.fields])
