@@ -12,7 +12,8 @@ words that starts at a multiple of `anchor` in its document. So:
 3. Cut. The words they cover leave the text.
 
 A hash that a third of all documents hold is sent once for each unit of half a million words: what
-occurs twice in a unit is decided there. So no bucket grows with a hot passage.
+occurs twice in a unit is decided there: a bucket takes one entry of a hot passage for each unit. Rows
+that are given more than once are set apart first; one of their copies stands for all.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import words as W
+from tidewell.llm.copies import once
 from tidewell.llm.shipping import shipped
+from tidewell.session import materialize
 
 WINDOW = 35
 #: Words of a unit, and of a bucket on average; they bound a task's memory.
@@ -161,7 +164,7 @@ def _extender(window: int, anchor: int, buckets: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                texts = W.utf8(part.column("document").field("text"))
+                texts = W.utf8(part.column("text"))
                 keys, checks = part.column("k").to_pylist(), part.column("k2").to_pylist()
                 hits = part.column("hits").to_pylist()
                 for first, last in W.blocks(texts):
@@ -276,6 +279,34 @@ def _cutter(window: int):
     return cut
 
 
+def _clearer(window: int):
+    """Rows that are given more than once: all of their windows repeat, and cover all of their words."""
+
+    def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                texts = W.utf8(part.column("document").field("text"))
+                n_words, kept = [], []
+                for first, last in W.blocks(texts):
+                    words = W.words_of(texts[first:last])
+                    for a, b in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist(), strict=True):
+                        n_words.append(b - a)
+                        kept.append(words.joined(np.full(b - a, b - a < window), a, b))
+                removed = [n if n >= window else 0 for n in n_words]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("document"),
+                        pa.array(n_words, pa.int64()),
+                        pa.array(removed, pa.int64()),
+                        pa.array(kept, pa.binary()).cast(pa.string()),
+                    ],
+                    names=["document", "n_words", "n_removed", "kept_text"],
+                )
+
+    return clear
+
+
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """`docs` as the column `document`, with n_words, n_removed and kept_text.
 
@@ -297,13 +328,20 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.xxhash64("doc_id", "text").alias("k"),
         F.hash("text").alias("k2"),
     )
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("k"), F.col("text").alias("text"))
+    # A row that is given again repeats itself from end to end; of its copies one is compared with others.
+    keyed, again = once(docs.select(F.xxhash64("doc_id", "text").alias("k"), F.hash("text").alias("k2"), "text"), ["k", "k2"])
+    texts = keyed.select("k", "text")
+    if again is not None:
+        copied = again.groupBy("k", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k", "k2")
+        copied = materialize(copied, "copied")
+        whole = rows.join(copied, ["k", "k2"], "left_semi")
+        rows = rows.join(copied, ["k", "k2"], "left_anti")
     probed = texts.mapInArrow(_prober(window, anchor, buckets), _PACKED)
     hits = probed.groupBy("bucket").applyInArrow(_finder(two=False), _SPOTS)
     by_document = hits.groupBy("k").agg(F.collect_list("places").alias("hits"))
     extended = (
-        rows.join(by_document, "k")
-        .select("document", "k", "k2", "hits")
+        keyed.join(by_document, "k")
+        .select("text", "k", "k2", "hits")
         .mapInArrow(_extender(window, anchor, buckets), _PACKED)
     )
     repeats = extended.groupBy("bucket").applyInArrow(_finder(two=True), _SPOTS)
@@ -312,4 +350,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = rows.select("document").schema
     for name, kind in (("n_words", "long"), ("n_removed", "long"), ("kept_text", "string")):
         schema = schema.add(name, kind)
-    return marked.mapInArrow(_cutter(window), schema)
+    found = marked.mapInArrow(_cutter(window), schema)
+    if again is None:
+        return found
+    return found.unionByName(whole.mapInArrow(_clearer(window), schema))
