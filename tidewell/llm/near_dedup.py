@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import words as W
 from tidewell.llm.components import connected
+from tidewell.llm.copies import once
 from tidewell.llm.shipping import shipped
 from tidewell.session import materialize
 
@@ -271,6 +272,7 @@ def _labels(docs: DataFrame, classes: DataFrame, rule: Rule, chunk: int) -> Data
     keyed = _row_keys(docs).select(
         F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), "h", "text"
     )
+    keyed = once(keyed, ["k", "h"])[0]
     # What is joined with texts grows with the corpus: it is merged at every size, never broadcast.
     texts = keyed.join(reps.hint("merge"), ["k", "h"]).select("fp", "text")
     texts = materialize(texts, "candidate-texts").hint("merge")
