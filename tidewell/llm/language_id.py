@@ -11,10 +11,12 @@ different rows, so that transitions learn that languages switch inside a text.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,26 @@ from tidewell.llm.shipping import shipped, tidied
 #: Labelled rows of each language that the field is fitted on, and, with many languages, rows times
 #: languages, which is what fitting holds; but one row of every language.
 SAMPLE_ROWS, SAMPLE_CELLS = 120, 120 * 64 * 64
-#: Hashed features, lexicon words, rounds of fitting.
-FEATURES, LEXICON, ROUNDS = 1 << 16, 20_000, 40
+#: Hashed features, rounds of fitting.
+FEATURES, ROUNDS = 1 << 16, 40
 #: Words a worker remembers the scores of; bounds its memory.
 CACHE = 150_000
 UNKNOWN = "und"
 
+
+
+def _class(kind: str) -> str:
+    """The characters of a Unicode category, as ranges for a regular expression. There are none beyond these."""
+    points = [c for c in chain(range(0x33000), range(0xE0000, 0xE1000)) if unicodedata.category(chr(c))[0] == kind]
+    runs = [list(run) for _, run in groupby(points, key=lambda c, n=count(): c - next(n))]
+    return "".join(f"\\U{run[0]:08x}-\\U{run[-1]:08x}" for run in runs)
+
+
 #: A longer run of letters is consecutive words of so many, so that all of it is read.
 LONGEST = 40
-WORDS = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
+_LETTERS = _class("L")
+#: Letters, and marks after them; number signs such as a superscript two are no letters.
+WORDS = re.compile(f"[{_LETTERS}][{_LETTERS}{_class('M')}]{{0,{LONGEST - 1}}}")
 _BLOCK = 32
 
 
@@ -149,9 +162,8 @@ def fit(rows: list[tuple[str, str]]) -> Field | None:
             counts[word.lower()][label] += 1
     if not counts:
         return None
-    common = sorted(counts, key=lambda w: (-sum(counts[w].values()), w))[:LEXICON]
     lexicon = {}
-    for word in common:
+    for word in counts:
         n = sum(counts[word].values())
         if n > 2:
             best, k = max(sorted(counts[word].items()), key=lambda x: x[1])
