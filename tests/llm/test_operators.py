@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import (
     bpe,
+    copies,
     decontaminate,
     language_id,
     near_dedup,
@@ -61,6 +62,29 @@ def test_repeats(docs):
     )
 
 
+def test_repeated_rows_are_sent_once(spark):
+    """Rows that are equal, also without an id: their number does not multiply what is sent."""
+    rng = random.Random(2)
+    say = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(400)) for _ in range(n))
+    text, short = say(300), say(10)
+    shared = " ".join(text.split()[50:100])
+    other = f"{say(20)} {shared} {say(20)}"
+    for key in (7, None):
+        rows = [(key, text)] * 3000 + [(key, short)] * 50 + [(2, other), (3, say(100))]
+        table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+        found = substring_dedup.without_repeats(table).groupBy("document.doc_id", "n_words", "n_removed", "kept_text").count()
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(
+            [(key, 300, 300, "", 3000), (key, 10, 0, short, 50), (2, 90, 50, " ".join(other.split()[:20] + other.split()[70:]), 1), (3, 100, 0, rows[-1][1], 1)],
+            key=str,
+        )
+    assert copies.once(table, ["doc_id", "text"])[0].count() == 4  # of 3,052 rows
+    near = text.split()
+    near[100] = "other"
+    many = [(1, text)] * 2000 + [(2, " ".join(near))] * 2000 + [(None, text)] * 100
+    found = near_dedup.near_duplicates(spark.createDataFrame(many, "doc_id bigint, text string"), near_dedup.Rule(3, 85))
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == {(1, 1), (2, 1), (None, 1)} and found.count() == 4100
+
+
 @pytest.mark.parametrize("chunk", [near_dedup.CHUNK, 3])
 def test_near_duplicates(docs, chunk):
     rows = sorted({(r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None})
@@ -164,6 +188,32 @@ def test_language(spark):
     assert {(r.lang_pred, r.score) for r in language_id.predict(odd, None).collect()} == {("und", 0.0)}
 
 
+def test_letters_are_letters():
+    assert language_id.WORDS.findall("² ½ ① Ⅷ 7 _ a²b हिन्दी x\u0301y \u0301") == ["a", "b", "हिन्दी", "x\u0301y"]
+    rng = random.Random(8)
+    rows = [(lang, " ".join("".join(rng.choice(letters) for _ in range(8)) for _ in range(40))) for lang, letters in (("a", "abcd"), ("z", "wxyz")) for _ in range(9)]
+    predictor = language_id.Predictor(language_id.fit(rows))
+    assert predictor.predict(["² ½", "①", "Ⅷ", "٣", "abba"])[:4] == [("und", 0.0)] * 4
+    many = language_id.fit([("a", " ".join(f"w{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(17_576)) * 3)])
+    assert len(many.lexicon) > 17_000  # no cap
+
+
+def test_recall_beyond_the_sample(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(nearest, "SAMPLE", 1500)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(9000, 16)) * rng.uniform(0.3, 3, (9000, 1))
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    found: dict[int, set] = {}
+    for r in nearest.nearest(table, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    scores = x[::20] @ x.T
+    scores[np.arange(450), np.arange(0, 9000, 20)] = -np.inf
+    true = np.argsort(-scores, 1)[:, :20]
+    assert sum(len(found[20 * i] & set(t)) for i, t in enumerate(true.tolist())) >= 0.93 * 20 * 450
+
+
 def test_runs_of_any_length_are_read_to_the_end():
     rng = random.Random(8)
     say = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
@@ -241,7 +291,7 @@ def test_ties_at_the_cut_of_a_leaf_go_to_smaller_ids(kind):
     asked = np.eye(1, x.shape[1], 2) if kind != "integer" else rng.integers(-2, 3, (1, x.shape[1])).astype(float)
     ids = rng.permutation(500)
     entries = pa.table({"ids": [[int(i)] for i in ids], "v": x.tolist()})
-    found = nearest._searcher(21)((), entries, pa.table({"q": [7], "v": asked.tolist()}))
+    found = nearest._searcher(21)((), entries, pa.table({"q": [7], "q2": [8], "v": asked.tolist()}))
     want = brute.nearest({**{int(i): v for i, v in zip(ids, x.tolist(), strict=True)}, -1: asked[0].tolist()}, -1, 21)
     assert [(i[0], s) for i, s in zip(found["ids"].to_pylist(), found["score"].to_pylist(), strict=True)] == want
 
@@ -302,11 +352,29 @@ def test_revisits_of_a_hot_url(spark, monkeypatch):
         if r[1] == "revisit":
             best = max((f for f in full if r[2] and r[3] is not None and f[0] < r[3]), default=None)
             want[r[0]] = (best and best[1], "missing" if not best else "resolved" if best[2] == (r[4] or {}).get("etag") else "changed")
-    for stretch in (10_000, 20):
-        monkeypatch.setattr(revisits, "STRETCH", stretch)
+    for parts in (1, 4, 60):
+        monkeypatch.setattr(revisits, "_parts", lambda _, n=parts: n)
         assert {r.revisit_id: (r.response_id, r.state) for r in revisits.resolve(records).collect()} == want
 
 
+@pytest.mark.parametrize("times", ["outlier", "equal", "far apart", "extreme"])
+def test_revisits_at_odd_times(spark, times, monkeypatch):
+    monkeypatch.setattr(revisits, "_parts", lambda _: 7)
+    rng, top = random.Random(3), 2**63 - 1
+    at = {
+        "outlier": lambda i: 10**18 if i == 5 else i % 50, "equal": lambda i: 7,
+        "far apart": lambda i: i * 10**17 // 3, "extreme": lambda i: rng.choice([-top - 1, -1, 0, top]),
+    }[times]
+    rows = [(i, "response" if i % 3 else "revisit", "http://a.b/", at(i), {"etag": "e"}, str(i)) for i in range(200)]
+    rows += [rows[4]] * 30  # the same record again
+    table = spark.createDataFrame(rows, "record_id bigint, kind string, url string, at bigint, headers map<string,string>, digest string")
+    full = [(r[3], r[0]) for r in rows if r[1] == "response"]
+    want = {r[0]: max((f for f in full if f[0] < r[3]), default=(None, None))[1] for r in rows if r[1] == "revisit"}
+    found = revisits.resolve(table.withColumn("g", F.lit(1)).withColumn("last", F.lit(1))).collect()
+    assert {r.revisit_id: r.response_id for r in found} == want and len(found) == sum(r[1] == "revisit" for r in rows)
+    assert revisits.resolve(table.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("name", list(queries.all_oracles()))
 def test_sql(spark, name):
     con, sql = duck(LARGER), queries.all_oracles()[name]

@@ -65,7 +65,7 @@ def test_random_texts_of_pieces(encoder, library):
             text = "".join(rng.choice(ODD) for _ in range(rng.randrange(40)))
         else:
             text = rng.choice("ab .=-e") * rng.randrange(1, 70) + rng.choice(pieces)
-        assert encoder.encode(text) == library.encode(text), text
+        assert encoder.encode([text]) == [library.encode(text)], text
 
 
 def test_backtracking_is_the_definition(encoder):
@@ -90,8 +90,9 @@ def test_caches_are_bounded(encoder, library, monkeypatch):
     rng = random.Random(13)
     for _ in range(300):
         text = " ".join("".join(rng.choice("abcdef") for _ in range(6)) for _ in range(20))
-        assert encoder.encode(text) == library.encode(text)
-    assert len(encoder.seen) <= 50 and len(encoder.compatible) <= 50
+        assert encoder.encode([text]) == [library.encode(text)]
+    assert encoder.encode(["x" * 5000]) == [library.encode("x" * 5000)] and not any(len(p) > 64 for p in encoder.seen)
+    assert len(encoder.seen) <= 50 and sum(map(len, encoder.compatible.values())) <= 50
 
 
 def test_models_that_need_more_are_refused(encoder):

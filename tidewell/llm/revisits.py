@@ -1,8 +1,9 @@
 """WARC revisit resolution: each not-modified revisit to the latest earlier full response of its URL.
 
-An as-of join by canonical URL and time. The hot URL that a third of all records may have is cut in
-stretches of time: responses are carried forward inside a stretch, and the last one of each stretch
-into the next ones, so that no task holds all records of a URL.
+An as-of join by canonical URL and time. Records are dealt to tasks by ranges of (URL, time, record), so
+that a hot URL, also one of a third of all records or with one time for all, is cut in stretches of
+about equal numbers. Responses are carried forward inside a stretch, and the last one of each stretch
+into the next ones; no task holds all records of such a URL.
 """
 
 from __future__ import annotations
@@ -13,9 +14,6 @@ from pyspark.sql.window import Window
 
 from tidewell.session import materialize
 
-#: Records of one URL in one stretch, on average.
-STRETCH = 10_000
-
 # Fixed values of the standard (RFC 9111, 3.2 and RFC 9110, 15.4.5): what a not-modified answer may renew.
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
 
@@ -49,6 +47,10 @@ def merged_headers(response: Column, revisit: Column) -> Column:
     return F.map_from_entries(F.array_sort(F.concat(F.map_entries(kept), F.map_entries(renewed))))
 
 
+def _parts(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """One row per revisit of `records` (record_id, kind, url, at, headers, digest).
 
@@ -68,27 +70,22 @@ def resolve(records: DataFrame) -> DataFrame:
         F.coalesce("headers", none).alias("headers"), "digest",
     )
     placed = F.col("url").isNotNull() & F.col("at").isNotNull()
-    sizes = (
-        rows.filter(placed)
-        .groupBy("url")
-        .agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high"))
-        .filter(F.col("n") > STRETCH)  # at most one in STRETCH records
-    )
-    sizes = materialize(sizes, "hot-urls")
-    whole = F.ceil(F.col("n") / STRETCH)
-    stretch = F.floor((F.col("at") - F.col("low")) * whole / (F.col("high") - F.col("low") + 1))
-    cut = rows.filter(placed).join(sizes, "url", "left").withColumn("stretch", F.coalesce(stretch, F.lit(0))).drop("n", "low", "high")
+    # All records in one order; at one time revisits come first: what has their own time is not earlier.
+    # They are stored before they are sorted, which takes a sample first.
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "records")
+    order = ["at", F.col("kind") == "response", "record_id", "row"]
+    sorted_rows = rows.filter(placed).repartitionByRange(_parts(rows), "url", *order)
+    sorted_rows = sorted_rows.sortWithinPartitions("url", *order).withColumn("stretch", F.spark_partition_id())
+    cut = materialize(sorted_rows, "stretches")
 
-    order = F.struct("at", "record_id")
     full = F.when(F.col("kind") == "response", F.struct(F.col("at"), F.col("record_id"), F.col("headers"), F.col("digest")))
-    last = cut.groupBy("url", "stretch").agg(F.max_by(full, F.when(full.isNotNull(), order)).alias("last"))
+    latest = F.when(full.isNotNull(), F.struct("at", "record_id", "row"))
+    last = cut.groupBy("url", "stretch").agg(F.max_by(full, latest).alias("last"))
     so_far = Window.partitionBy("url").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.withColumn("before", F.last("last", ignorenulls=True).over(so_far)).select("url", "stretch", "before")
     carried = materialize(carried, "carried")
 
-    # Inside a stretch, at one time revisits come first: what has their own time is not earlier.
-    ahead = Window.partitionBy("url", "stretch").orderBy("at", F.col("kind") == "response", "record_id")
-    ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("url", "stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     within = cut.withColumn("own", F.last(full, ignorenulls=True).over(ahead)).filter(F.col("kind") == "revisit")
     found = within.join(carried, ["url", "stretch"]).withColumn("response", F.coalesce("own", "before"))
     lost = rows.filter((F.col("kind") == "revisit") & ~F.coalesce(placed, F.lit(False)))
