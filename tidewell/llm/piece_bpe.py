@@ -28,12 +28,10 @@ from pyspark.sql.types import ArrayType, IntegerType
 from tidewell.llm.bpe import _groups, _lists, _schema
 from tidewell.llm.shipping import shipped, tidied
 
-#: Parts of text, and pairs of tokens, that a worker remembers; longer parts are not remembered.
+#: Parts of text (of this length at most), and pairs of tokens, that a worker remembers.
 CACHE, LONGEST = 300_000, 64
 
 SPACE = "▁"
-_LETTER = r"[^\W\d_]"
-_OTHER = r"[\W\d_]"
 
 # Fixed values of the model format: field numbers, kinds of pieces and of models.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -108,8 +106,10 @@ class Model:
 def _cutter(pieces: Iterable[str]):
     """Cuts a text into parts that no piece reaches across, as far as the vocabulary allows."""
     whole = lambda text: [text] if text else []
+    # Number signs that the class of letters would hold; others are in no piece, so they do not matter.
+    signs = "".join(sorted({c for p in pieces for c in p if c.isalnum() and not c.isalpha() and not c.isdecimal()}))
     patterns = [
-        f"{SPACE}*(?:{_LETTER}+|(?:(?!{SPACE}){_OTHER})+)|{SPACE}+",  # words, what is between them
+        f"{SPACE}*(?:[^\\W\\d_{signs}]+|(?:(?!{SPACE})[\\W\\d_{signs}])+)|{SPACE}+",  # words, what is between them
         f"{SPACE}*[^{SPACE}]+|{SPACE}+",  # before spaces only
     ]
     for pattern in patterns:
@@ -130,8 +130,12 @@ class Encoder:
         for piece in model.ids:
             self.pieces.add_word(piece, len(piece))
         self.pieces.make_automaton()
-        self.compatible: dict[tuple[str, str], bool] = {}
-        self.seen: dict[str, list[int]] = {}
+        #: The longest piece that each piece starts with; a single character has none.
+        self.shorter = {p: next((n for n in range(len(p) - 1, 1, -1) if p[:n] in model.ids), 1) for p in model.ids if len(p) > 1}
+        self.seen: dict[str, tuple[int, ...]] = {}
+        #: Compatible or not, by the token before and the token.
+        self.compatible: dict[str, dict[str, bool]] = {}
+        self.pairs = 0
 
     def merged(self, text: str) -> list[str]:
         """The definition: the neighbours whose joined piece scores most, the leftmost first, are joined."""
@@ -148,73 +152,71 @@ class Encoder:
 
     def fits(self, left: str, right: str) -> bool:
         """Whether the two tokens stay as they are when merged again; an empty `left` is the start."""
-        if len(self.compatible) >= CACHE:
+        if self.pairs >= CACHE:
             self.compatible.clear()
+            self.pairs = 0
         fit = self.merged(left + right) == ([left, right] if left else [right])
-        self.compatible[left, right] = fit
+        self.compatible.setdefault(left, {})[right] = fit
+        self.pairs += 1
         return fit
 
     def tokens(self, text: str) -> list[str]:
         """The tokens of an escaped text."""
-        ids, known, size = self.model.ids, self.compatible.get, len(text)
-        longest = [1] * size
+        shorter, after, size = self.shorter.get, self.compatible.get, len(text)
+        longest = [1] * size + [0]
         for end, length in self.pieces.iter(text):
             start = end - length + 1
             if length > longest[start]:
                 longest[start] = length
         failed = bytearray(size // 8 + 1)
         found: list[str] = []
-        at = 0
-        length = longest[0] if size else 0
+        at, last, length = 0, "", longest[0]
+        known = after("") or {}
         while at < size:
-            last = found[-1] if found else ""
             while length:
-                end = at + length
-                token = text[at:end]
-                if (
-                    (length == 1 or token in ids)
-                    and not failed[end >> 3] >> (end & 7) & 1
-                    and ((fit := known((last, token))) or fit is None and self.fits(last, token))
-                ):
-                    found.append(token)
-                    at = end
-                    length = longest[at] if at < size else 0
-                    break
-                length -= 1
+                token = text[at : at + length]
+                fit = known.get(token)
+                if fit is None:
+                    fit = self.fits(last, token)
+                if fit:
+                    end = at + length
+                    if not failed[end >> 3] >> (end & 7) & 1:
+                        found.append(token)
+                        at, last, length = end, token, longest[end]
+                        break
+                length = shorter(token, 0)
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                length = len(found.pop())
-                at -= length
-                length -= 1
+                token = found.pop()
+                at -= len(token)
+                last, length = found[-1] if found else "", shorter(token, 0)
+            known = after(last) or {}
         return found
 
     def _ids(self, part: str) -> list[int]:
         ids, by_byte = self.model.ids, self.model.bytes
-        out: list[int] = []
-        for token in self.tokens(part):
-            number = ids.get(token)
-            if number is None:
-                out += [by_byte[b] for b in token.encode()]
-            else:
-                out.append(number)
-        return out
+        tokens = self.tokens(part)
+        try:
+            return [ids[t] for t in tokens]
+        except KeyError:  # characters that are no pieces
+            return list(chain.from_iterable([ids[t]] if t in ids else [by_byte[b] for b in t.encode()] for t in tokens))
 
-    def encode(self, text: str) -> list[int]:
-        """The ids of a whole text; an empty one has none."""
-        if not text:
-            return []
-        seen = self.seen
-        out = []
-        for part in self.model.cut(self.model.prefix + text.replace(" ", SPACE)):
-            ids = seen.get(part)
-            if ids is None:
-                ids = self._ids(part)
-                if len(part) <= LONGEST:
-                    if len(seen) >= CACHE:
-                        seen.clear()
-                    seen[part] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+    def encode(self, texts: Iterable[str | None]) -> list[list[int]]:
+        """The ids of whole texts; a null or empty one has none."""
+        prefix, cut, seen = self.model.prefix, self.model.cut, self.seen
+        parts = [cut(prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
+        new = set(chain.from_iterable(parts)).difference(seen)
+        if len(seen) + len(new) > CACHE:
+            seen.clear()
+            new = set(chain.from_iterable(parts))
+        for part in new:
+            seen[part] = tuple(self._ids(part))
+        get = seen.__getitem__
+        out = [list(chain.from_iterable(map(get, p))) for p in parts]
+        for part in new:
+            if len(part) > LONGEST:
+                del seen[part]
+        return out
 
 
 class Codec:
@@ -224,9 +226,6 @@ class Codec:
         self.encoder = Encoder(Model(data))
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=data)
 
-    def encode(self, texts: Iterable[str | None]) -> list[list[int]]:
-        return [self.encoder.encode(t or "") for t in texts]
-
     def decode(self, rows: list[list[int]]) -> list[str]:
         """By the library: pieces joined, bytes put together, spaces restored."""
         return self.processor.decode(rows) if rows else []
@@ -268,9 +267,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         codec = _codec(sent)
         for batch in batches:
             for part in _groups(batch):
-                ids = _lists(codec.encode(_texts(part)))
+                ids = _lists(codec.encoder.encode(_texts(part)))
                 yield pa.RecordBatch.from_arrays([part.column("document"), ids], names=["document", "ids"])
-        codec.encoder.seen = {}
         tidied()
 
     rows = shipped(docs).select(F.struct("*").alias("document"))
@@ -301,10 +299,9 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         codec = _codec(sent)
         for batch in batches:
             for part in _groups(batch):
-                ids = codec.encode(_texts(part))
+                ids = codec.encoder.encode(_texts(part))
                 columns = [part.column("document"), _lists(ids), pa.array(codec.decode(ids), pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["document", "ids", "decoded"])
-        codec.encoder.seen = {}
         tidied()
 
     rows = shipped(docs).select(F.struct("*").alias("document"))
