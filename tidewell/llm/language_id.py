@@ -14,7 +14,7 @@ import re
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain, count, groupby
 
@@ -38,18 +38,36 @@ UNKNOWN = "und"
 
 
 
-def _class(kind: str) -> str:
-    """The characters of a Unicode category, as ranges for a regular expression. There are none beyond these."""
-    points = [c for c in chain(range(0x33000), range(0xE0000, 0xE1000)) if unicodedata.category(chr(c))[0] == kind]
-    runs = [list(run) for _, run in groupby(points, key=lambda c, n=count(): c - next(n))]
+def _class(kind: str, points: Iterable[int]) -> str:
+    """The characters of a Unicode category, as ranges for a regular expression."""
+    found = [c for c in points if unicodedata.category(chr(c))[0] == kind]
+    runs = [list(run) for _, run in groupby(found, key=lambda c, n=count(): c - next(n))]
     return "".join(f"\\U{run[0]:08x}-\\U{run[-1]:08x}" for run in runs)
 
 
 #: A longer run of letters is consecutive words of so many, so that all of it is read.
 LONGEST = 40
-_LETTERS = _class("L")
-#: Letters, and marks after them; number signs such as a superscript two are no letters.
-WORDS = re.compile(f"[{_LETTERS}][{_LETTERS}{_class('M')}]{{0,{LONGEST - 1}}}")
+
+
+def _pattern(*points: range) -> re.Pattern[str]:
+    letters, marks = (_class(kind, chain(*points)) for kind in "LM")
+    return re.compile(f"[{letters}][{letters}{marks}]{{0,{LONGEST - 1}}}")
+
+
+class _Words:
+    """Letters, and marks after them; number signs such as a superscript two are no letters."""
+
+    # Classes of the first 65,536 characters alone are far faster; most texts need no others.
+    beyond = re.compile("[\U00010000-\U0010ffff]")
+    few = _pattern(range(0x10000))
+    # There are no letters or marks after these.
+    every = _pattern(range(0x33000), range(0xE0000, 0xE1000))
+
+    def findall(self, text: str) -> list[str]:
+        return (self.every if self.beyond.search(text) else self.few).findall(text)
+
+
+WORDS = _Words()
 _BLOCK = 32
 
 
