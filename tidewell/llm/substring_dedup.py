@@ -164,7 +164,7 @@ def _extender(window: int, anchor: int, buckets: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                texts = W.utf8(part.column("text"))
+                texts = W.utf8(part.column("document").field("text"))
                 keys, checks = part.column("k").to_pylist(), part.column("k2").to_pylist()
                 hits = part.column("hits").to_pylist()
                 for first, last in W.blocks(texts):
@@ -329,9 +329,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.hash("text").alias("k2"),
     )
     # A row that is given again repeats itself from end to end; of its copies one is compared with others.
-    keyed, again = once(docs.select(F.xxhash64("doc_id", "text").alias("k"), F.hash("text").alias("k2"), "text"), ["k", "k2"])
-    texts = keyed.select("k", "text")
+    keyed, again = once(rows, ["k", "k2"])
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("k"), F.col("text").alias("text"))
     if again is not None:
+        texts = keyed.select("k", F.col("document.text").alias("text"))
         copied = again.groupBy("k", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k", "k2")
         copied = materialize(copied, "copied")
         whole = rows.join(copied, ["k", "k2"], "left_semi")
@@ -341,7 +342,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     by_document = hits.groupBy("k").agg(F.collect_list("places").alias("hits"))
     extended = (
         keyed.join(by_document, "k")
-        .select("text", "k", "k2", "hits")
+        .select("document", "k", "k2", "hits")
         .mapInArrow(_extender(window, anchor, buckets), _PACKED)
     )
     repeats = extended.groupBy("bucket").applyInArrow(_finder(two=True), _SPOTS)
