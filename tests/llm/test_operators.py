@@ -131,6 +131,33 @@ def test_contamination(spark, docs, monkeypatch):
     assert decontaminate.clean_documents(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_large_benchmark_is_broadcast_as_hashes(spark):
+    """Grams of any length and number: hashes alone are broadcast by hint, no gram passes as SQL text."""
+    words = [f"w{i}" for i in range(60_000)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "\u4e00" * 50_000)], "item_id bigint, text string")
+    rows = [(1, "a " + " ".join(words[500:510]) + " b"), (2, "\u4e00" * 50_000), (3, " ".join(words[500:509])), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.contamination(docs, items).collect()}
+    assert found == {1: (12, 10, ["1"]), 2: (1, 1, ["2"]), 3: (9, 0, []), 4: (0, 0, [])}
+    assert [r.doc_id for r in decontaminate.clean_documents(docs, items).orderBy("doc_id").collect()] == [3, 4]
+
+
+def test_hit_words_are_cut_in_the_text_as_given(spark, monkeypatch):
+    a, b = [f"a{i}" for i in range(12)], [f"b{i}" for i in range(10)]
+    items = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b)), (3, "Lone")], "item_id bigint, text string")
+    text = f"See: {' '.join(a)}, {' '.join(b)}! lone. End"
+    rows = [(1, text, "x"), (2, None, "y"), (3, "nothing, here", "z"), (4, text, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _hits string")
+    want = [(1, "See. End", "x"), (2, None, "y"), (3, "nothing, here", "z"), (4, "See. End", "x")]
+    for bound in (decontaminate.MAX_GRAMS, 1):
+        monkeypatch.setattr(decontaminate, "MAX_GRAMS", bound)
+        cut = decontaminate.without_spans(docs, items)
+        assert cut.columns == docs.columns and sorted(map(tuple, cut.collect())) == want
+    none = docs.limit(0)
+    assert decontaminate.contamination(none, items).count() == decontaminate.without_spans(none, items).count() == 0
+    assert decontaminate.without_spans(docs, items.limit(0)).count() == 4
+
+
 @pytest.mark.parametrize(("find", "want"), [(pii.personal_data, brute.personal), (secret_scan.scan, brute.secrets)])
 def test_findings(docs, find, want):
     rows = find(docs).select("doc_id", spans.written(F.col("base")).alias("base"), spans.written(F.col("all_spans")).alias("all"))

@@ -1,9 +1,11 @@
 """Benchmark decontamination: a broadcast hash set of test n-grams over all token windows.
 
-The set holds the distinct n-grams of the benchmark. It goes to the tasks as a literal set, at most
-`MAX_GRAMS` at a time: a larger benchmark is taken in that many scans, so what each task holds is
-bounded. Each window of each text is looked up by hash; hits are verified on their words. No row of
-the corpus is shuffled to find hits.
+The set that is broadcast holds the hashes of the benchmark's distinct n-grams and nothing else, eight
+bytes each, at most `MAX_GRAMS` at a time: what a task holds is bounded whatever the n-grams' lengths,
+and a larger benchmark is taken in more scans, each stored before the next. Every window of every text
+is looked up in it. The windows found, few beside the corpus, are then verified: joined with the n-grams
+by their words, without a hint, so Spark broadcasts the n-grams only where they are small. No text is
+shuffled to find hits, and none passes through the driver.
 """
 
 from __future__ import annotations
@@ -16,15 +18,14 @@ from pyspark.sql import functions as F
 from tidewell.session import materialize
 
 WIDTH = 10
-#: Grams broadcast at once; of ten words each they take some 20 MB at most.
-MAX_GRAMS = 100_000
+#: Hashes broadcast at once, on average over the scans: some 50 MB as Spark holds them.
+MAX_GRAMS = 1_000_000
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OTHER_CAPITALS = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
 
 
-
 def ascii_lower(text: Column) -> Column:
     """A-Z as a-z, all else as it is. `lower` is much faster where it comes to the same."""
     same = (F.length(text) == F.octet_length(text)) | ~text.rlike(_OTHER_CAPITALS)
@@ -81,44 +82,60 @@ def grams(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
-def _parts(found: DataFrame) -> list[tuple[DataFrame, Column]]:
-    """The grams in parts of at most MAX_GRAMS: each part's rows, and its hits in `_words`."""
-    total = found.count()
-    n = 1 if total <= MAX_GRAMS else -(-2 * total // MAX_GRAMS)
-    parts = []
-    for i in range(n):
-        rows = found.filter(F.pmod(F.xxhash64("gram"), F.lit(n)) == i)
-        by_width: dict[int, tuple[set[int], set[str]]] = {}
-        for row in rows.select("gram", "hash", "width").toLocalIterator():
-            hashes, texts = by_width.setdefault(row.width, (set(), set()))
-            hashes.add(row.hash)
-            texts.add(row.gram)
-        parts.append((rows, _hits(by_width)))
-    return parts
-
-
-def _is_one_of(value: str, choices: list) -> str:
-    # Grams are letters, digits and non-ASCII characters, so they need no escape.
-    quoted = ",".join(f"'{c}'" if isinstance(c, str) else f"{c}L" for c in choices)
-    return f"{value} IN ({quoted})"
-
-
-def _hits(by_width: dict[int, tuple[set[int], set[str]]]) -> Column:
-    """The windows of `_words` that are grams, (start, width) each: by hash, then verified by text."""
-    found = []
-    for width, (hashes, texts) in sorted(by_width.items()):
-        words = ", ".join(f"get(_hashes, i + {j})" for j in range(width))
-        seen = _is_one_of(f"xxhash64({words})", sorted(hashes))
-        same = _is_one_of(f"array_join(slice(_words, i + 1, {width}), ' ')", sorted(texts))
-        last = f"size(_words) - {width}"
-        starts = f"if({last} >= 0, sequence(0, {last}), cast(array() AS array<int>))"
-        found.append(
-            f"transform(filter({starts}, i -> {seen} AND {same}),"
-            f" i -> struct(i AS start, {width} AS width))"
+def _hash_sets(found: DataFrame) -> list[DataFrame]:
+    """The distinct hashes of the grams, in sets of some MAX_GRAMS at most; at least one set."""
+    hashes = found.select(F.col("hash").alias("_hash")).distinct()
+    n = max(1, -(-hashes.count() // MAX_GRAMS))
+    return [hashes.filter(F.pmod(F.xxhash64("_hash"), F.lit(n)) == i) for i in range(n)]
+
+
+def _looked_up(texts: DataFrame, hashes: DataFrame, widths: list[int], marked: bool) -> DataFrame:
+    """Of `texts` (_key, _text): _key, _n (words), _start, _width, _gram of each window whose hash is known.
+
+    Where `marked`, each row also gives one line without a window, of width 0.
+    """
+
+    def listed(width: int) -> Column:
+        return F.transform(
+            _window_starts(width),
+            lambda i: F.struct(i.alias("start"), F.lit(width).alias("width"), _window_hash(i, width).alias("hash")),
         )
-    if not found:
-        return F.expr("cast(array() AS array<struct<start: int, width: int>>)")
-    return F.expr(found[0] if len(found) == 1 else f"concat({', '.join(found)})")
+
+    lists = [listed(width) for width in widths]
+    mark = F.struct(F.lit(-1).alias("start"), F.lit(0).alias("width"), F.lit(None).cast("bigint").alias("hash"))
+    if marked:
+        lists.insert(0, F.array(mark))
+    elif not lists:
+        lists.append(F.filter(F.array(mark), lambda _: F.lit(False)))
+    # Listed before they are exploded: an explode of a column alone is compiled together with the join and
+    # the filter, so a text's words are not copied for each of its windows. Outer, as Spark would else filter
+    # by the list's size below, and cut the words again for each window; the null row is dropped as unknown.
+    read = _tokens(texts).withColumn("_windows", F.concat(*lists))
+    each = read.select("_key", "_words", F.explode_outer("_windows").alias("_w"))
+    known = F.broadcast(hashes.withColumn("_known", F.lit(True)))
+    each = each.join(known, F.col("_w.hash") == F.col("_hash"), "left")
+    wanted = F.col("_known") | (F.col("_w.width") == 0) if marked else F.col("_known")
+    words = F.slice("_words", F.col("_w.start") + 1, F.col("_w.width"))
+    return each.filter(wanted).select(
+        "_key",
+        F.size("_words").cast("bigint").alias("_n"),
+        F.col("_w.start").alias("_start"),
+        F.col("_w.width").alias("_width"),
+        F.when(F.col("_w.width") > 0, F.array_join(words, " ")).alias("_gram"),
+    )
+
+
+def _hits(texts: DataFrame, benchmark: DataFrame, width: int, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The windows of `texts` found by hash, stored, and of these the verified ones with their items."""
+    known = materialize(grams(benchmark, width), "grams")
+    widths = sorted(row.width for row in known.select("width").distinct().collect())  # `width` rows at most
+    stored = [
+        materialize(_looked_up(texts, hashes, widths, marked and number == 0), "windows")
+        for number, hashes in enumerate(_hash_sets(known))
+    ]
+    windows = reduce(DataFrame.unionByName, stored)
+    same = known.select(F.col("gram").alias("_gram"), "items")
+    return windows, windows.filter("_width > 0").join(same, "_gram")
 
 
 def _covered(hits: str) -> str:
@@ -138,71 +155,68 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     A null text has no words. Repeated rows give repeated rows; a null doc_id is kept, a null
     item_id is not listed. Empty tables on either side give no hit. Other columns are not read.
     """
-    found = materialize(grams(benchmark, width), "grams")
     rows = docs.select(
-        F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text")
+        F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("hash")).alias("_key"),
+        F.col("text").alias("_text"),
     )
-    every = []
-    for number, (part, is_hit) in enumerate(_parts(found)):
-        hits = "transform(_hits, h -> struct(h.start, h.width, array_join(slice(_words, h.start + 1, h.width), ' ') AS gram))"
-        if number == 0:  # and a row of width 0 that says the document is there
-            hits = f"concat(array(struct(-1 AS start, 0 AS width, cast(NULL AS string) AS gram)), {hits})"
-        read = _tokens(rows).withColumn("_hits", is_hit)
-        listed = read.select(
-            "doc_id", "_h", F.size("_words").cast("bigint").alias("n_words"), F.expr(f"explode({hits}) AS hit")
-        )
-        known = part.select(F.col("gram").alias("_gram"), "items")  # MAX_GRAMS rows at most
-        listed = listed.join(F.broadcast(known), F.col("hit.gram") == F.col("_gram"), "left")
-        every.append(listed.select("doc_id", "_h", "n_words", "hit.start", "hit.width", "items"))
-    # The rows of one document: no more than it has words, each once.
-    by_row = (
-        reduce(DataFrame.unionByName, every)
-        .groupBy("doc_id", "_h", "n_words")
-        .agg(
-            F.sum(F.when(F.col("width") == 0, 1).otherwise(0)).alias("copies"),
-            F.collect_set(F.when(F.col("width") > 0, F.struct("start", "width"))).alias("hits"),
-            F.collect_set("items").alias("items"),
-        )
+    windows, hits = _hits(rows, benchmark, width, marked=True)
+    # The hits of one text: no more than it has words, each once. Equal rows are one key.
+    by_key = hits.groupBy("_key", "_n").agg(
+        F.collect_set(F.struct(F.col("_start").alias("start"), F.col("_width").alias("width"))).alias("hits"),
+        F.collect_set("items").alias("items"),
+    )
+    by_key = by_key.select(
+        F.col("_key").alias("_hit_key"),
+        F.col("_n").alias("_hit_n"),
+        F.expr(f"cast(size({_covered('hits')}) AS bigint)").alias("n_hit"),
+        F.expr("array_sort(transform(array_distinct(flatten(items)), i -> cast(i AS string)))").alias("items"),
+    )
+    same = F.col("_key").eqNullSafe(F.col("_hit_key")) & (F.col("_n") == F.col("_hit_n"))
+    return (
+        windows.filter("_width = 0")
+        .join(by_key, same, "left")
         .select(
-            "doc_id",
-            "n_words",
-            F.expr(f"cast(size({_covered('hits')}) AS bigint)").alias("n_hit"),
-            F.expr("array_sort(transform(array_distinct(flatten(items)), i -> cast(i AS string)))").alias("items"),
-            "copies",
+            "_key.doc_id",
+            F.col("_n").alias("n_words"),
+            F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         )
     )
-    return by_row.select(
-        "doc_id", "n_words", "n_hit", "items", F.expr("explode(array_repeat(0, cast(copies AS int))) AS _copy")
-    ).drop("_copy")
+
+
+def _by_text(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct("*").alias("_row"), F.sha2("text", 256).alias("_key"), F.col("text").alias("_text"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """`docs` without the documents that hold a gram of the benchmark; nothing is shuffled."""
-    kept = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
-    for _, is_hit in _parts(materialize(grams(benchmark, width), "grams")):
-        # The place keeps the filter above the words: inside it, they would be cut for each look-up.
-        read = _tokens(kept).withColumns({"_hits": is_hit, "_place": F.monotonically_increasing_id()})
-        kept = read.filter((F.size("_hits") == 0) & (F.col("_place") >= 0)).select("_row", "_text")
-    return kept.select("_row.*")
+    """`docs` without the documents that hold a gram of the benchmark, items of fewer words as wholes.
+
+    What is taken away is found by the digest of its text, so equal texts go or stay together. A null
+    text stays. Empty tables on either side take nothing away.
+    """
+    read = _by_text(docs)
+    _, hits = _hits(read, benchmark, width)
+    return read.join(hits.select("_key").distinct(), "_key", "left_anti").select("_row.*")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """`docs` with the hit words, and what stands between each and the word before, cut from `text`.
 
-    Texts without a hit stay as they are. A benchmark beyond MAX_GRAMS is cut part by part.
+    Texts without a hit, and null ones, stay as they are. All hits are found in the text as given, also
+    those of a benchmark that takes several scans.
     """
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    kept = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
-    for _, is_hit in _parts(materialize(grams(benchmark, width), "grams")):
-        read = _tokens(kept).withColumn("_hits", is_hit)
-        read = read.withColumn("_cut", F.expr(_covered("_hits")))
-        pieces = F.regexp_extract_all("_text", F.lit(rf"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*{word}"), F.lit(0))
-        read = read.withColumn("_pieces", F.when(F.size("_hits") > 0, pieces))
-        left = F.array_join(
-            F.filter("_pieces", lambda p, i: ~F.array_contains(F.col("_cut"), i)), ""
-        )
-        tail = F.regexp_extract("_text", rf"([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)\z", 1)
-        kept = read.select("_row", F.when(F.size("_hits") > 0, F.concat(left, tail)).otherwise(F.col("_text")).alias("_text"))
-    return kept.select(
-        *[F.col("_text").alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
+    gap = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
+    read = _by_text(docs)
+    _, hits = _hits(read, benchmark, width)
+    hits = hits.groupBy("_key").agg(
+        F.collect_set(F.struct(F.col("_start").alias("start"), F.col("_width").alias("width"))).alias("_hits")
+    )
+    cut = hits.select("_key", F.expr(_covered("_hits")).alias("_cut"))
+    pieces = F.regexp_extract_all("_text", F.lit(rf"{gap}{word}"), F.lit(0))
+    left = F.array_join(F.filter(pieces, lambda p, i: ~F.array_contains(F.col("_cut"), i)), "")
+    tail = F.regexp_extract("_text", rf"({gap})\z", 1)
+    text = F.when(F.col("_cut").isNull(), F.col("_text")).otherwise(F.concat(left, tail))
+    return read.join(cut, "_key", "left").select(
+        *[text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
     )
