@@ -169,12 +169,19 @@ def test_findings(docs, find, want):
         assert set(filter(None, r.base.split(","))) <= set(r.all.split(","))
 
 
-def test_only_secrets_of_one_owner_are_cut(spark):
-    live, copied = "token=live12345678", "token=copied12345678"
-    rows = [(i, f"x {copied} y", f"s{i}") for i in range(5)] + [(9, f"a {live} b {copied} c", "s0"), (10, None, None)]
-    cut = secret_scan.redacted(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
-    found = {r.doc_id: r.text for r in cut.collect()}
-    assert found == {**{i: f"x {copied} y" for i in range(5)}, 9: f"a <secret> b {copied} c", 10: None}
+def test_copies_of_one_text_are_no_example(spark):
+    """Three owners make an example only by three texts of their own; scan and redacted judge alike."""
+    live, copied, spread = "token=live12345678", "token=copied12345678", "token=spread12345678"
+    rows = [(i, f"{i}x {copied} y", f"s{i}") for i in range(5)] + [(5 + i, f"x {spread} y", f"s{i}") for i in range(4)]
+    rows += [(9, f"a {live} b {copied} c", "s0"), (10, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    assert found == {
+        **{i: f"{i}x {copied} y" for i in range(5)}, **{5 + i: "x <secret> y" for i in range(4)},
+        9: f"a <secret> b {copied} c", 10: None,
+    }
+    counts = {r.doc_id: (r.live, r.copied) for r in secret_scan.scan(docs).collect()}
+    assert counts == {**dict.fromkeys(range(5), (0, 1)), **dict.fromkeys(range(5, 9), (1, 0)), 9: (1, 1), 10: (0, 0)}
 
 
 def test_what_is_not_copied_is_cut(spark):

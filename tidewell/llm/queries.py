@@ -277,8 +277,8 @@ def _pieces(kind: str, rank: int, pattern: str) -> str:
     """SQL for the matches of one pattern: text before each, and the match; '' as the tail's match."""
     whole = rf"(?s)(.*?)(?:({pattern})|\z)".replace("'", "''")
     return (
-        f"SELECT doc_id, source, '{kind}' AS kind, {rank} AS rank, unnest(range(1, len(gaps) + 1)) AS i,"
-        f" unnest(gaps) AS gap, unnest(bodies) AS body FROM (SELECT doc_id, source,"
+        f"SELECT doc_id, source, text, '{kind}' AS kind, {rank} AS rank, unnest(range(1, len(gaps) + 1)) AS i,"
+        f" unnest(gaps) AS gap, unnest(bodies) AS body FROM (SELECT doc_id, source, sha256(text) AS text,"
         f" regexp_extract_all(coalesce(text, ''), '{whole}', 1) AS gaps,"
         f" regexp_extract_all(coalesce(text, ''), '{whole}', 2) AS bodies FROM documents)"
     )
@@ -295,7 +295,7 @@ WITH pieces AS (
   {_pieces("hex", 2, "[0-9a-f]+")} UNION ALL
   {_pieces("opaque", 3, "[A-Za-z0-9_-]+")}),
 placed AS (
-  SELECT doc_id, source, kind, rank, body, length(body) AS n,
+  SELECT doc_id, source, text, kind, rank, body, length(body) AS n,
          sum(length(gap) + length(body)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS stop FROM pieces),
 valued AS (
   SELECT *, stop - n AS start, CASE WHEN kind = 'assign' THEN {_ASSIGN_VALUE} ELSE body END AS value
@@ -307,14 +307,22 @@ opaque AS (
   SELECT * FROM valued v WHERE kind = 'opaque' AND n >= 20 AND regexp_matches(body, '[a-z]')
     AND regexp_matches(body, '[A-Z]') AND regexp_matches(body, '[0-9]')
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = v.doc_id AND b.start < v.stop AND b.stop > v.start)),
+uses AS (SELECT * FROM base UNION ALL SELECT * FROM opaque),
 owners AS (
-  SELECT value, count(DISTINCT coalesce(source, '')) AS owners
-  FROM (SELECT value, source FROM base UNION ALL SELECT value, source FROM opaque) GROUP BY value),
-judged AS (
-  SELECT doc_id, kind, rank, start, stop, owners,
-         owners = 1 AND length(regexp_replace(value, '[^0-9]', '', 'g')) >= 2 AS is_live
-  FROM (SELECT * FROM base UNION ALL SELECT * FROM opaque) JOIN owners USING (value)
-  WHERE kind <> 'opaque' OR owners = 1),
+  SELECT value, count(DISTINCT coalesce(source, '')) >= {secret_scan.COPIED_OWNERS}
+      AND count(DISTINCT text) >= {secret_scan.COPIED_REPOSITORIES} AS is_copied
+  FROM uses GROUP BY value),
+letters AS (
+  SELECT value, n / sum(n) OVER (PARTITION BY value) AS share FROM (
+    SELECT value, letter, count(*) AS n
+    FROM (SELECT value, unnest(string_split(value, '')) AS letter FROM owners) GROUP BY value, letter)),
+entropies AS (SELECT value, -sum(share * log2(share)) AS entropy FROM letters GROUP BY value),
+marked AS (
+  SELECT doc_id, kind, rank, start, stop, is_copied,
+         NOT is_copied AND (length(regexp_replace(value, '[^0-9]', '', 'g')) >= {secret_scan.LEAST_DIGITS}
+           OR kind <> 'opaque' AND round(entropy, 9) >= {secret_scan.LEAST_ENTROPY}) AS is_live
+  FROM uses JOIN owners USING (value) JOIN entropies USING (value)),
+judged AS (SELECT * FROM marked WHERE kind <> 'opaque' OR is_live),
 written AS (SELECT *, kind || ':' || CAST(start AS VARCHAR) || ':' || CAST(stop AS VARCHAR) AS s FROM judged),
 by_doc AS (
   SELECT doc_id, sum(CASE WHEN kind = 'assign' THEN 1 ELSE 0 END) AS n_assign,
@@ -323,7 +331,7 @@ by_doc AS (
     string_agg(s, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base,
     string_agg(s, ',' ORDER BY start, rank) AS spans,
     sum(CASE WHEN is_live THEN 1 ELSE 0 END) AS n_live,
-    sum(CASE WHEN owners >= {secret_scan.COPIED_OWNERS} THEN 1 ELSE 0 END) AS n_copied
+    sum(CASE WHEN is_copied THEN 1 ELSE 0 END) AS n_copied
   FROM written GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
   CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
@@ -461,7 +469,10 @@ def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
 _SQL["op13_fill_in_middle"] = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
-         regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS w
+         regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS w
   FROM documents),
 drawn AS (
   SELECT *, len(w) AS n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2,

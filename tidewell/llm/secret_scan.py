@@ -2,9 +2,10 @@
 
 Patterns give candidates: assignments, access keys, long hexadecimal runs, and opaque tokens. Each
 candidate's value is hashed, and the corpus is asked in how many repositories and by how many owners
-the value is used: one that several owners have is an example that was copied around, one that stays
-with a single owner and looks random is a live-looking credential. redacted() cuts whatever is no
-copied example. Built-in functions only.
+the value is used. A repository is a distinct text, so copies of one document are one, whoever owns
+them. A value that several owners have in several repositories is an example that was copied around;
+any other that looks random is a live-looking credential. scan() reports and redacted() cuts by this
+one rule. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from pyspark.sql import functions as F
 from tidewell.llm import spans
 from tidewell.session import materialize
 
-#: A value that this many owners use is a copied example.
+#: A value that this many owners use, in this many repositories, is a copied example.
 COPIED_OWNERS = 3
-#: Bits a character of a value that is more than a placeholder or a ruled line.
+COPIED_REPOSITORIES = 3
+#: A value with this many digits looks random.
+LEAST_DIGITS = 2
+#: So does, where the pattern says secret already, one of this many bits a character: no placeholder or ruled line.
 LEAST_ENTROPY = 2.0
 
 # Fixed values of the contract: the kinds in order, and their patterns.
@@ -66,21 +70,21 @@ def _entropy(value: Column) -> Column:
         return share * F.log2(share)
 
     letters = F.array_distinct(F.regexp_extract_all(value, F.lit("(?s)."), F.lit(0)))
-    return -F.aggregate(letters, F.lit(0.0), lambda sum_, letter: sum_ + bits(letter))
+    return F.round(-F.aggregate(letters, F.lit(0.0), lambda sum_, letter: sum_ + bits(letter)), 9)
 
 
 _NONE = "cast(array() AS array<struct<start: int, rank: int, end: int, kind: string, body: string>>)"
 
 
 def _read(docs: DataFrame, owner: str) -> DataFrame:
-    """doc_id, owner, repository, `base` and `all` candidates of each row, beside the row itself."""
+    """doc_id, owner, repository, `base` and all `candidates` of each row, beside the row itself."""
     text = F.coalesce("text", F.lit(""))
     kinds = base_kinds(text)
     read = docs.select(
         F.struct("*").alias("_row"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("repository"),
+        F.xxhash64("text").alias("repository"),
         spans.of_kinds(kinds).alias("base"),
         spans.found(text, OPAQUE, _mixed).alias("opaque"),
         # Keeps filters above the searches, which would otherwise be made again inside them.
@@ -95,31 +99,28 @@ def _read(docs: DataFrame, owner: str) -> DataFrame:
 
 
 def _judged(read: DataFrame) -> DataFrame:
-    """(row, span, owners, repositories, is_live, is_copied, is_cut) of the candidates of `read`, a stored table."""
+    """(row, span, owners, repositories, is_live, is_copied) of the candidates of `read`, a stored table."""
     each = read.select("row", "owner", "repository", F.explode("candidates").alias("span"))
     each = each.withColumn("value", F.sha2(_value(F.col("span")), 256))
     # One row per use; then counts of distinct repositories and owners. Both are summed up in the
     # tasks before they are shuffled, so a value that a third of all documents use is a few rows.
-    owners = (
-        each.select("value", "owner", "repository")
-        .distinct()
-        .groupBy("value", "owner")
-        .agg(F.count("*").alias("n"))
-        .groupBy("value")
-        .agg(F.sum("n").alias("repositories"), F.count("*").alias("owners"))
+    uses = each.select("value", "owner", "repository").distinct()
+    by_owner = uses.groupBy("value", "owner").agg(F.count("*").alias("n")).groupBy("value")
+    by_repository = uses.groupBy("value", "repository").agg(F.count("*").alias("n")).groupBy("value")
+    owners = by_owner.agg(F.count("*").alias("owners")).join(
+        by_repository.agg(F.count("*").alias("repositories")), "value"
     )
     owners = materialize(owners, "ownership")
     digits = F.length(F.regexp_replace(_value(F.col("span")), "[^0-9]", ""))
-    copied = F.col("owners") >= COPIED_OWNERS
     varied = (F.col("span.kind") != "opaque") & (_entropy(_value(F.col("span"))) >= LEAST_ENTROPY)
+    copied = (F.col("owners") >= COPIED_OWNERS) & (F.col("repositories") >= COPIED_REPOSITORIES)
     return each.join(owners, "value").select(
         "row",
         "span",
         "owners",
         "repositories",
-        ((F.col("owners") == 1) & (digits >= 2)).alias("is_live"),
+        (~copied & ((digits >= LEAST_DIGITS) | varied)).alias("is_live"),
         copied.alias("is_copied"),
-        (~copied & ((digits >= 2) | varied)).alias("is_cut"),
     )
 
 
@@ -127,17 +128,18 @@ def scan(docs: DataFrame, owner: str = "source") -> DataFrame:
     """One row per row of `docs` (doc_id, text, owner): doc_id, base, all_spans, live, copied.
 
     `base` are the findings of the contract's patterns, `all_spans` those and the opaque tokens that
-    one owner alone uses, as lists of (start, rank, end, kind, body). `live` counts the findings
-    whose value has two digits at least and a single owner, `copied` those whose value COPIED_OWNERS
-    owners or more use. A document is a repository of its owner.
+    look live, as lists of (start, rank, end, kind, body). `copied` counts the findings whose value
+    COPIED_OWNERS owners or more use, in COPIED_REPOSITORIES texts or more; `live` counts the others
+    that look random: by LEAST_DIGITS digits, or by LEAST_ENTROPY where the pattern says secret
+    already, so passphrases and keys of letters too.
 
     A null text is empty; all null owners are one owner; a null doc_id is kept. Repeated rows give
-    repeated rows, and count as one repository. An empty table gives an empty table.
+    repeated rows; equal texts are one repository. An empty table gives an empty table.
     """
     read = materialize(_read(docs, owner).drop("_row"), "findings")
     by_row = (
         _judged(read)
-        .filter((F.col("span.kind") != "opaque") | (F.col("owners") == 1))
+        .filter((F.col("span.kind") != "opaque") | F.col("is_live"))
         .groupBy("row")
         .agg(
             F.array_sort(F.collect_list("span")).alias("all_spans"),
@@ -159,11 +161,9 @@ def scan(docs: DataFrame, owner: str = "source") -> DataFrame:
 
 
 def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
-    """`docs` with credentials in `text` replaced by <secret>; copied examples stay.
+    """`docs` with the values that scan() counts as live replaced, with their keywords, by <secret>.
 
-    What fewer than COPIED_OWNERS owners use is no example. It is cut if it has two digits, or, where
-    the pattern says secret already, a varied value: passphrases and keys of letters too. Opaque tokens
-    need the digits. This is wider than the `live` of scan(), which its SQL fixes.
+    Copied examples and what does not look random stay; so do null texts.
 
     Texts with candidates are stored, joined with what the whole corpus says of their values, and
     rewritten; all others pass as they are and are not shuffled.
@@ -174,7 +174,7 @@ def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
     dirty = materialize(dirty, "with-candidates")
     found = (
         _judged(dirty.drop("_row"))
-        .filter("is_cut")
+        .filter("is_live")
         .groupBy("row")
         .agg(F.array_sort(F.collect_list("span")).alias("cut"))
     )
