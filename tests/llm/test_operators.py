@@ -294,6 +294,75 @@ def test_long_chains_are_those_of_short_ones():
         assert np.allclose(found[i], whole)
 
 
+def test_marginals_are_those_of_all_paths():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    scores, step = rng.random((6, 3)) + 0.01, rng.random((3, 3)) + 0.1
+    want, total = np.zeros((6, 3)), 0.0
+    for path in itertools.product(range(3), repeat=6):
+        weight = np.prod([scores[t, y] for t, y in enumerate(path)]) * np.prod([step[a, b] for a, b in itertools.pairwise(path)])
+        weight *= step[:, path[0]].mean()  # any language may stand before the text
+        total += weight
+        want[np.arange(6), path] += weight
+    even = np.full(3, 1 / 3)
+    found = language_id._Chains(scores, np.array([0, 6]), step).marginals(even, even)
+    assert np.allclose(found[0][0], (want / total).sum(0))
+    assert np.isclose(found[1][0], (want / total).max(1).sum())
+
+
+def _made_up_field(labels: int):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    weights = rng.normal(size=(language_id.FEATURES, labels)).astype(np.float32) / 4
+    return language_id.Field([f"l{i:03}" for i in range(labels)], weights, rng.normal(size=(labels, labels)) / 4, {})
+
+
+def test_long_texts_in_pieces_are_the_whole(monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdeéñж漢𐐀\u0301") for _ in range(rng.choice((1, 3, 8, 100))))
+    texts = ["", "² ½", *("".join(word() + rng.choice((" ", ", ", " 12 ")) for _ in range(n)) for n in (1, 40, 700, 60))]
+    field = _made_up_field(5)
+    whole = language_id.Predictor(field).evidence(texts)
+    monkeypatch.setattr(language_id, "CELLS", 3 * 5 * 32)
+    parts = language_id.Predictor(field)
+    assert parts.piece == 192 < min(map(len, texts[3:]))
+    for text in texts:
+        pieces = list(language_id.WORDS.pieces(text, parts.piece))
+        assert "".join(pieces) == text and max(map(len, pieces)) <= parts.piece
+        assert [w for p in pieces for w in language_id.WORDS.findall(p)] == language_id.WORDS.findall(text)
+    for a, b in zip(whole, parts.evidence(texts), strict=True):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=1e-6)
+
+
+def test_memory_does_not_grow_with_a_text(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(language_id, "CELLS", 1 << 16)
+    field, peaks = _made_up_field(30), []
+    for n in (6_000, 48_000):
+        text = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(n))
+        predictor = language_id.Predictor(field)
+        tracemalloc.start()
+        predictor.evidence([text])
+        peaks.append(tracemalloc.get_traced_memory()[1] - len(text))
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0] and peaks[1] < 40 << 20
+
+
+def test_long_rows_are_learned_from_last(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_CELLS", 4 * 1000)  # 1,000 characters a language
+    rows = [(i, "short text " * (1 + i % 3), "a") for i in range(60)] + [(100 + i, "x" * (5000 - i), "a") for i in range(60)]
+    rows += [(200 + i, "y" * (3000 + i), "b") for i in range(5)]
+    sample = language_id.training_sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    short = [text for lang, text in sample if lang == "a"]
+    assert sum(map(len, short)) <= 1000 and all(len(text) < 40 for text in short) and len(short) > 20
+    assert [text for lang, text in sample if lang == "b"] == ["y" * 3000]
+
+
 def test_nearest(spark):
     rng = random.Random(3)
     hot = [1.0, 0.5, -0.25]

@@ -27,17 +27,16 @@ from pyspark.sql.window import Window
 
 from tidewell.llm.shipping import shipped, tidied
 
-#: Labelled rows of each language that the field is fitted on, and, with many languages, rows times
+#: Labelled rows of each language that the field is fitted on, and characters of all rows times
 #: languages, which is what fitting holds; but one row of every language.
-SAMPLE_ROWS, SAMPLE_CELLS = 120, 120 * 64 * 64
+SAMPLE_ROWS, SAMPLE_CELLS = 120, 1 << 26
 #: Hashed features, rounds of fitting.
 FEATURES, ROUNDS = 1 << 16, 40
-#: Words a worker remembers the scores of; bounds its memory.
-CACHE = 150_000
+#: Words a worker remembers the scores of, and numbers it holds of the words at hand; bound its memory.
+CACHE, CELLS = 150_000, 1 << 22
 UNKNOWN = "und"
 
 
-
 def _class(kind: str, points: Iterable[int]) -> str:
     """The characters of a Unicode category, as ranges for a regular expression."""
     found = [c for c in points if unicodedata.category(chr(c))[0] == kind]
@@ -66,6 +65,20 @@ class _Words:
     def findall(self, text: str) -> list[str]:
         return (self.every if self.beyond.search(text) else self.few).findall(text)
 
+    def pieces(self, text: str, size: int) -> Iterator[str]:
+        """`text` in pieces of at most `size` characters (more than LONGEST) that cut no word."""
+        at = 0
+        while len(text) - at > size:
+            piece = text[at : at + size]
+            last = None
+            for last in (self.every if self.beyond.search(piece) else self.few).finditer(piece):
+                pass
+            # A word that touches the cut may go on behind it.
+            end = last.start() if last and last.end() == size else size
+            yield piece[:end]
+            at += end
+        yield text[at:]
+
 
 WORDS = _Words()
 _BLOCK = 32
@@ -117,53 +130,81 @@ def _marginals(scores: np.ndarray, mask: np.ndarray, step: np.ndarray, start: np
     return ahead, back, both.transpose(1, 0, 2)
 
 
-def text_marginals(
-    scores: np.ndarray, bounds: np.ndarray, step: np.ndarray, best: np.ndarray | None = None
-) -> np.ndarray:
-    """Sums of marginals of each text. Text i has the rows bounds[i] to bounds[i + 1] of `scores`.
-
-    To `best`, where given, the largest marginal of each word is added up.
+@dataclass
+class _Chains:
+    """Texts cut into blocks of words, each with the transfer matrix that carries messages over it.
 
-    Texts are cut into blocks of words. A block's transfer matrix carries messages over it, so only
-    blocks, not words, follow one another in the text; the result is that of the whole chain.
+    Only blocks, not words, follow one another in a text; the result is that of the whole chain.
+    Text i has the rows bounds[i] to bounds[i + 1] of `scores`; a single block needs no matrix.
     """
-    k = scores.shape[1]
-    sizes = np.diff(bounds)
-    counts = -(-sizes // _BLOCK)
-    first = np.concatenate(([0], np.cumsum(counts)))
-    total = int(first[-1])
-    out = np.zeros((len(sizes), k))
-    if not total:
-        return out
-    owner = np.repeat(np.arange(len(sizes)), counts)
-    begins = bounds[owner] + (np.arange(total) - first[owner]) * _BLOCK
-    places = begins[:, None] + np.arange(_BLOCK)
-    mask = places < bounds[owner + 1][:, None]
-    cut = scores[np.minimum(places, len(scores) - 1)]
-
-    carry = np.broadcast_to(np.eye(k), (total, k, k)).copy()
-    for t in range(_BLOCK):
-        new = (carry.reshape(-1, k) @ step).reshape(total, k, k) * cut[:, t][:, None, :]
-        new /= new.sum((1, 2), keepdims=True)
-        carry = np.where(mask[:, t, None, None], new, carry)
-
-    start, stop = np.full((total, k), 1 / k), np.full((total, k), 1 / k)
-    order = np.argsort(-counts, kind="stable")
-    left = counts[order]
-    for j in range(1, int(counts.max())):
-        now = order[: np.searchsorted(-left, -j, side="left")]  # texts with more than j blocks
-        at = first[now] + j
-        vector = np.einsum("ni,nij->nj", start[at - 1], carry[at - 1])
-        start[at] = vector / vector.sum(1, keepdims=True)
-        at = first[now] + counts[now] - 1 - j
-        vector = np.einsum("nij,nj->ni", carry[at + 1], stop[at + 1])
-        stop[at] = vector / vector.sum(1, keepdims=True)
-    _, _, found = _marginals(cut, mask, step, start, stop)
-    found = np.where(mask[:, :, None], found, 0)
-    if best is not None:
-        np.add.at(best, owner, found.max(2).sum(1))
-    np.add.at(out, owner, found.sum(1))
-    return out
+
+    scores: np.ndarray
+    bounds: np.ndarray
+    step: np.ndarray
+
+    def __post_init__(self) -> None:
+        k = self.scores.shape[1]
+        sizes = np.diff(self.bounds)
+        self.counts = -(-sizes // _BLOCK)
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+        total = int(self.first[-1])
+        self.owner = np.repeat(np.arange(len(sizes)), self.counts)
+        begins = self.bounds[self.owner] + (np.arange(total) - self.first[self.owner]) * _BLOCK
+        places = begins[:, None] + np.arange(_BLOCK)
+        self.mask = places < self.bounds[self.owner + 1][:, None]
+        self.cut = self.scores[np.minimum(places, max(len(self.scores) - 1, 0))] if total else np.zeros((0, _BLOCK, k))
+        carry = np.broadcast_to(np.eye(k), (total, k, k)).copy()
+        for t in range(_BLOCK if total else 0):
+            new = (carry.reshape(-1, k) @ self.step).reshape(total, k, k)
+            new *= self.cut[:, t][:, None, :]
+            if t % 4 == 3:  # often enough: each word's largest score is one
+                new /= new.sum((1, 2), keepdims=True)
+            np.copyto(carry, new, where=self.mask[:, t, None, None])
+        self.carry = carry
+
+    def over(self, before: np.ndarray) -> np.ndarray:
+        """The message behind the only text, from that before it."""
+        for matrix in self.carry:
+            before = before @ matrix
+            before = before / before.sum()
+        return before
+
+    def back_over(self, after: np.ndarray) -> np.ndarray:
+        """The message before the only text, from that behind it."""
+        for matrix in self.carry[::-1]:
+            after = matrix @ after
+            after = after / after.sum()
+        return after
+
+    def marginals(self, before: np.ndarray, after: np.ndarray, with_best: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the words' marginals, and, `with_best`, of each word's largest, for each text."""
+        total, k = self.carry.shape[:2]
+        out, best = np.zeros((len(self.counts), k)), np.zeros(len(self.counts))
+        if not total:
+            return out, best
+        start, stop = np.tile(before, (total, 1)), np.tile(after, (total, 1))
+        order = np.argsort(-self.counts, kind="stable")
+        left = self.counts[order]
+        for j in range(1, int(self.counts.max())):
+            now = order[: np.searchsorted(-left, -j, side="left")]  # texts with more than j blocks
+            at = self.first[now] + j
+            vector = np.einsum("ni,nij->nj", start[at - 1], self.carry[at - 1])
+            start[at] = vector / vector.sum(1, keepdims=True)
+            at = self.first[now] + self.counts[now] - 1 - j
+            vector = np.einsum("nij,nj->ni", self.carry[at + 1], stop[at + 1])
+            stop[at] = vector / vector.sum(1, keepdims=True)
+        _, _, found = _marginals(self.cut, self.mask, self.step, start, stop)
+        found = np.where(self.mask[:, :, None], found, 0)
+        if with_best:
+            np.add.at(best, self.owner, found.max(2).sum(1))
+        np.add.at(out, self.owner, found.sum(1))
+        return out, best
+
+
+def text_marginals(scores: np.ndarray, bounds: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Sums of marginals of each text. Text i has the rows bounds[i] to bounds[i + 1] of `scores`."""
+    even = np.full(scores.shape[1], 1 / scores.shape[1])
+    return _Chains(scores, bounds, step).marginals(even, even)[0]
 
 
 # -- fitting --------------------------------------------------------------------------
@@ -265,19 +306,23 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
     """At most `rows` whole texts of each language, fewer where SAMPLE_CELLS asks for it, at least one.
 
-    Rows are chosen by a hash. Counts tell what share of each language's rows will do, so that only
-    a few times as many rows as wanted are ranked.
+    Rows are chosen by a hash, but those longer than an eighth of their language's share of
+    characters come last, the shortest of them first. Counts tell what share of each language's rows
+    will do, so that only a few times as many rows as wanted are ranked.
     """
     labelled = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
     counted = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not counted:
         return []
-    rows = max(1, min(rows, SAMPLE_CELLS // len(counted) ** 2))
+    room = SAMPLE_CELLS // len(counted) ** 2
     share = F.create_map(*[F.lit(x) for lang, n in counted.items() for x in (lang, min(1.0, 8 * rows / n))])
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = labelled.withColumn("at", chance).filter(F.col("at") < share[F.col("lang")])
-    ranked = drawn.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id")))
-    chosen = ranked.filter(F.col("r") <= rows).orderBy("lang", "r")
+    drawn = drawn.withColumn("long", F.greatest(F.length("text"), F.lit(room // 8)))
+    order = Window.partitionBy("lang").orderBy("long", "at", "doc_id")
+    first = drawn.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= rows)
+    read = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("r"))
+    chosen = first.withColumn("read", read).filter((F.col("r") == 1) | (F.col("read") <= room)).orderBy("lang", "r")
     return [(r["lang"], r["text"]) for r in chosen.select("lang", "text").collect()]
 
 
@@ -285,47 +330,88 @@ def training_sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[
 
 
 class Predictor:
+    """Predicts with memory that depends on the number of languages alone, besides the texts given."""
+
     def __init__(self, field: Field) -> None:
         self.field = field
         self.step = np.exp(field.transitions - field.transitions.max())
         self.known: dict[str, int] = {}
-        self.scores = np.zeros((0, len(field.languages)), np.float32)
+        k = len(field.languages)
+        self.scores = np.zeros((0, k), np.float32)
+        self.even = np.full(k, 1 / k)
+        #: Characters read at once: a block of words holds its scores and a matrix, a word two characters.
+        self.piece = max(2 * LONGEST, 2 * _BLOCK * (CELLS // (k * max(k, _BLOCK))))
+        self.cache = min(CACHE, 4 * CELLS // k)
 
     def _learn(self, new: list[str]) -> None:
-        listed = [features(w, self.field.lexicon) for w in new]
-        sizes = np.array([len(x) for x in listed])
-        flat = np.fromiter((f for x in listed for f in x), np.int64, int(sizes.sum()))
-        scored = np.add.reduceat(self.field.weights[flat], np.cumsum(sizes) - sizes)
+        found = [self.scores]
+        for at in range(0, len(new), 20_000):
+            listed = [features(w, self.field.lexicon) for w in new[at : at + 20_000]]
+            sizes = np.array([len(x) for x in listed])
+            flat = np.fromiter((f for x in listed for f in x), np.int64, int(sizes.sum()))
+            scored = np.empty((len(listed), self.scores.shape[1]), np.float32)
+            heads = np.concatenate(([0], np.cumsum(sizes)))
+            for i in range(0, len(listed), 4000):
+                j = min(i + 4000, len(listed))
+                part = self.field.weights[flat[heads[i] : heads[j]]]
+                scored[i:j] = np.add.reduceat(part, heads[i:j] - heads[i])
+            found.append(np.exp(scored - scored.max(1, keepdims=True)))
         for word in new:
             self.known[word] = len(self.known)
-        self.scores = np.concatenate((self.scores, np.exp(scored - scored.max(1, keepdims=True))))
+        self.scores = np.concatenate(found)
 
-    def predict(self, texts: list[str], best: np.ndarray | None = None) -> list[tuple[str, float]]:
-        """Language and score of each text; to `best` see text_marginals."""
+    def _chains(self, texts: list[str]) -> _Chains:
         said = [WORDS.findall(t) for t in texts]
         every = [w for words in said for w in words]
         new = list(set(every).difference(self.known))
-        if len(self.known) + len(new) > CACHE:
+        if len(self.known) + len(new) > self.cache:
             self.known, self.scores = {}, self.scores[:0]
             new = list(set(every))
         if new:
             self._learn(new)
         ids = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
-        bounds = np.concatenate(([0], np.cumsum([len(w) for w in said])))
-        sums = text_marginals(self.scores[ids].astype(np.float64), bounds, self.step, best)
-        out = []
-        for n, row in zip(np.diff(bounds).tolist(), sums, strict=True):
-            at = int(row.argmax())
-            out.append((self.field.languages[at], min(1.0, float(row[at] / n))) if n else (UNKNOWN, 0.0))
+        bounds = np.concatenate(([0], np.cumsum([len(w) for w in said], dtype=np.int64)))
+        return _Chains(self.scores[ids].astype(np.float64), bounds, self.step)
+
+    def _long(self, text: str, sure: bool) -> tuple[np.ndarray, float, int]:
+        """Sums of one text that is read in pieces: messages forward first, then piece by piece back."""
+        ends, before = [], [self.even]
+        for piece in WORDS.pieces(text, self.piece):
+            ends.append(len(piece))
+            before.append(self._chains([piece]).over(before[-1]))
+        sums, best, n, after, end = np.zeros(len(self.even)), 0.0, 0, self.even, len(text)
+        for length, start in zip(ends[::-1], before[-2::-1], strict=True):
+            chains = self._chains([text[end - length : end]])
+            found = chains.marginals(start, after, sure)
+            sums, best, n = sums + found[0][0], best + float(found[1][0]), n + int(chains.bounds[-1])
+            after, end = chains.back_over(after), end - length
+        return sums, best, n
+
+    def evidence(self, texts: list[str], sure: bool = True) -> list[tuple[str, float, float]]:
+        """Language and score of each text, and, where `sure` is asked for, how far the words' best
+        marginals are, on average, from uniform (0) to certain (1)."""
+        out, at, k = [], 0, len(self.even)
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size + len(texts[end]) <= self.piece:
+                size += len(texts[end])
+                end += 1
+            if end == at:
+                rows, end = [self._long(texts[at], sure)], at + 1
+            else:
+                chains = self._chains(texts[at:end])
+                rows = zip(*chains.marginals(self.even, self.even, sure), np.diff(chains.bounds).tolist(), strict=True)
+            for sums, best, n in rows:
+                top = int(sums.argmax())
+                far = (best / n - 1 / k) / (1 - 1 / k) if n and k > 1 else float(n > 0)
+                score = min(1.0, float(sums[top] / n)) if n else 0.0
+                out.append((self.field.languages[top] if n else UNKNOWN, score, far))
+            at = end
         return out
 
-    def evidence(self, texts: list[str]) -> list[tuple[str, float, float]]:
-        """Also how far the words' best marginals are, on average, from uniform (0) to certain (1)."""
-        best, k = np.zeros(len(texts)), len(self.field.languages)
-        found = self.predict(texts, best)
-        words = [len(WORDS.findall(t)) for t in texts]
-        sure = [(b / n - 1 / k) / (1 - 1 / k) if n and k > 1 else float(n > 0) for b, n in zip(best.tolist(), words, strict=True)]
-        return [(*f, s) for f, s in zip(found, sure, strict=True)]
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
+        return [found[:2] for found in self.evidence(texts, sure=False)]
 
 
 def predict(docs: DataFrame, field: Field | None, evidence: bool = False) -> DataFrame:
@@ -348,7 +434,7 @@ def predict(docs: DataFrame, field: Field | None, evidence: bool = False) -> Dat
                 texts = [t or "" for t in part.column("document").field("text").to_pylist()]
                 found = [(UNKNOWN, 0.0, 0.0)] * len(texts)
                 if predictor:
-                    found = predictor.evidence(texts) if evidence else predictor.predict(texts)
+                    found = predictor.evidence(texts, evidence)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("document"),
