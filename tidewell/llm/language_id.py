@@ -87,13 +87,16 @@ _BLOCK = 32
 def features(word: str, lexicon: dict[str, str]) -> list[int]:
     """Hashed features of one word as it is written."""
     low = word.lower()
-    edged = f"<{low}>"
-    names = [f"p{low[:k]}" for k in (1, 2, 3)] + [f"s{low[-k:]}" for k in (1, 2, 3, 4)]
+    plain = low.isascii()  # cuts of its bytes are those of its characters: one encoding does
+    text, p, s, edged = (low.encode(), b"p", b"s", f"<{low}>".encode()) if plain else (low, "p", "s", f"<{low}>")
+    names = [p + text[:k] for k in (1, 2, 3)] + [s + text[-k:] for k in (1, 2, 3, 4)]
     names += [edged[i : i + k] for k in (2, 3) for i in range(len(edged) - k + 1)]
+    if not plain:
+        names = [n.encode() for n in names]
     if low in lexicon:
-        names.append("l" + lexicon[low])
-    names.append("bias")
-    return [zlib.crc32(n.encode()) % FEATURES for n in names]
+        names.append(f"l{lexicon[low]}".encode())
+    names.append(b"bias")
+    return [zlib.crc32(n) % FEATURES for n in names]
 
 
 @dataclass
