@@ -205,7 +205,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     `base` are the strict findings; `all_spans` those and the candidates that the classifier takes
     for personal data, as lists of (start, rank, end, kind, body), by start. Added spans do not
-    overlap strict ones.
+    overlap strict ones; added spans of different kinds may overlap one another, and each is given.
 
     A null text is empty; a null doc_id is kept; repeated rows give repeated rows; an empty table
     gives an empty table. Other columns are not read.
