@@ -234,14 +234,20 @@ def test_filters_reach_the_scan(spark, folder):
     assert "ReadSchema: struct<date:date,total:decimal(18,2)>" in dated
 
 
-def test_pos_job_writes_json(spark, tmp_path):
+POS_SCHEMA = (
+    "transaction_id int, store_name string, date string, quantity int, total double, customer_id int, promo_code string"
+)
+
+
+@pytest.mark.parametrize("schema", [None, POS_SCHEMA])
+def test_pos_job_writes_json(spark, tmp_path, schema):
     csv = tmp_path / "sample.csv"
     csv.write_text(
         "transaction_id,store_name,date,quantity,total,customer_id,promo_code\n"
         "1,Mall,2025-10-02,2,10.0,7,DISC5\n1,Mall,2025-10-02,2,10.0,7,DISC5\n"
         "2,Airport,2025-10-04,4,30.0,,\n"
     )
-    n, statistics = pos.run(spark, str(csv), str(tmp_path / "out"))
+    n, statistics = pos.run(spark, str(csv), str(tmp_path / "out"), schema)
     assert n == 2
     assert rows(statistics) == [(20.0, 20.0, 40.0, 20.0)]
     records = [

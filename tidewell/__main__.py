@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("path", help="folder of the table")
 
     job = jobs.add_parser("pos", help="clean point-of-sale rows")
+    job.add_argument("--schema", help="columns and types of the source, in order; saves the pass that finds them")
     job.add_argument("source", help="CSV of sales rows")
     job.add_argument("output", help="folder for JSON lines")
 
@@ -85,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
             print(name)
             found.show()
     else:
-        n_rows, statistics = pos.run(spark, args.source, args.output)
+        n_rows, statistics = pos.run(spark, args.source, args.output, args.schema)
         statistics.show()
         print({"n_rows": n_rows})
 

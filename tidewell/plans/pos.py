@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions import day_name, exact_mean, fill_text, month_number, ratio
 from tidewell.operators.generate import generate_sales, sales_rows
@@ -62,9 +63,14 @@ def derive(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def run(spark: SparkSession, csv: str, output: str) -> tuple[int, DataFrame]:
-    """Clean a CSV file and write it as JSON lines; rows written and the statistics."""
-    received = read_csv_with_date(spark, csv, "date")
+def run(
+    spark: SparkSession, csv: str, output: str, schema: T.StructType | str | None = None
+) -> tuple[int, DataFrame]:
+    """Clean a CSV file and write it as JSON lines; rows written and the statistics.
+
+    Give ``schema`` to save the pass over the file that finds the types.
+    """
+    received = read_csv_with_date(spark, csv, "date", schema)
     with materialized(clean(received), "pos-clean") as cleaned:
         statistics = amount_stats(cleaned, "total")
         return write_json_records(derive(cleaned), output), statistics
