@@ -204,6 +204,30 @@ def test_cluster_cuts_a_hot_value(spark, folder):
     assert max(sizes) < 4000 / 3
 
 
+def test_cluster_bounds_what_a_task_sorts(spark, folder, monkeypatch):
+    """Rows that a file packs to almost nothing are as large as ever in the task that sorts them."""
+    packed = spark.range(4000).select(
+        (F.col("id") % 400).alias("customer"),
+        F.lit("v" * 1000).alias("v"),
+        F.array(F.lit("w" * 1000)).alias("w"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    packed.repartition(4).write.parquet(f"{folder}/a")
+    assert path_bytes(spark, f"{folder}/a") < 200_000
+    monkeypatch.setattr(layout, "SORT_BYTES", 1_000_000)
+    layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer")
+    sizes = [pq.read_metadata(p).num_rows for p in pathlib.Path(f"{folder}/b").glob("*.parquet")]
+    assert sum(sizes) == 4000
+    assert max(sizes) * 2000 < 2 * layout.SORT_BYTES
+    assert rows(spark.read.parquet(f"{folder}/b")) == rows(spark.read.parquet(f"{folder}/a"))
+
+
+def test_cluster_of_an_empty_table(spark, folder):
+    spark.createDataFrame([], "customer long, v string").write.parquet(f"{folder}/a")
+    layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer")
+    assert spark.read.parquet(f"{folder}/b").count() == 0
+
+
 def test_cluster_within_partitions(spark, folder):
     many_files(spark, f"{folder}/a")
     layout.cluster(spark, f"{folder}/a", f"{folder}/b", "customer", ["country"])

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators.stored import folder_of, read_stored, replace_partitions
 from tidewell.session import path_bytes
@@ -15,6 +17,9 @@ from tidewell.sinks import recover
 from tidewell.sources import row_position
 
 FILE_BYTES = 256 * 1024**2
+#: Rows that one task sorts, as they lie in memory; compressed in a file they may be a tenth of that.
+SORT_BYTES = 256 * 1024**2
+_FIXED = (T.NumericType, T.BooleanType, T.DatetimeType)
 
 
 def partition_inventory(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -78,6 +83,15 @@ def compact_small(
     return len(folders)
 
 
+def _held_bytes(rows: DataFrame) -> int:
+    """About the memory that sorting all rows takes: some 48 bytes each, 8 a value, and what has no fixed size."""
+    sizes = [F.count(F.lit(1)) * (48 + 8 * len(rows.columns))]
+    for field in rows.schema.fields:
+        if not isinstance(field.dataType, _FIXED):
+            sizes.append(F.coalesce(F.sum(F.octet_length(F.col(field.name).cast("string"))), F.lit(0)))
+    return rows.agg(reduce(Column.__add__, sizes)).first()[0]
+
+
 def cluster(
     spark: SparkSession,
     path: str,
@@ -86,22 +100,25 @@ def cluster(
     partition_by: Sequence[str] = (),
     file_bytes: int = FILE_BYTES,
 ) -> None:
-    """Rewrite a table so that each file, of about ``file_bytes``, covers a narrow range of ``column``.
+    """Rewrite a table so that each file, of about ``file_bytes`` at most, covers a narrow range of ``column``.
 
     A scan for one value then skips most files by their minimum and maximum.
+    A file is sorted by one task. Where rows are packed tightly, so that a file
+    would hold more than about ``SORT_BYTES`` of them, there are more files.
     The row's place in the old files is part of the range key: a value that
     holds much of the table is cut over several tasks, and a task that is run
     again sends each row where it went before.
     """
-    n_files = max(1, math.ceil(path_bytes(spark, path) / file_bytes))
     rows = spark.read.option("mergeSchema", True).parquet(path)
     columns = rows.columns
+    n_files = max(1, math.ceil(path_bytes(spark, path) / file_bytes), math.ceil(_held_bytes(rows) / SORT_BYTES))
     placed: list[Column | str] = [*partition_by, column, "_file", "_row"]
     laid_out = (
         rows.select("*", *row_position())
+        .withColumn("_file", F.xxhash64("_file"))
         .repartitionByRange(n_files, *placed)
-        .sortWithinPartitions(*partition_by, column)
         .select(*columns)
+        .sortWithinPartitions(*partition_by, column)
     )
     writer = laid_out.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
