@@ -6,9 +6,12 @@ import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from tidewell import sinks
+from tidewell import sinks, sources
 from tidewell.operators.layout import file_inventory
 from tidewell.plans.warehouse import CUSTOMER_SCHEMA
+from tidewell.queries import stored, views
+from tidewell.session import fresh_path, path_bytes
+from tidewell.sinks import files
 from tidewell.sources import read_named, read_path
 
 
@@ -81,6 +84,37 @@ def test_json_records(spark, sample, folder):
     assert {"id": 2, "country": "US", "note": None, "day": "2025-01-02"} in lines
 
 
+def test_json_records_compressed(spark, folder, monkeypatch):
+    """Fewer bytes, the same records; no file is larger than a task should read."""
+    monkeypatch.setattr(files, "PACKED_ROWS", 300)
+    wide = spark.range(1000).select("id", F.when(F.col("id") > 1, F.lit("x" * 50)).alias("note")).coalesce(1)
+    assert sinks.write_json_records(wide, f"{folder}/plain") == 1000
+    assert sinks.write_json_records(wide, f"{folder}/packed", compression="snappy") == 1000
+    assert path_bytes(spark, f"{folder}/packed") < path_bytes(spark, f"{folder}/plain") / 2
+    parts = list(pathlib.Path(f"{folder}/packed").glob("part-*"))
+    assert len(parts) == 4 and all(p.name.endswith(".json.snappy") for p in parts)
+    assert rows(sources.read_json_lines(spark, f"{folder}/packed", wide.schema)) == rows(wide)
+
+
+def test_staging_query_lands_compressed_orders(spark, monkeypatch):
+    """Both days' orders are written and loaded; their lines take less room than uncompressed ones."""
+    made = []
+
+    def noted(*args):
+        made.append(fresh_path(*args))
+        return made[-1]
+
+    monkeypatch.setattr(stored, "fresh_path", noted)
+    small = "/root/testdata/sf0.001"
+    stored.stored_staging_reloaded(spark, small)
+    plain = fresh_path(spark, "plain")
+    n_rows = sinks.write_json_records(views.staged_orders(spark, small), plain)
+    landing, base = made
+    for day in ("20240105", "20240106"):
+        assert path_bytes(spark, f"{landing}/orders/orders_{day}.json") < path_bytes(spark, plain) / 2
+    assert spark.read.parquet(f"{base}/stg_orders").count() == n_rows > 0
+
+
 def test_csv_has_header(spark, sample, folder):
     assert sinks.write_csv(sample, f"{folder}/c") == 3
     again = spark.read.option("header", True).csv(f"{folder}/c")

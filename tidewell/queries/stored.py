@@ -297,7 +297,7 @@ def stored_staging_reloaded(spark: SparkSession, folder: str) -> DataFrame:
         products = sources.dated_path(landing, "products", day, "csv")
         sinks.write_csv(views.catalogue(spark, folder), products)
         orders = sources.dated_path(landing, "orders", day, "json")
-        sinks.write_json_records(views.staged_orders(spark, folder), orders)
+        sinks.write_json_records(views.staged_orders(spark, folder), orders, compression="snappy")
         warehouse.load_staging(spark, landing, base, day)
     return sources.read_path(spark, f"{base}/stg_customers")
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidewell.session import remove_path
 from tidewell.sinks.swap import publish, staged_path
 
+PACKED_ROWS = 1_000_000
+
 
 def counted(
     df: DataFrame,
@@ -79,11 +81,16 @@ def read_split(like: DataFrame, path: str, flag: str) -> tuple[DataFrame, DataFr
     return stored.filter(F.col(flag)).drop(flag), stored.filter(~F.col(flag)).drop(flag)
 
 
-def write_json_records(df: DataFrame, path: str) -> int:
-    """One JSON object per line; dates and times as text, NULL fields kept."""
-    return counted(
-        df, lambda d: d.write.mode("overwrite").option("ignoreNullFields", False).json(path)
-    )["n_rows"]
+def write_json_records(df: DataFrame, path: str, compression: str = "none") -> int:
+    """One JSON object per line; dates and times as text, NULL fields kept.
+
+    Readers know compressed files by their names. One task reads such a file whole, so it holds at most
+    ``PACKED_ROWS`` rows.
+    """
+    options = {"ignoreNullFields": False, "compression": compression}
+    if compression != "none":
+        options["maxRecordsPerFile"] = PACKED_ROWS
+    return counted(df, lambda d: d.write.mode("overwrite").options(**options).json(path))["n_rows"]
 
 
 def write_csv(df: DataFrame, path: str) -> int:
