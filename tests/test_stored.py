@@ -14,6 +14,7 @@ from tidewell.session import move_path, remove_path
 from tidewell.sinks import overwrite_partitioned, recover, swap
 
 KIND = "k int, v string, p string"
+PLACED = "k int, p string, v string"
 ODD = ["a b", "x%y", "é:z", "007", "q=r", "{c}[d]*", None]
 
 
@@ -108,6 +109,39 @@ def test_merge_errors_and_new_columns(spark, path, schema):
     assert rows(stored.read_stored(spark, path).filter("k = 2").select("v", "extra")) == [(None, None)]
 
 
+def test_merge_searches_only_folders_that_take_no_row(spark, folder, monkeypatch):
+    path, searched = f"{folder}/t", []
+    found = stored._folders_of
+    monkeypatch.setattr(stored, "_folders_of", lambda files, depth: searched.append(files.inputFiles()) or found(files, depth))
+    stored.merge_stored(spark.createDataFrame([(1, "a", "old"), (2, "b", "old"), (3, None, "old")], PLACED), path, ["k"], ["p"])
+    # All folders take a row; the one with k = 1 moves from a to b, and k = 3 stays without a folder's name.
+    stored.merge_stored(
+        spark.createDataFrame([(1, "b", "new"), (3, None, "new"), (4, "a", "new")], PLACED), path, ["k"], ["p"]
+    )
+    assert searched == []
+    merged = rows(stored.read_stored(spark, path).select("k", "p", "v"))
+    assert merged == [(1, "b", "new"), (2, "b", "old"), (3, None, "new"), (4, "a", "new")]
+    # Only b takes one: the others are searched, and k = 4 is found in a.
+    done = stored.merge_stored(spark.createDataFrame([(4, "b", "newer")], PLACED), path, ["k"], ["p"])
+    assert len(searched) == 1 and not any("p=b" in f for f in searched[0]) and any("p=a" in f for f in searched[0])
+    assert done == {"n_rows": 1, "n_written": 3}
+    merged = rows(stored.read_stored(spark, path).select("k", "p", "v"))
+    assert merged == [(1, "b", "new"), (2, "b", "old"), (3, None, "new"), (4, "b", "newer")]
+
+
+def test_merge_of_a_source_that_lies_by_partition(spark, folder, monkeypatch):
+    """It is read where it lies, and left there."""
+    path, kept = f"{folder}/t", f"{folder}/kept"
+    monkeypatch.setattr(stored, "fresh_path", None)
+    for batch in ([(1, "a", "old"), (2, "b", "old")], [(2, "c", "new"), (None, "a", "x")], []):
+        source = spark.createDataFrame(batch, PLACED)
+        source.write.mode("overwrite").partitionBy("p").parquet(kept)
+        source = spark.read.schema(source.schema).parquet(kept).select("k", "p", "v")
+        assert stored.merge_stored(source, path, ["k"], ["p"], stored_at=kept)["n_rows"] == len(batch)
+        assert source.count() == len(batch)
+    assert rows(stored.read_stored(spark, path).select("k", "p", "v")) == [(None, "a", "x"), (1, "a", "old"), (2, "c", "new")]
+
+
 @pytest.mark.parametrize("nth", range(1, 8))
 def test_an_error_at_any_rename_puts_the_old_rows_back(spark, path, schema, nth, monkeypatch):
     before, calls = table(spark, path, schema), []

@@ -146,6 +146,7 @@ def merge_stored(
     keys: Sequence[str],
     partition_by: Sequence[str],
     schema: T.StructType | None = None,
+    stored_at: str | None = None,
 ) -> dict[str, int]:
     """Upsert ``source`` into the table at ``path``, which is made if it is not there.
 
@@ -153,18 +154,19 @@ def merge_stored(
     the ones that hold a matching row, which may lie elsewhere than its new version, and the ones that
     take a row.
 
-    The source is stored once, by partition. Two source rows for one target row are an error, before
-    anything is written. A row without a key matches nothing; it is added unless an equal row is there.
-    Columns that the table does not have are added to it; those that the source lacks become NULL.
+    The source is stored once, by partition; ``stored_at`` names the folder where it is so already. Two
+    source rows for one target row are an error, before anything is written. A row without a key matches
+    nothing; it is added unless an equal row is there. Columns that the table does not have are added to
+    it; those that the source lacks become NULL.
     """
     spark, depth, names = source.sparkSession, len(partition_by), list(keys)
     recover(spark, path)
     if not path_exists(spark, path):
-        written = replace_partitions(source, path, partition_by)
+        written = replace_partitions(source, path, partition_by, place=stored_at is None)
         return {"n_rows": written, "n_written": written}
-    stored_source = fresh_path(spark, "merge-source")
+    stored_source = stored_at or fresh_path(spark, "merge-source")
     try:
-        n_rows = _write(source, stored_source, partition_by)
+        n_rows = source.count() if stored_at else _write(source, stored_source, partition_by)
         fresh = spark.read.schema(source.schema).parquet(stored_source).select(*source.columns)
         taking = partition_folders(spark, stored_source, depth)
         table = read_stored(spark, path, schema)
@@ -172,9 +174,9 @@ def merge_stored(
         named = {f.name: f for f in source.schema.fields if f.name in partition_by}
         table = read_stored(spark, path, T.StructType([named.get(f.name, f) for f in table.schema.fields]))
         require_unique(fresh, names, within=table)
-        wanted = fresh.select(*names).dropna()
-        matching = _folders_of(table.select(*names, _file()).join(wanted, names, "left_semi"), depth)
-        folders = sorted({*taking, *matching})
+        # Folders that take a row are written anyway; the others are searched for rows that match.
+        elsewhere = sorted(set(partition_folders(spark, path, depth)).difference(taking))
+        folders = sorted({*taking, *_matching(spark, path, table.schema, elsewhere, fresh, names, depth)})
         if not folders:
             return {"n_rows": n_rows, "n_written": 0}
         held = _widened(read_stored(spark, path, table.schema, folders), source.schema.fields)
@@ -185,4 +187,22 @@ def merge_stored(
         written = replace_partitions(merged, path, partition_by, folders)
         return {"n_rows": n_rows, "n_written": written}
     finally:
-        remove_path(spark, stored_source)
+        if not stored_at:
+            remove_path(spark, stored_source)
+
+
+def _matching(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    folders: Sequence[str],
+    fresh: DataFrame,
+    keys: Sequence[str],
+    depth: int,
+) -> list[str]:
+    """Those of the partition folders that hold a row with a key of ``fresh``."""
+    if not folders:
+        return []
+    table = read_stored(spark, path, schema, folders)
+    wanted = fresh.select(*keys).dropna()
+    return _folders_of(table.select(*keys, _file()).join(wanted, list(keys), "left_semi"), depth)
