@@ -112,7 +112,12 @@ def test_merge_errors_and_new_columns(spark, path, schema):
 def test_merge_searches_only_folders_that_take_no_row(spark, folder, monkeypatch):
     path, searched = f"{folder}/t", []
     found = stored._folders_of
-    monkeypatch.setattr(stored, "_folders_of", lambda files, depth: searched.append(files.inputFiles()) or found(files, depth))
+
+    def noted(files, depth):
+        searched.append([f for f in files.inputFiles() if f"{path}/" in f])
+        return found(files, depth)
+
+    monkeypatch.setattr(stored, "_folders_of", noted)
     stored.merge_stored(spark.createDataFrame([(1, "a", "old"), (2, "b", "old"), (3, None, "old")], PLACED), path, ["k"], ["p"])
     # All folders take a row; the one with k = 1 moves from a to b, and k = 3 stays without a folder's name.
     stored.merge_stored(
